@@ -34,11 +34,6 @@ def to_timestamp(c: Column | str) -> Column:
     return column(c).cast("string").try_cast("timestamp_ntz")
 
 
-def numbers_or_zero(df: DataFrame, names: Iterable[str]) -> DataFrame:
-    """Coerce the named columns to double and fill what is missing with 0."""
-    return df.withColumns({n: F.coalesce(to_number(quoted(n)), F.lit(0.0)) for n in names})
-
-
 def quoted(name: str) -> str:
     """Protect a column name that contains dots."""
     return name if name.startswith("`") else f"`{name}`"
@@ -53,3 +48,8 @@ def as_double(df: DataFrame, name: str) -> Column:
         number = F.col(quoted(name))
         return (number.cast("int") if isinstance(kind, T.BooleanType) else number).cast("double")
     return to_number(quoted(name))
+
+
+def numbers_or_zero(df: DataFrame, names: Iterable[str]) -> DataFrame:
+    """Coerce the named columns to double and fill what is missing with 0."""
+    return df.withColumns({n: F.coalesce(as_double(df, n), F.lit(0.0)) for n in names})

@@ -98,11 +98,14 @@ def stat_encode(
     key_sets: Mapping[str, Sequence[str]],
     target: str,
     row_limit: int = ROW_LIMIT,
+    statistics_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add {prefix}_{mean, median, std, max, count} of the row's group for every key set.
 
     The row itself counts in its group. A row with a missing key gets nulls.
+    ``statistics_from`` may name a cheaper table with the same rows to aggregate.
     """
-    for prefix, (table, rows) in group_statistics(df, key_sets, target, row_limit).items():
+    source = statistics_from or df
+    for prefix, (table, rows) in group_statistics(source, key_sets, target, row_limit).items():
         df = left_join(df, table, key_sets[prefix], side_rows=rows)
     return df

@@ -16,7 +16,7 @@ from statloom.functions.coerce import as_double
 from statloom.functions.columns import all_non_negative, all_positive
 from statloom.session import materialise, spread
 
-GRID = 17
+GRID = 33
 START = (-2.0, 2.0)
 # A grid this fine is finished by the vertex of a parabola.
 FINE_STEP = 1e-3

@@ -38,12 +38,14 @@ def add_lags(
     value: str,
     prefix: str,
     features: Sequence[str] = ("lag1_sum", "roll3_sum", "lag1_mean"),
+    totals_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add lag and rolling features of the key's yearly totals.
 
     The windows run over one row per key and year, never over the rows themselves.
+    ``totals_from`` may name a cheaper table with the same rows to total.
     """
-    totals = yearly_totals(df, year, key, value, count=False)
+    totals = yearly_totals(totals_from or df, year, key, value, count=False)
     made = {
         "lag1_sum": previous("sum", key, year),
         "roll3_sum": rolling_mean_before("sum", key, year, 3),

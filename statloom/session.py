@@ -48,6 +48,17 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def store(df: DataFrame, label: str = "table") -> DataFrame:
+    """Write ``df`` once as Parquet into the shared folder and read it back.
+
+    For wide tables that several later passes read a few columns of.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores for a materialised table that came from fewer input splits."""
     cores = df.sparkSession.sparkContext.defaultParallelism
