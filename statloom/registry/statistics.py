@@ -324,7 +324,13 @@ def describe_11(spark, sf):
 
 @query(
     "describe_texts",
-    _round_sql(_describe_sql("n_chars", "documents", "lang"), ["lang", "variable", "n"], ELEVEN),
+    _round_sql(
+        _describe_sql(
+            "n_chars", "(SELECT lang, CAST(n_chars AS DOUBLE) AS n_chars FROM documents)", "lang"
+        ),
+        ["lang", "variable", "n"],
+        ELEVEN,
+    ),
 )
 def describe_texts(spark, sf):
     return rounded(describe(read_table(spark, sf, "documents"), ["n_chars"], ["lang"]))
