@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from statloom.functions.coerce import quoted
 from statloom.session import materialise
 
 # A side of at most this many cells (rows x columns) is broadcast.
@@ -50,7 +51,7 @@ def left_join(
         side = materialise(side)
         side_rows = side.count()
     added = [c for c in side.columns if c not in keys]
-    columns = [*df.columns, *added]
+    columns = [quoted(c) for c in [*df.columns, *added]]
     if side_rows * len(side.columns) <= broadcast_cells:
         return df.join(F.broadcast(side), keys, "left").select(*columns)
 

@@ -25,26 +25,48 @@ HISTOGRAM_BINS = 60
 SCATTER_POINTS = 2000
 
 
-def distribution_report(
-    df: DataFrame, before: str, after: str, key_cols: Sequence[str]
-) -> dict[str, DataFrame]:
-    """Every figure's data; where both columns are shown, a ``variable`` column tells them apart."""
-    both = [before, after]
-    narrow = store(df.select(*dict.fromkeys([*key_cols, *both])), "report")
-    long = unpivot_numbers(narrow, both, [k for k in key_cols if k not in both])
-    by = ["variable"]
-    points = {v: qq_points(narrow, v, [k for k in key_cols if k != v]) for v in both}
-    lines = [qq_line(p).withColumn("variable", F.lit(v)) for v, p in points.items()]
-    tests = shapiro_groups(long, "value", by, key_cols, SAMPLE)
-    return {
-        "histogram": histogram(long, "value", HISTOGRAM_BINS, by),
-        "normal_overlay": normal_overlay(long, "value", by),
-        "qq_before": points[before],
-        "qq_after": points[after],
-        "qq_line": lines[0].unionByName(lines[1]),
-        "box": box_stats(long, "value", by),
-        "violin": kernel_density(long, "value", by),
-        "statistics": compare(narrow, before, after),
-        "tests": tests.withColumn("adherence", adherence("w")),
-        "scatter": scatter_sample(narrow, before, after, key_cols, SCATTER_POINTS),
-    }
+class DistributionReport:
+    """Two columns of one table; each method gives one figure's data.
+
+    Where a figure shows both columns, ``variable`` tells them apart. Only the keys
+    and the two columns are written for the figures to read.
+    """
+
+    def __init__(self, df: DataFrame, before: str, after: str, key_cols: Sequence[str]):
+        self.before, self.after, self.keys = before, after, list(key_cols)
+        both = [before, after]
+        self.table = store(df.select(*dict.fromkeys([*key_cols, *both])), "report")
+        self.long = unpivot_numbers(self.table, both, self.keys)
+        self.by = ["variable"]
+
+    def histograms(self) -> DataFrame:
+        return histogram(self.long, "value", HISTOGRAM_BINS, self.by)
+
+    def normal_overlays(self) -> DataFrame:
+        return normal_overlay(self.long, "value", self.by)
+
+    def qq_points(self, column: str) -> DataFrame:
+        return qq_points(self.table, column, [k for k in self.keys if k != column])
+
+    def qq_lines(self) -> DataFrame:
+        lines = [
+            qq_line(self.qq_points(c)).withColumn("variable", F.lit(c))
+            for c in (self.before, self.after)
+        ]
+        return lines[0].unionByName(lines[1])
+
+    def boxes(self) -> DataFrame:
+        return box_stats(self.long, "value", self.by)
+
+    def violins(self) -> DataFrame:
+        return kernel_density(self.long, "value", self.by)
+
+    def statistics(self) -> DataFrame:
+        return compare(self.table, self.before, self.after)
+
+    def tests(self) -> DataFrame:
+        tested = shapiro_groups(self.long, "value", self.by, self.keys, SAMPLE)
+        return tested.withColumn("adherence", adherence("w"))
+
+    def scatter(self) -> DataFrame:
+        return scatter_sample(self.table, self.before, self.after, self.keys, SCATTER_POINTS)
