@@ -7,15 +7,16 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from statloom.functions.coerce import quoted
 from statloom.functions.columns import unique_sorted
-from statloom.operators.keyed import any_null, left_join
+from statloom.operators.keyed import any_null, is_small, left_join
 from statloom.operators.ordering import (
     ROW_LIMIT,
     fits_one_task,
     percentile_columns,
     sliced_quantiles,
 )
-from statloom.session import materialise, spread
+from statloom.session import allow_wide_rows, materialise, spread
 
 STATISTICS = ("mean", "median", "std", "max", "count")
 
@@ -106,6 +107,12 @@ def stat_encode(
     ``statistics_from`` may name a cheaper table with the same rows to aggregate.
     """
     source = statistics_from or df
-    for prefix, (table, rows) in group_statistics(source, key_sets, target, row_limit).items():
-        df = left_join(df, table, key_sets[prefix], side_rows=rows)
-    return df
+    tables = group_statistics(source, key_sets, target, row_limit)
+    columns = [*df.columns, *(f"{prefix}_{s}" for prefix in key_sets for s in STATISTICS)]
+    allow_wide_rows(df.sparkSession)
+    for prefix, (table, rows) in tables.items():
+        if is_small(table, rows):
+            df = df.join(F.broadcast(table), list(key_sets[prefix]), "left")
+        else:
+            df = left_join(df, table, key_sets[prefix], side_rows=rows)
+    return df.select(*map(quoted, columns))

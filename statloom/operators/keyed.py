@@ -32,6 +32,11 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_KEYS) -> DataF
     return materialise(counts.filter(F.col("_rows") > least).select(*keys))
 
 
+def is_small(side: DataFrame, rows: int, broadcast_cells: int = BROADCAST_CELLS) -> bool:
+    """May a side of this many rows be broadcast?"""
+    return rows * len(side.columns) <= broadcast_cells
+
+
 def left_join(
     df: DataFrame,
     side: DataFrame,
@@ -52,7 +57,7 @@ def left_join(
         side_rows = side.count()
     added = [c for c in side.columns if c not in keys]
     columns = [quoted(c) for c in [*df.columns, *added]]
-    if side_rows * len(side.columns) <= broadcast_cells:
+    if is_small(side, side_rows, broadcast_cells):
         return df.join(F.broadcast(side), keys, "left").select(*columns)
 
     hot = hot_keys(df, keys)

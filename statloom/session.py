@@ -59,6 +59,17 @@ def store(df: DataFrame, label: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def allow_wide_rows(spark: SparkSession, fields: int = 2_000) -> None:
+    """Keep generated code for feature tables of several hundred columns.
+
+    Spark turns code generation off above spark.sql.codegen.maxFields (100 by
+    default), which makes a wide table several times slower.
+    """
+    name = "spark.sql.codegen.maxFields"
+    if int(spark.conf.get(name)) < fields:
+        spark.conf.set(name, str(fields))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores for a materialised table that came from fewer input splits."""
     cores = df.sparkSession.sparkContext.defaultParallelism
