@@ -16,8 +16,10 @@ from statloom.operators.ordering import (
     percentile_columns,
     sliced_quantiles,
 )
-from statloom.session import allow_wide_rows, materialise, spread
+from statloom.session import allow_wide_rows, materialise, setting, spread
 
+# The number of groups an object aggregation hashes before it sorts instead.
+HASHED_GROUPS = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
 STATISTICS = ("mean", "median", "std", "max", "count")
 
 
@@ -59,7 +61,11 @@ def group_statistics(
                                   *(F.col(n) for n in names))
     tag = F.grouping_id().alias("_set")
     if bounded:
-        long = grouped.agg(tag, *_moments("_target"), *percentile_columns("_target", {"median": 0.5}))
+        # The table is known to be small, so its groups may all be hashed in memory.
+        with setting(df.sparkSession, HASHED_GROUPS, str(row_limit)):
+            long = materialise(
+                grouped.agg(tag, *_moments("_target"), *percentile_columns("_target", {"median": 0.5}))
+            )
     else:
         # The same expansion by hand, so that one key column names any group.
         def key(cols):
@@ -77,13 +83,12 @@ def group_statistics(
             "_target",
         ).select("_group.*", "_target").filter(F.col("_key").isNotNull())
         medians = sliced_quantiles(expanded, "_target", {"median": 0.5}, ["_set", "_key"], row_limit)
-        long = (
+        long = materialise(
             grouped.agg(tag, *_moments("_target"))
             .withColumn("_key", F.struct(*names))
             .join(medians, ["_set", "_key"], "left")
             .drop("_key")
         )
-    long = materialise(long)
     tables = {
         prefix: long.filter((F.col("_set") == ids[prefix]) & ~any_null(cols)).select(
             *key_sets[prefix], *(F.col(s).alias(f"{prefix}_{s}") for s in STATISTICS)

@@ -22,14 +22,20 @@ HOT_KEYS = 1_000
 
 
 def any_null(names: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(n).isNull() for n in names], F.lit(False))
+    return reduce(lambda a, b: a | b, [F.col(quoted(n)).isNull() for n in names], F.lit(False))
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_KEYS) -> DataFrame:
-    """The keys that hold more than 1/share of all rows; never more than ``share`` rows."""
-    counts = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    least = df.count() / share
-    return materialise(counts.filter(F.col("_rows") > least).select(*keys))
+def key_hash(keys: Sequence[str]) -> Column:
+    return F.xxhash64(*(F.col(quoted(k)) for k in keys))
+
+
+def hot_hashes(df: DataFrame, keys: Sequence[str], share: int = HOT_KEYS) -> list[int]:
+    """Hashes of all keys that hold more than 1/share of the rows, and perhaps of some others.
+
+    A frequent-items sketch: one narrow pass, nothing but bounded counters shuffled.
+    """
+    hashes = df.dropna(subset=list(keys)).select(key_hash(keys).alias("_h"))
+    return list(hashes.freqItems(["_h"], 1.0 / share).first()[0] or [])
 
 
 def is_small(side: DataFrame, rows: int, broadcast_cells: int = BROADCAST_CELLS) -> bool:
@@ -60,12 +66,11 @@ def left_join(
     if is_small(side, side_rows, broadcast_cells):
         return df.join(F.broadcast(side), keys, "left").select(*columns)
 
-    hot = hot_keys(df, keys)
-    marked = df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), keys, "left")
-    crowded = F.col("_hot").isNotNull() | any_null(keys)
-    hot_side = side.join(F.broadcast(hot), keys, "left_semi")
-    near = marked.filter(crowded).join(F.broadcast(hot_side), keys, "left")
-    far = marked.filter(~crowded).join(side, keys, "left")
+    # Equal keys must hash alike, so both sides get the types of ``df``.
+    side = side.withColumns({k: F.col(quoted(k)).cast(df.schema[k].dataType) for k in keys})
+    is_hot = key_hash(keys).isin(hot_hashes(df, keys)) | any_null(keys)
+    near = df.filter(is_hot).join(F.broadcast(side.filter(is_hot)), keys, "left")
+    far = df.filter(~is_hot).join(side.filter(~is_hot), keys, "left")
     return near.select(*columns).unionByName(far.select(*columns))
 
 

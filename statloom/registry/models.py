@@ -38,9 +38,8 @@ from statloom.operators.regression import (
     ols_summary,
 )
 from statloom.operators.sampling import hash_sample, scatter_sample, systematic_sample
-from statloom.registry.base import FACT_SQL, fact, query, rounded
+from statloom.registry.base import FACT_SQL, fact, query, rounded, table
 from statloom.registry.statistics import _ratio_sql
-from statloom.sources.readers import read_table
 
 # --- transforms with known parameters --------------------------------------------
 
@@ -51,7 +50,7 @@ from statloom.sources.readers import read_table
        (SELECT avg(o_totalprice) AS m, stddev_samp(o_totalprice) AS s FROM orders)""",
 )
 def zscore(spark, sf):
-    orders = read_table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
     stats = orders.agg(
         F.avg("o_totalprice").alias("m"), F.stddev_samp("o_totalprice").alias("s")
     )
@@ -66,7 +65,7 @@ def zscore(spark, sf):
         FROM orders GROUP BY 1) USING (o_orderstatus)""",
 )
 def zscore_grouped(spark, sf):
-    orders = read_table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
     stats = orders.groupBy("o_orderstatus").agg(
         F.avg("o_totalprice").alias("m"), F.stddev_samp("o_totalprice").alias("s")
     )
@@ -81,7 +80,7 @@ def zscore_grouped(spark, sf):
               CASE WHEN c_acctbal <> 0 THEN round(1 / c_acctbal, 8) END AS inverse FROM customer""",
 )
 def log_sqrt_inv(spark, sf):
-    return read_table(spark, sf, "customer").select(
+    return table(spark, sf, "customer").select(
         "c_custkey",
         F.round(natural_log("c_acctbal"), 6).alias("log"),
         F.round(square_root("c_acctbal"), 6).alias("root"),
@@ -96,7 +95,7 @@ def log_sqrt_inv(spark, sf):
        FROM customer""",
 )
 def sign_gates(spark, sf):
-    known = value_range(read_table(spark, sf, "customer"), "c_acctbal")
+    known = value_range(table(spark, sf, "customer"), "c_acctbal")
     names = ("n", "min", "max", "all_positive", "all_non_negative")
     schema = "n bigint, min double, max double, all_positive boolean, all_non_negative boolean"
     return spark.createDataFrame([tuple(known[k] for k in names)], schema)
@@ -112,7 +111,7 @@ LAMBDA = 1.2623624250829306
 )
 def boxcox_apply(spark, sf):
     x = F.log1p("o_totalprice")
-    return read_table(spark, sf, "orders").select(
+    return table(spark, sf, "orders").select(
         "o_orderkey",
         F.round(box_cox(x, LAMBDA), 6).alias("y"),
         F.round(box_cox(x, 0.0), 6).alias("y0"),
@@ -127,7 +126,7 @@ def boxcox_apply(spark, sf):
 )
 def boxcox_inverse(spark, sf):
     y = F.col("o_totalprice") / 10000 - 5
-    return read_table(spark, sf, "orders").select(
+    return table(spark, sf, "orders").select(
         "o_orderkey", F.round(inverse_box_cox(y, LAMBDA), 6).alias("x")
     )
 
@@ -138,7 +137,7 @@ def boxcox_inverse(spark, sf):
               ELSE -(pow(1 - c_acctbal, 1.1) - 1) / 1.1 END, 5) AS y FROM customer""",
 )
 def yeojohnson_apply(spark, sf):
-    return read_table(spark, sf, "customer").select(
+    return table(spark, sf, "customer").select(
         "c_custkey", F.round(yeo_johnson("c_acctbal", 0.9), 5).alias("y")
     )
 
@@ -158,7 +157,7 @@ GRID = [i / 4 for i in range(-4, 9)]
                AS log_likelihood FROM y GROUP BY lam""",
 )
 def boxcox_likelihood(spark, sf):
-    return rounded(likelihood_grid(read_table(spark, sf, "orders"), "o_totalprice", GRID), 3)
+    return rounded(likelihood_grid(table(spark, sf, "orders"), "o_totalprice", GRID), 3)
 
 
 @query(
@@ -174,7 +173,7 @@ def boxcox_likelihood(spark, sf):
                AS log_likelihood FROM y GROUP BY lam""",
 )
 def yeojohnson_likelihood(spark, sf):
-    grid = likelihood_grid(read_table(spark, sf, "customer"), "c_acctbal", GRID, signed=True)
+    grid = likelihood_grid(table(spark, sf, "customer"), "c_acctbal", GRID, signed=True)
     return rounded(grid, 3)
 
 
@@ -207,7 +206,7 @@ def _search_sql(source: str, power: str, slope: str) -> str:
     ),
 )
 def boxcox_fit(spark, sf):
-    lam = box_cox_fit(read_table(spark, sf, "orders"), "o_totalprice")
+    lam = box_cox_fit(table(spark, sf, "orders"), "o_totalprice")
     return spark.range(1).select(F.round(F.lit(lam), 4).alias("lambda"))
 
 
@@ -221,7 +220,7 @@ def boxcox_fit(spark, sf):
     ),
 )
 def yeojohnson_fit(spark, sf):
-    lam = yeo_johnson_fit(read_table(spark, sf, "customer"), "c_acctbal")
+    lam = yeo_johnson_fit(table(spark, sf, "customer"), "c_acctbal")
     return spark.range(1).select(F.round(F.lit(lam), 4).alias("lambda"))
 
 
@@ -268,7 +267,7 @@ def shapiro_groups_query(spark, sf):
 
 
 def _logged(spark, sf):
-    return read_table(spark, sf, "orders").select(
+    return table(spark, sf, "orders").select(
         "o_orderkey", "o_totalprice", F.log1p("o_totalprice").alias("log_target")
     )
 
@@ -295,7 +294,7 @@ def best_transforms_query(spark, sf):
        FROM orders, (SELECT avg(o_totalprice) AS m, stddev_samp(o_totalprice) AS s FROM orders)""",
 )
 def add_transforms_query(spark, sf):
-    orders = read_table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
     wide = add_transforms(orders, fit_transforms(orders, "o_totalprice"))
     names = ("target_log", "target_raiz_quadrada", "target_z_score")
     return wide.select(
@@ -313,7 +312,7 @@ def add_transforms_query(spark, sf):
     """SELECT * FROM orders ORDER BY md5(o_orderkey || '|42'), o_orderkey LIMIT 5000""",
 )
 def hash_sample_query(spark, sf):
-    return hash_sample(read_table(spark, sf, "orders"), ["o_orderkey"], 5000)
+    return hash_sample(table(spark, sf, "orders"), ["o_orderkey"], 5000)
 
 
 @query(
@@ -326,7 +325,7 @@ def hash_sample_query(spark, sf):
 )
 def hash_sample_grouped(spark, sf):
     key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    lines = read_table(spark, sf, "lineitem").select(
+    lines = table(spark, sf, "lineitem").select(
         *key, F.concat("l_returnflag", "l_linestatus").alias("l_shipmode"), "l_extendedprice"
     )
     return hash_sample(lines, key, 300, seed=7, group_cols=["l_shipmode"])
@@ -338,7 +337,7 @@ def hash_sample_grouped(spark, sf):
          row_number() OVER (ORDER BY o_orderkey) - 1 AS row_id FROM orders) WHERE row_id % 11 = 0""",
 )
 def systematic_sample_query(spark, sf):
-    orders = read_table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
     return systematic_sample(orders, ["o_orderkey"])
 
 
@@ -415,7 +414,7 @@ LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedp
               round(regr_r2(l_extendedprice, l_quantity), 10) AS r2 FROM lineitem""",
 )
 def ols_simple(spark, sf):
-    fit = ols_fit(read_table(spark, sf, "lineitem"), "l_extendedprice", ["l_quantity"])
+    fit = ols_fit(table(spark, sf, "lineitem"), "l_extendedprice", ["l_quantity"])
     r2 = 1.0 - fit.ss_residual / fit.ss_total
     return spark.range(1).select(
         F.round(F.lit(fit.coefficients[0]), 4).alias("intercept"),
@@ -433,14 +432,14 @@ def ols_simple(spark, sf):
         SELECT term, round(coef, 4) AS coef, round(se, 4) AS std_err, round(coef / se, 4) AS t FROM t""",
 )
 def ols_fit_query(spark, sf):
-    lines = read_table(spark, sf, "lineitem")
-    table = coefficient_table(lines, ols_fit(lines, "l_extendedprice", PREDICTORS))
-    return rounded(table.select("term", "coef", "std_err", "t"))
+    lines = table(spark, sf, "lineitem")
+    fitted = coefficient_table(lines, ols_fit(lines, "l_extendedprice", PREDICTORS))
+    return rounded(fitted.select("term", "coef", "std_err", "t"))
 
 
 @query("ols_coefficients")
 def ols_coefficients(spark, sf):
-    lines = read_table(spark, sf, "lineitem")
+    lines = table(spark, sf, "lineitem")
     return coefficient_table(lines, ols_fit(lines, "l_extendedprice", PREDICTORS))
 
 
@@ -466,7 +465,7 @@ RESIDUAL_SQL = """r AS (SELECT y - (b0 + ba * a + bb * b) AS e,
           round(dw, 6) AS durbin_watson FROM v""",
 )
 def ols_summary_query(spark, sf):
-    lines = read_table(spark, sf, "lineitem")
+    lines = table(spark, sf, "lineitem")
     row = ols_summary(lines, ols_fit(lines, "l_extendedprice", PREDICTORS), LINE_KEY)
     digits = {
         "r2": 9, "adj_r2": 9, "f": 4, "log_likelihood": 2, "aic": 2, "bic": 2, "skew": 6,
@@ -477,7 +476,7 @@ def ols_summary_query(spark, sf):
 
 @query("ols_diagnostics")
 def ols_diagnostics(spark, sf):
-    lines = read_table(spark, sf, "lineitem")
+    lines = table(spark, sf, "lineitem")
     return ols_summary(lines, ols_fit(lines, "l_extendedprice", PREDICTORS), LINE_KEY)
 
 
@@ -487,7 +486,7 @@ def ols_diagnostics(spark, sf):
         SELECT round(sum(step * step) / sum(e * e), 6) AS durbin_watson FROM w""",
 )
 def durbin_watson_query(spark, sf):
-    lines = read_table(spark, sf, "lineitem")
+    lines = table(spark, sf, "lineitem")
     found = durbin_watson(lines, ols_fit(lines, "l_extendedprice", PREDICTORS), LINE_KEY)
     return found.select(F.round("durbin_watson", 6).alias("durbin_watson"))
 
@@ -500,7 +499,7 @@ def durbin_watson_query(spark, sf):
           round(abs(y - (b0 + ba * a + bb * b)), 4) AS abs_error FROM d, f""",
 )
 def ols_predict_query(spark, sf):
-    lines = read_table(spark, sf, "lineitem")
+    lines = table(spark, sf, "lineitem")
     predicted = ols_predict(lines, ols_fit(lines, "l_extendedprice", PREDICTORS))
     return predicted.select(
         *LINE_KEY, F.round("predicted", 4).alias("predicted"), F.round("abs_error", 4).alias("abs_error")

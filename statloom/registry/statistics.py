@@ -26,8 +26,7 @@ from statloom.operators.encode import stat_encode
 from statloom.operators.ordering import percent_rank_average, row_ids, sliced_quantiles
 from statloom.operators.windows import add_lags, yearly_totals
 from statloom.functions.normal import CENTRE, SHOULDER, TAIL
-from statloom.registry.base import FACT_SQL, fact, joined, query, rounded
-from statloom.sources.readers import read_table
+from statloom.registry.base import FACT_SQL, fact, joined, query, rounded, table
 
 # --- encodings -------------------------------------------------------------------
 
@@ -166,7 +165,7 @@ def rank_pct_sliced(spark, sf):
 )
 def row_position(spark, sf):
     order = ["l_extendedprice", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    return row_ids(read_table(spark, sf, "lineitem").select(*order), order)
+    return row_ids(table(spark, sf, "lineitem").select(*order), order)
 
 
 # --- correlation -----------------------------------------------------------------
@@ -240,7 +239,7 @@ NUMERIC = [
     ),
 )
 def corr_signed_all(spark, sf):
-    corr = corr_all_numeric(read_table(spark, sf, "lineitem"), "l_extendedprice")
+    corr = corr_all_numeric(table(spark, sf, "lineitem"), "l_extendedprice")
     return corr.withColumn("r", F.round("r", 4))
 
 
@@ -307,7 +306,7 @@ ELEVEN = [*SEVEN, "q1", "q3", "iqr", "cv"]
     _round_sql(_describe_sql("o_totalprice", "orders", extra=False), ["variable", "n"], SEVEN),
 )
 def describe_7(spark, sf):
-    return rounded(describe(read_table(spark, sf, "orders"), ["o_totalprice"], quartiles=False))
+    return rounded(describe(table(spark, sf, "orders"), ["o_totalprice"], quartiles=False))
 
 
 @query(
@@ -319,7 +318,7 @@ def describe_7(spark, sf):
     ),
 )
 def describe_11(spark, sf):
-    return rounded(describe(read_table(spark, sf, "orders"), ["o_totalprice"], ["o_orderstatus"]))
+    return rounded(describe(table(spark, sf, "orders"), ["o_totalprice"], ["o_orderstatus"]))
 
 
 @query(
@@ -333,7 +332,7 @@ def describe_11(spark, sf):
     ),
 )
 def describe_texts(spark, sf):
-    return rounded(describe(read_table(spark, sf, "documents"), ["n_chars"], ["lang"]))
+    return rounded(describe(table(spark, sf, "documents"), ["n_chars"], ["lang"]))
 
 
 @query(
@@ -344,7 +343,7 @@ def describe_texts(spark, sf):
 )
 def quantiles_sliced(spark, sf):
     probs = {"d1": 0.1, "median": 0.5, "d9": 0.9}
-    lines = read_table(spark, sf, "lineitem")
+    lines = table(spark, sf, "lineitem")
     return rounded(sliced_quantiles(lines, "l_extendedprice", probs, ["l_returnflag"], 1000))
 
 
@@ -364,7 +363,7 @@ def _improvement_sql() -> str:
 
 @query("improvement", _improvement_sql())
 def improvement(spark, sf):
-    orders = read_table(spark, sf, "orders").withColumn("root", F.sqrt("o_totalprice"))
+    orders = table(spark, sf, "orders").withColumn("root", F.sqrt("o_totalprice"))
     return rounded(compare(orders, "o_totalprice", "root"))
 
 
@@ -374,7 +373,7 @@ def improvement(spark, sf):
        true AS rows_kept""",
 )
 def same_rows_query(spark, sf):
-    return same_rows(read_table(spark, sf, "orders"), fact(spark, sf))
+    return same_rows(table(spark, sf, "orders"), fact(spark, sf))
 
 
 # --- distribution ----------------------------------------------------------------
@@ -395,7 +394,7 @@ def _histogram_sql(bins: int, columns: str) -> str:
     _histogram_sql(50, "bin, round(lower, 4) AS lower, round(upper, 4) AS upper, count"),
 )
 def histogram_query(spark, sf):
-    bars = histogram(read_table(spark, sf, "orders"), "o_totalprice", 50)
+    bars = histogram(table(spark, sf, "orders"), "o_totalprice", 50)
     return rounded(bars.drop("density"))
 
 
@@ -404,7 +403,7 @@ def histogram_query(spark, sf):
     _histogram_sql(60, "bin, count, round(density * 1000000, 6) AS density_ppm"),
 )
 def histogram_density(spark, sf):
-    bars = histogram(read_table(spark, sf, "orders"), "o_totalprice", 60)
+    bars = histogram(table(spark, sf, "orders"), "o_totalprice", 60)
     return bars.select("bin", "count", F.round(F.col("density") * 1e6, 6).alias("density_ppm"))
 
 
@@ -417,7 +416,7 @@ LINES_SQL = """lines AS (SELECT *, l_extendedprice * l_extendedprice * l_quantit
 
 def _lines(spark, sf):
     price = F.col("l_extendedprice")
-    return read_table(spark, sf, "lineitem").withColumn(
+    return table(spark, sf, "lineitem").withColumn(
         "v", price * price * F.col("l_quantity") / 1e9
     )
 
@@ -459,7 +458,7 @@ GRID_SQL = """s AS (SELECT count(*) AS n, avg(o_totalprice) AS m, stddev_samp(o_
         FROM g, orders GROUP BY point, x, n, sd""",
 )
 def kde_grid(spark, sf):
-    grid = kernel_density(read_table(spark, sf, "orders"), "o_totalprice")
+    grid = kernel_density(table(spark, sf, "orders"), "o_totalprice")
     return grid.select(
         "point", F.round("x", 4).alias("x"), F.round(F.col("density") * 1e6, 6).alias("density_ppm")
     )
@@ -473,7 +472,7 @@ def kde_grid(spark, sf):
         FROM g""",
 )
 def normal_overlay_query(spark, sf):
-    grid = normal_overlay(read_table(spark, sf, "orders"), "o_totalprice")
+    grid = normal_overlay(table(spark, sf, "orders"), "o_totalprice")
     return grid.select(
         "point", F.round("x", 4).alias("x"), F.round(F.col("density") * 1e6, 6).alias("density_ppm")
     )
@@ -510,7 +509,7 @@ QQ_SQL = f"""o AS (SELECT value AS observed, row_number() OVER (ORDER BY value,
     f"""WITH {QQ_SQL} SELECT position, round(theoretical, 8) AS theoretical, observed FROM points""",
 )
 def qq_points_query(spark, sf):
-    points = qq_points(read_table(spark, sf, "events"), "value", ["event_id"])
+    points = qq_points(table(spark, sf, "events"), "value", ["event_id"])
     return points.withColumn("theoretical", F.round("theoretical", 8))
 
 
@@ -521,7 +520,7 @@ def qq_points_query(spark, sf):
         round(corr(observed, theoretical), 6) AS r FROM points""",
 )
 def qq_line_query(spark, sf):
-    line = qq_line(qq_points(read_table(spark, sf, "events"), "value", ["event_id"]))
+    line = qq_line(qq_points(table(spark, sf, "events"), "value", ["event_id"]))
     return line.withColumns(
         {"slope": F.round("slope", 5), "intercept": F.round("intercept", 5), "r": F.round("r", 6)}
     )

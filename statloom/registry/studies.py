@@ -11,9 +11,9 @@ from statloom.plans.normalise import normalise
 from statloom.plans.normality_study import study_normality
 from statloom.plans.report import DistributionReport
 from statloom.plans.selection import select_features
-from statloom.registry.base import fact, joined, query, rounded
+from statloom.registry.base import fact, joined, query, rounded, table
 from statloom.registry.statistics import encode_sql
-from statloom.sources.readers import flatten_objects, read_table
+from statloom.sources.readers import flatten_objects
 
 # --- the four source tables, with nested lists and objects -------------------------
 
@@ -25,14 +25,14 @@ def _items(length):
 
 
 def _geography(spark, sf):
-    nation, region = (read_table(spark, sf, t) for t in ("nation", "region"))
+    nation, region = (table(spark, sf, t) for t in ("nation", "region"))
     return joined(nation, region, "n_regionkey", "r_regionkey", "r_name")
 
 
 def commitments(spark, sf) -> DataFrame:
     wide = joined(
-        read_table(spark, sf, "orders"),
-        read_table(spark, sf, "customer"),
+        table(spark, sf, "orders"),
+        table(spark, sf, "customer"),
         "o_custkey", "c_custkey", "c_mktsegment", "c_nationkey", "c_acctbal",
     )
     wide = joined(wide, _geography(spark, sf), "c_nationkey", "n_nationkey", "n_name", "r_name")
@@ -77,11 +77,11 @@ def commitments(spark, sf) -> DataFrame:
 
 def programs(spark, sf) -> DataFrame:
     orders = joined(
-        read_table(spark, sf, "orders"), read_table(spark, sf, "customer"),
+        table(spark, sf, "orders"), table(spark, sf, "customer"),
         "o_custkey", "c_custkey", "c_mktsegment",
     )
     lines = joined(
-        read_table(spark, sf, "lineitem"), orders,
+        table(spark, sf, "lineitem"), orders,
         "l_orderkey", "o_orderkey", "o_orderdate", "o_orderpriority", "c_mktsegment",
     )
     price = F.col("l_extendedprice")
@@ -102,11 +102,11 @@ def programs(spark, sf) -> DataFrame:
 
 def positions(spark, sf) -> DataFrame:
     supplier = joined(
-        read_table(spark, sf, "supplier"), read_table(spark, sf, "nation"),
+        table(spark, sf, "supplier"), table(spark, sf, "nation"),
         "s_nationkey", "n_nationkey", "n_name",
     )
     lines = joined(
-        read_table(spark, sf, "lineitem"), supplier, "l_suppkey", "s_suppkey", "n_name"
+        table(spark, sf, "lineitem"), supplier, "l_suppkey", "s_suppkey", "n_name"
     )
     filled = F.col("l_quantity") - F.col("l_linenumber")
     nothing = F.lit(None).cast("double")
@@ -132,7 +132,7 @@ def positions(spark, sf) -> DataFrame:
 
 def advances(spark, sf) -> DataFrame:
     wide = joined(
-        read_table(spark, sf, "orders"), read_table(spark, sf, "customer"),
+        table(spark, sf, "orders"), table(spark, sf, "customer"),
         "o_custkey", "c_custkey", "c_mktsegment",
     )
     numbered = F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey").cast("string"))

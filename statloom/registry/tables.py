@@ -20,9 +20,9 @@ from statloom.functions.columns import (
 )
 from statloom.operators.describe import describe, profile, quality
 from statloom.operators.keyed import left_join
-from statloom.registry.base import FACT_SQL, fact, joined, query, rounded
+from statloom.registry.base import FACT_SQL, fact, joined, query, rounded, table
 from statloom.session import scratch_path
-from statloom.sources.readers import read_csv, read_json_family, read_table
+from statloom.sources.readers import read_csv, read_json_family
 from statloom.sources.writers import write_csv, write_json
 
 
@@ -34,7 +34,7 @@ from statloom.sources.writers import write_csv, write_json
 )
 def json_scan_flatten(spark, sf):
     # Two JSON families share a prefix; one lacks a column, which becomes null.
-    orders = read_table(spark, sf, "orders")
+    orders = table(spark, sf, "orders")
     base = scratch_path(spark, "json")
     nested = orders.select(
         "o_orderkey",
@@ -56,13 +56,13 @@ def json_scan_flatten(spark, sf):
     """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""",
 )
 def json_props(spark, sf):
-    events = read_table(spark, sf, "events")
+    events = table(spark, sf, "events")
     return events.select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
 
 
 @query("csv_roundtrip", "SELECT p_partkey, p_name, p_size, p_retailprice FROM part")
 def csv_roundtrip(spark, sf):
-    part = read_table(spark, sf, "part").select("p_partkey", "p_name", "p_size", "p_retailprice")
+    part = table(spark, sf, "part").select("p_partkey", "p_name", "p_size", "p_retailprice")
     path = scratch_path(spark, "csv")
     write_csv(part, path)
     return read_csv(spark, path, part.schema)
@@ -78,7 +78,7 @@ def csv_roundtrip(spark, sf):
               round(kurtosis(o_totalprice), 6) AS curtose FROM orders""",
 )
 def metadata_row(spark, sf):
-    orders = read_table(spark, sf, "orders")
+    orders = table(spark, sf, "orders")
     stats = describe(orders, ["o_totalprice"], quartiles=False)
     nested = stats.select(
         F.struct(
@@ -102,7 +102,7 @@ def metadata_row(spark, sf):
     "SELECT count(*) AS n_rows, CAST(6 AS BIGINT) AS n_columns FROM orders",
 )
 def profile_query(spark, sf):
-    return profile(read_table(spark, sf, "orders"))
+    return profile(table(spark, sf, "orders"))
 
 
 @query(
@@ -119,7 +119,7 @@ def quality_counts(spark, sf):
         F.when(F.col("o_orderstatus") == "O", F.lit(float("inf")))
         .when(F.col("o_orderstatus") == "F", F.col("o_totalprice"))
     )
-    orders = read_table(spark, sf, "orders").withColumn("gap", gap)
+    orders = table(spark, sf, "orders").withColumn("gap", gap)
     return quality(orders, ["o_totalprice", "gap"])
 
 
@@ -138,7 +138,7 @@ def coerce_numeric(spark, sf):
         .otherwise(F.lit(" 1.25e1 "))
     )
     amount = to_number(text)
-    return read_table(spark, sf, "orders").select(
+    return table(spark, sf, "orders").select(
         "o_orderkey", amount.alias("amount"), F.coalesce(amount, F.lit(0.0)).alias("filled")
     )
 
@@ -153,7 +153,7 @@ def coerce_timestamp(spark, sf):
         F.col("o_orderstatus") == "F", F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
     ).when(F.col("o_orderstatus") == "O", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
     text = text.otherwise(F.date_format("o_orderdate", "dd/MM/yyyy"))
-    return read_table(spark, sf, "orders").select("o_orderkey", to_timestamp(text).alias("at"))
+    return table(spark, sf, "orders").select("o_orderkey", to_timestamp(text).alias("at"))
 
 
 @query(
@@ -168,7 +168,7 @@ def coerce_timestamp(spark, sf):
 )
 def date_parts_flags(spark, sf):
     p = date_parts("o_orderdate")
-    return read_table(spark, sf, "orders").select(
+    return table(spark, sf, "orders").select(
         "o_orderkey",
         p["month"].alias("mes"),
         p["quarter"].alias("trimestre"),
@@ -191,7 +191,7 @@ def date_parts_flags(spark, sf):
 )
 def ratios_logs(spark, sf):
     gap = F.col("l_quantity") - 25
-    return read_table(spark, sf, "lineitem").select(
+    return table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
         F.round(ratio("l_discount", "l_extendedprice"), 9).alias("tx_anulacao"),
         F.round(ratio(F.col("l_discount") + F.col("l_tax"), "l_extendedprice"), 9).alias("tx_restos"),
@@ -210,7 +210,7 @@ def ratios_logs(spark, sf):
        FROM embeddings""",
 )
 def nested_len_sum_mean(spark, sf):
-    listed = read_table(spark, sf, "embeddings").withColumn(
+    listed = table(spark, sf, "embeddings").withColumn(
         "levels", F.transform("embedding", lambda x: F.struct(x.alias("valor")))
     )
     some = F.when(F.col("label") < 5, F.col("levels"))
@@ -228,7 +228,7 @@ def nested_len_sum_mean(spark, sf):
     """SELECT c_custkey, c_mktsegment, CAST(NULL AS VARCHAR) AS c_missing FROM customer""",
 )
 def optional_column(spark, sf):
-    customer = read_table(spark, sf, "customer")
+    customer = table(spark, sf, "customer")
     return customer.select(
         "c_custkey",
         optional(customer, "c_mktsegment").alias("c_mktsegment"),
@@ -242,7 +242,7 @@ def optional_column(spark, sf):
               c_nationkey, 1.25::DOUBLE AS lambda_boxcox FROM customer""",
 )
 def prefix_projection(spark, sf):
-    customer = read_table(spark, sf, "customer")
+    customer = table(spark, sf, "customer")
     name = f"target_{snake_name('Raiz Quadrada')}"
     wide = customer.withColumns({"lambda_boxcox": F.lit(1.25), name: F.col("c_acctbal")})
     kept = wide.select(*sorted(with_prefix(wide, "c_")), "lambda_boxcox", name)
@@ -258,7 +258,7 @@ def prefix_projection(spark, sf):
 )
 def thresholds(spark, sf):
     over = {n: flag(F.col("o_totalprice") >= n) for n in (1000, 100000, 300000)}
-    return read_table(spark, sf, "orders").agg(
+    return table(spark, sf, "orders").agg(
         F.sum(over[1000]).alias("above_1000"),
         F.sum(over[100000]).alias("above_100000"),
         F.round(F.avg(over[300000]), 6).alias("share_300000"),
@@ -287,7 +287,7 @@ ADVANCE_SQL = """advances AS (
 
 
 def _programs(spark, sf):
-    lines, part = (read_table(spark, sf, t) for t in ("lineitem", "part"))
+    lines, part = (table(spark, sf, t) for t in ("lineitem", "part"))
     wide = joined(lines, part, "l_partkey", "p_partkey", "p_brand")
     return wide.groupBy(
         F.year("l_shipdate").alias("year"),
@@ -304,7 +304,7 @@ def _programs(spark, sf):
 
 
 def _positions(spark, sf):
-    lines, supplier = (read_table(spark, sf, t) for t in ("lineitem", "supplier"))
+    lines, supplier = (table(spark, sf, t) for t in ("lineitem", "supplier"))
     wide = joined(lines, supplier, "l_suppkey", "s_suppkey", "s_nationkey")
     totals = wide.groupBy(
         F.year("l_shipdate").alias("year"), F.col("s_nationkey").alias("nation")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,6 +72,17 @@ def allow_wide_rows(spark: SparkSession, fields: int = 2_000) -> None:
         spark.conf.set(name, str(fields))
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """Run eager work under one changed session setting."""
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores for a materialised table that came from fewer input splits."""
     cores = df.sparkSession.sparkContext.defaultParallelism
