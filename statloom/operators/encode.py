@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from statloom.functions.coerce import quoted
 from statloom.functions.columns import unique_sorted
-from statloom.operators.keyed import any_null, is_small, left_join
+from statloom.operators.keyed import HOT_KEYS, any_null, is_small, key_hash, left_join
 from statloom.operators.ordering import (
     ROW_LIMIT,
     fits_one_task,
     percentile_columns,
+    slice_bounds,
     sliced_quantiles,
 )
 from statloom.session import allow_wide_rows, materialise, setting, spread
@@ -82,7 +83,11 @@ def group_statistics(
             ))).alias("_group"),
             "_target",
         ).select("_group.*", "_target").filter(F.col("_key").isNotNull())
-        medians = sliced_quantiles(expanded, "_target", {"median": 0.5}, ["_set", "_key"], row_limit)
+        # Every key set holds each value once, so the plain column sets the slices.
+        bounds = slice_bounds(narrow, "_target", row_limit)
+        medians = sliced_quantiles(
+            expanded, "_target", {"median": 0.5}, ["_set", "_key"], bounds=bounds
+        )
         long = materialise(
             grouped.agg(tag, *_moments("_target"))
             .withColumn("_key", F.struct(*names))
@@ -99,6 +104,13 @@ def group_statistics(
     return {prefix: (table, sizes.get(ids[prefix], 0)) for prefix, table in tables.items()}
 
 
+def _hot_groups(table: DataFrame, keys: Sequence[str], size: str) -> list[int]:
+    """Hashes of the groups with more than 1/HOT_KEYS of all rows: at most HOT_KEYS."""
+    least = (table.agg(F.sum(size)).first()[0] or 0) / HOT_KEYS
+    hot = table.filter(F.col(size) > least).select(key_hash(keys).alias("h"))
+    return [r["h"] for r in hot.collect()]
+
+
 def stat_encode(
     df: DataFrame,
     key_sets: Mapping[str, Sequence[str]],
@@ -119,5 +131,6 @@ def stat_encode(
         if is_small(table, rows):
             df = df.join(F.broadcast(table), list(key_sets[prefix]), "left")
         else:
-            df = left_join(df, table, key_sets[prefix], side_rows=rows)
+            hot = _hot_groups(table, key_sets[prefix], f"{prefix}_count")
+            df = left_join(df, table, key_sets[prefix], side_rows=rows, hot=hot)
     return df.select(*map(quoted, columns))

@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from statloom.functions.coerce import quoted
 from statloom.session import materialise
@@ -19,6 +20,8 @@ BROADCAST_CELLS = 1_000_000
 # A key is hot when it holds more than 1/HOT_KEYS of the rows, so at most
 # HOT_KEYS keys are hot and a table of them is always small.
 HOT_KEYS = 1_000
+# Over how many tasks the rows of a hot or missing key are spread.
+SALTS = 256
 
 
 def any_null(names: Sequence[str]) -> Column:
@@ -43,19 +46,28 @@ def is_small(side: DataFrame, rows: int, broadcast_cells: int = BROADCAST_CELLS)
     return rows * len(side.columns) <= broadcast_cells
 
 
+def _row_salt(df: DataFrame) -> Column:
+    """A repeatable number below SALTS from the row's own values."""
+    plain = [
+        F.col(quoted(f.name)) for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)
+    ]
+    return F.pmod(F.xxhash64(*plain, F.lit(1)), F.lit(SALTS)).cast("int")
+
+
 def left_join(
     df: DataFrame,
     side: DataFrame,
     keys: Sequence[str],
     side_rows: int | None = None,
     broadcast_cells: int = BROADCAST_CELLS,
+    hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """Left join onto a side whose keys are unique; the row count never changes.
 
     The side is computed once and measured. A small one is broadcast, so ``df``
-    is not shuffled. A big one is shuffled on the keys, except that rows with a
-    hot or missing key, which would crowd into one task, meet the few matching
-    side rows by broadcast.
+    is not shuffled. A big one is shuffled on the keys and a salt: rows with a hot
+    or missing key spread over SALTS tasks, and the few hot side rows are repeated
+    for each salt. ``hot`` gives the hashes of the hot keys if they are known.
     """
     keys = list(keys)
     if side_rows is None:
@@ -66,12 +78,17 @@ def left_join(
     if is_small(side, side_rows, broadcast_cells):
         return df.join(F.broadcast(side), keys, "left").select(*columns)
 
-    # Equal keys must hash alike, so both sides get the types of ``df``.
+    # Equal keys must hash alike, so the side gets the key types of ``df``.
     side = side.withColumns({k: F.col(quoted(k)).cast(df.schema[k].dataType) for k in keys})
-    is_hot = key_hash(keys).isin(hot_hashes(df, keys)) | any_null(keys)
-    near = df.filter(is_hot).join(F.broadcast(side.filter(is_hot)), keys, "left")
-    far = df.filter(~is_hot).join(side.filter(~is_hot), keys, "left")
-    return near.select(*columns).unionByName(far.select(*columns))
+    is_hot = key_hash(keys).isin(list(hot_hashes(df, keys) if hot is None else hot))
+    salted = df.withColumn(
+        "_salt", F.when(is_hot | any_null(keys), _row_salt(df)).otherwise(F.lit(0))
+    )
+    every = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    repeated = side.withColumn(
+        "_salt", F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0))))
+    )
+    return salted.join(repeated, [*keys, "_salt"], "left").select(*columns)
 
 
 def attach(df: DataFrame, stats: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:

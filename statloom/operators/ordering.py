@@ -125,15 +125,19 @@ def sliced_quantiles(
     probs: Mapping[str, float],
     group_cols: Sequence[str] = (),
     rows_per_slice: int = ROW_LIMIT,
+    bounds: Sequence[float] | None = None,
 ) -> DataFrame:
     """Exact interpolated quantiles of groups of any size, one row per group.
 
-    Three narrow passes, none of which sorts or shuffles the whole column.
+    Narrow passes, none of which sorts or shuffles the whole column. ``bounds`` may
+    give slice boundaries that are known already.
     """
     keys = list(group_cols) or ["_all"]
     narrow = df.withColumn("_all", F.lit(0)).select(*keys, F.col(value).alias("_v"))
     narrow = narrow.filter(F.col("_v").isNotNull())
-    sliced = with_slice(narrow, "_v", slice_bounds(narrow, "_v", rows_per_slice))
+    if bounds is None:
+        bounds = slice_bounds(narrow, "_v", rows_per_slice)
+    sliced = with_slice(narrow, "_v", bounds)
 
     # The two order statistics around each quantile, with their weights.
     wanted = F.array(

@@ -105,3 +105,10 @@ def test_attach_without_groups_needs_no_join(table):
     stats = table.agg(F.avg("value").alias("m"))
     plan = attach(table, stats)._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan
+
+
+def test_hot_rows_spread_over_tasks(spark, table):
+    side = table.dropna(subset=["key"]).groupBy("key").agg(F.count("*").alias("n"))
+    with_limit = left_join(table, side, ["key"], broadcast_cells=0)
+    plan = with_limit._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan and with_limit.count() == 3000

@@ -48,6 +48,19 @@ def test_stat_encode(frame, limit):
             np.testing.assert_allclose(got[f"{prefix}_{s}"].astype(float), want[s], rtol=1e-12)
 
 
+def test_stat_encode_with_big_side_tables(frame, monkeypatch):
+    import statloom.operators.encode as encode
+    import statloom.operators.keyed as keyed
+
+    rows = [(i, "hot" if i % 3 else str(i % 50), float(i % 17)) for i in range(600)]
+    df = frame([*rows, (600, None, 1.0)], "i int, k string, t double")
+    want = stat_encode(df, {"te": ["k"]}, "t").orderBy("i").collect()
+    small = keyed.is_small
+    monkeypatch.setattr(encode, "is_small", lambda side, n: False)
+    monkeypatch.setattr(keyed, "is_small", lambda side, n, cells: small(side, n, 0))
+    assert stat_encode(df, {"te": ["k"]}, "t").orderBy("i").collect() == want
+
+
 def test_mean_encoding_correlates_most(frame):
     rng = np.random.default_rng(1)
     rows = [(str(k), float(k % 3 + rng.normal())) for k in rng.integers(0, 9, 800)]
