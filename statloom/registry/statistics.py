@@ -276,7 +276,7 @@ def collinear_pairs_query(spark, sf):
 # --- description -----------------------------------------------------------------
 
 
-def _describe_sql(column: str, table: str, group: str = "", extra: bool = True) -> str:
+def describe_sql(column: str, table: str, group: str = "", extra: bool = True) -> str:
     quart = (
         f""", quantile_cont({column}, 0.25) AS q1, quantile_cont({column}, 0.75) AS q3,
         quantile_cont({column}, 0.75) - quantile_cont({column}, 0.25) AS iqr,
@@ -303,7 +303,7 @@ ELEVEN = [*SEVEN, "q1", "q3", "iqr", "cv"]
 
 @query(
     "describe_7",
-    _round_sql(_describe_sql("o_totalprice", "orders", extra=False), ["variable", "n"], SEVEN),
+    _round_sql(describe_sql("o_totalprice", "orders", extra=False), ["variable", "n"], SEVEN),
 )
 def describe_7(spark, sf):
     return rounded(describe(table(spark, sf, "orders"), ["o_totalprice"], quartiles=False))
@@ -312,7 +312,7 @@ def describe_7(spark, sf):
 @query(
     "describe_11",
     _round_sql(
-        _describe_sql("o_totalprice", "orders", "o_orderstatus"),
+        describe_sql("o_totalprice", "orders", "o_orderstatus"),
         ["o_orderstatus", "variable", "n"],
         ELEVEN,
     ),
@@ -324,7 +324,7 @@ def describe_11(spark, sf):
 @query(
     "describe_texts",
     _round_sql(
-        _describe_sql(
+        describe_sql(
             "n_chars", "(SELECT lang, CAST(n_chars AS DOUBLE) AS n_chars FROM documents)", "lang"
         ),
         ["lang", "variable", "n"],
@@ -348,8 +348,8 @@ def quantiles_sliced(spark, sf):
 
 
 def _improvement_sql() -> str:
-    before = _describe_sql("o_totalprice", "orders")
-    after = _describe_sql("root", "(SELECT sqrt(o_totalprice) AS root FROM orders)")
+    before = describe_sql("o_totalprice", "orders")
+    after = describe_sql("root", "(SELECT sqrt(o_totalprice) AS root FROM orders)")
     rows = " UNION ALL ".join(
         f"""SELECT '{s}' AS statistic, a.{s} AS before, b.{s} AS after FROM a, b"""
         for s in ELEVEN
@@ -492,8 +492,10 @@ def _ratio_sql(x: str, piece) -> str:
     return f"{_poly_sql(x, piece[0])} / {_poly_sql(x, piece[1])}"
 
 
-QQ_SQL = f"""o AS (SELECT value AS observed, row_number() OVER (ORDER BY value, event_id) AS i,
-      CAST(count(*) OVER () AS DOUBLE) AS n FROM events),
+def qq_sql(value: str, key: str, source: str) -> str:
+    """CTEs that end in ``points``: position, observed, theoretical."""
+    return f"""o AS (SELECT {value} AS observed, row_number() OVER (ORDER BY {value}, {key}) AS i,
+      CAST(count(*) OVER () AS DOUBLE) AS n FROM {source}),
     p AS (SELECT i, observed, CASE WHEN i = n THEN pow(0.5, 1 / n)
             WHEN i = 1 THEN 1 - pow(0.5, 1 / n) ELSE (i - 0.3175) / (n + 0.365) END AS p FROM o),
     z AS (SELECT i, observed, p - 0.5 AS q, 0.180625 - (p - 0.5) * (p - 0.5) AS c,
@@ -504,6 +506,9 @@ QQ_SQL = f"""o AS (SELECT value AS observed, row_number() OVER (ORDER BY value,
         ELSE sign(q) * {_ratio_sql('b', TAIL)} END AS theoretical FROM z)"""
 
 
+QQ_SQL = qq_sql("value", "event_id", "events")
+
+
 @query(
     "qq_points",
     f"""WITH {QQ_SQL} SELECT position, round(theoretical, 8) AS theoretical, observed FROM points""",

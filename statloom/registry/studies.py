@@ -12,7 +12,7 @@ from statloom.plans.normality_study import study_normality
 from statloom.plans.report import DistributionReport
 from statloom.plans.selection import select_features
 from statloom.registry.base import fact, joined, query, rounded, table
-from statloom.registry.statistics import encode_sql
+from statloom.registry.statistics import ELEVEN, describe_sql, encode_sql, qq_sql
 from statloom.sources.readers import flatten_objects
 
 # --- the four source tables, with nested lists and objects -------------------------
@@ -396,17 +396,87 @@ def normalise_checks(spark, sf):
     return normalise(_targets(spark, sf), lam=LAM).checks
 
 
-def _report(figure: str):
-    @query(f"report_{figure}")
-    def run(spark, sf):
-        table = normalise(_targets(spark, sf)).table
-        both = ("log_target", "log_target_normalizado")
-        return getattr(DistributionReport(table, *both, ["o_orderkey"]), figure)()
+BOTH = ("log_target", "log_target_normalizado")
+PAIR_SQL = f"""pair AS (SELECT o_orderkey, ln(1 + o_totalprice) AS log_target,
+      (pow(ln(1 + o_totalprice), {LAM}) - 1) / {LAM} AS log_target_normalizado FROM orders),
+    long AS (SELECT o_orderkey, 'log_target' AS variable, log_target AS v FROM pair UNION ALL
+      SELECT o_orderkey, 'log_target_normalizado', log_target_normalizado FROM pair)"""
+SHAPE_SQL = """s AS (SELECT variable, count(*) AS n, avg(v) AS m, stddev_samp(v) AS sd, min(v) AS lo,
+      max(v) AS hi FROM long GROUP BY 1),
+    g AS (SELECT s.*, CAST(i AS INTEGER) AS point, lo + i * (hi - lo) / 99 AS x FROM s, range(100) t(i))"""
 
 
-for _figure in ("histograms", "normal_overlays", "qq_lines", "boxes", "violins", "statistics",
-                "tests", "scatter"):
-    _report(_figure)
+def _report(figure: str, sql: str | None = None):
+    @query(f"report_{figure}", sql)
+    def run(spark, sf):
+        both = normalise(_targets(spark, sf), lam=LAM).table
+        return rounded(getattr(DistributionReport(both, *BOTH, ["o_orderkey"]), figure)(), 5)
+
+
+_report(
+    "histograms",
+    f"""WITH {PAIR_SQL},
+        r AS (SELECT variable, count(*) AS n, min(v) AS lo, (max(v) - min(v)) / 60 AS w FROM long GROUP BY 1),
+        c AS (SELECT variable, least(floor((v - lo) / w), 59) AS bin, count(*) AS k
+              FROM long JOIN r USING (variable) GROUP BY 1, 2)
+        SELECT r.variable, CAST(b.bin AS INTEGER) AS bin, round(lo + b.bin * w, 5) AS lower,
+          round(lo + (b.bin + 1) * w, 5) AS upper, coalesce(k, 0) AS count,
+          round(coalesce(k, 0) / (n * w), 5) AS density
+        FROM r CROSS JOIN range(60) b(bin) LEFT JOIN c ON c.bin = b.bin AND c.variable = r.variable""",
+)
+_report(
+    "normal_overlays",
+    f"""WITH {PAIR_SQL}, {SHAPE_SQL} SELECT variable, point, round(x, 5) AS x,
+        round(exp(-0.5 * pow((x - m) / sd, 2)) / (sd * sqrt(2 * pi())), 5) AS density FROM g""",
+)
+_report(
+    "qq_lines",
+    f"WITH {PAIR_SQL} "
+    + " UNION ALL ".join(
+        f"""SELECT * FROM (WITH {qq_sql(v, 'o_orderkey', 'pair')} SELECT count(*) AS n,
+        round(regr_slope(observed, theoretical), 5) AS slope,
+        round(regr_intercept(observed, theoretical), 5) AS intercept,
+        round(corr(observed, theoretical), 5) AS r, '{v}' AS variable FROM points)"""
+        for v in BOTH
+    ),
+)
+_report(
+    "boxes",
+    f"""WITH {PAIR_SQL}, q AS (SELECT variable, count(*) AS n, quantile_cont(v, 0.25) AS q1,
+          quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.75) AS q3 FROM long GROUP BY 1),
+        f AS (SELECT *, q1 - (q3 - q1) * 1.5 AS lo, q3 + (q3 - q1) * 1.5 AS hi FROM q)
+        SELECT variable, n, round(q1, 5) AS q1, round(median, 5) AS median, round(q3, 5) AS q3,
+          round(min(v) FILTER (v >= lo), 5) AS whisker_low,
+          round(max(v) FILTER (v <= hi), 5) AS whisker_high,
+          count(*) FILTER (v < lo OR v > hi) AS n_outliers
+        FROM long JOIN f USING (variable) GROUP BY ALL""",
+)
+_report(
+    "violins",
+    f"""WITH {PAIR_SQL}, {SHAPE_SQL} SELECT g.variable, point, round(x, 5) AS x,
+        round(sum(exp(-0.5 * pow((x - v) / (sd * pow(n, -0.2)), 2)))
+          / (n * sd * pow(n, -0.2) * sqrt(2 * pi())), 5) AS density
+        FROM g JOIN long USING (variable) GROUP BY g.variable, point, x, n, sd""",
+)
+_report(
+    "statistics",
+    f"""WITH {PAIR_SQL}, a AS ({describe_sql('log_target', 'pair')}),
+        b AS ({describe_sql('log_target_normalizado', 'pair')}),
+        t AS ({' UNION ALL '.join(
+            f"SELECT '{s}' AS statistic, a.{s} AS before, b.{s} AS after FROM a, b" for s in ELEVEN
+        )})
+        SELECT statistic, round(before, 5) AS before, round(after, 5) AS after,
+          CASE WHEN statistic IN ('skew', 'kurtosis')
+            THEN round((abs(before) - abs(after)) / abs(before) * 100, 5) END AS improvement_pct,
+          CASE WHEN statistic IN ('skew', 'kurtosis') THEN abs(after) < abs(before) END AS closer_to_zero
+        FROM t""",
+)
+_report("tests")
+_report(
+    "scatter",
+    f"""WITH {PAIR_SQL} SELECT o_orderkey, round(log_target, 5) AS x, round(log_target_normalizado, 5) AS y
+        FROM pair ORDER BY md5(o_orderkey || '|42'), o_orderkey LIMIT 2000""",
+)
 
 
 # --- estimation and regression -------------------------------------------------------
