@@ -227,12 +227,13 @@ def build_features(
     department gives the target away, so it is only added on request.
     """
     facts = row_features(clean_commitments(commitments))
-    table = store(enrich(facts, programs, positions, advances), "payroll")
+    base = table = store(enrich(facts, programs, positions, advances), "payroll")
     if with_rank:
         groups = ["anoExercicio", "descricaoOrgao"]
-        table = percent_rank_average(table, TARGET, groups, "rank_pago_orgao_ano", row_limit)
-    base = table
-    table = add_lags(base, "anoExercicio", "descricaoOrgao", TARGET, "orgao")
+        table = percent_rank_average(base, TARGET, groups, "rank_pago_orgao_ano", row_limit)
+    table = add_lags(
+        table, "anoExercicio", "descricaoOrgao", TARGET, "orgao", totals_from=base
+    )
     table = add_lags(
         table, "anoExercicio", "descricaoPrograma", TARGET, "prog",
         ("lag1_sum", "roll3_sum"), totals_from=base,
