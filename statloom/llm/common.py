@@ -81,8 +81,9 @@ def attach_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str], size:
         on = on & (F.col(k) == F.col(f"_k{i}"))
     first = rows.join(hot, on, "left").drop(*(f"_k{i}" for i in range(len(keys))))
     first = first.withColumnRenamed("_g", "_hot")
-    spread = first.withColumn("_salt", F.when(F.col("_hot").isNotNull(),
-                                              F.monotonically_increasing_id()).otherwise(-1))
+    # A hash of the row, so that a repeated task sends each row where it went before.
+    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(1 << 31))
+    spread = first.withColumn("_salt", F.when(F.col("_hot").isNotNull(), salt).otherwise(-1))
     rest = renamed.filter(F.col("_n") <= limit).drop("_n").withColumn("_kept", F.lit(-1))
     on = F.col("_salt") == F.col("_kept")
     for i, k in enumerate(keys):
