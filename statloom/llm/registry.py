@@ -1,6 +1,6 @@
 """All queries of the training-data operators by name, with their SQL where it exists."""
 
-from statloom.llm import exact_dedup, line_dedup, mixing, sharding, simhash  # noqa: F401
+from statloom.llm import exact_dedup, line_dedup, mixing, packing, sharding, simhash  # noqa: F401
 from statloom.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
