@@ -3,10 +3,51 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from statloom.llm.common import read, store
+from statloom.llm import exact_dedup, language, mixing, packing, simhash
+from statloom.llm.common import keep_rows, read, store
 
-STAGES: list = []
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents without a language: null texts and texts without any letter.
+
+    The model learns from the labelled documents handed in, by the rule of the operator.
+    """
+    model = language.fit(docs.filter(~language.held_out()))
+    found = docs.withColumn("_found", language.predictor(model)(F.col("text")))
+    return found.filter(F.col("_found.lang") != language.UNKNOWN).select(*docs.columns)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts that are equal but for runs of white space the smallest doc_id stays."""
+    return keep_rows(docs, exact_dedup.exact_dedup(docs))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of linked fingerprints stays, the one with the smallest doc_id."""
+    return keep_rows(docs, simhash.near_dedup(docs))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them; sources below their target repeat."""
+    return mixing.take(docs, mixing.mix_sources(docs))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the mixed documents in bins; copies of a text never share a bin."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("exact_dedup", drop_copies),
+    ("simhash_near_dedup", drop_near_copies),
+    ("source_mixing", mix),
+    ("best_fit_packing", pack),
+]
+
+# Fingerprints and suffix automata have no SQL equivalent.
 ORACLE_SQL = None
 
 

@@ -24,7 +24,7 @@ BROADCAST_ROWS = 500_000
 BUCKET_ROWS = 50_000
 
 __all__ = ["BROADCAST_ROWS", "BUCKET_ROWS", "ORACLES", "QUERIES", "SPACE", "SPACE_CHARS", "WORD",
-           "ascii_lower", "attach_groups", "query", "read", "running", "same", "store", "text_hash",
+           "ascii_lower", "attach_groups", "keep_rows", "one_each", "query", "read", "running", "same", "store", "text_hash",
            "without"]
 
 
@@ -116,3 +116,28 @@ def running(rows: DataFrame, group: Sequence[str], order: Sequence[Column], valu
     part = rows.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
     joined = part.join(starts, [*group, bucket])
     return joined.withColumn(name, F.col("_start") + F.col("_inside")).drop("_start", "_inside")
+
+
+def one_each(rows: DataFrame, keys: Sequence[str], twins: DataFrame) -> DataFrame:
+    """Rows, but of those whose key is in ``twins`` (keys held by several rows) one each."""
+    if twins.isEmpty():
+        return rows
+    ones = rows.join(twins, same(rows, twins, keys), "left_semi").dropDuplicates(list(keys))
+    return without(rows, twins).unionByName(ones)
+
+
+def keep_rows(docs: DataFrame, decided: DataFrame, id_col: str = "doc_id",
+              text_col: str = "text") -> DataFrame:
+    """Rows of ``docs`` that ``decided`` (id_col, t0, t1, kept: one row per row) keeps.
+
+    Rows are told by their id and 128 bits of their text. Where rows are alike in both, one
+    stays, as an operator that keeps one row of a class decides.
+    """
+    keys = [id_col, "_t0", "_t1"]
+    by_key = decided.select(id_col, F.col("t0").alias("_t0"), F.col("t1").alias("_t1"), "kept")
+    by_key = store(by_key.groupBy(*keys).agg(F.max("kept").alias("_kept"), F.count("*").alias("_n")), "kept")
+    hashes = text_hash(F.coalesce(F.col(text_col), F.lit("")))
+    rows = docs.withColumns({"_t0": hashes[0], "_t1": hashes[1]})
+    rows = without(rows, by_key.filter(~F.col("_kept")).select(*keys))
+    twins = by_key.filter(F.col("_kept") & (F.col("_n") > 1)).select(*keys)
+    return one_each(rows, keys, twins).select(*docs.columns)

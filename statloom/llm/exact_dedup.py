@@ -9,7 +9,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statloom.llm.common import BROADCAST_ROWS, SPACE, attach_groups, query, read, store
+from statloom.llm.common import (
+    BROADCAST_ROWS, SPACE, attach_groups, query, read, store, text_hash,
+)
 
 # Fingerprints one owner receives, about.
 OWNER_HASHES = 400_000
@@ -120,16 +122,18 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Every sender (a split of the stored hashes) sends each owner of a hash range its sorted
     distinct hashes, Golomb-coded; the owner returns a bitmap of those it knows from other
     rows; only texts with such a hash are shuffled and compared byte by byte. Returns per
-    row: id_col, text_hash, text_sha256, keep_id, group_size, kept. The rows are those of
+    row: id_col, t0 and t1 (128 bits of the text), text_sha256, keep_id, group_size, kept. The rows are those of
     ``docs``; of the equal texts the row with the smallest id is kept.
 
     Null texts count as empty. A null id is larger than every other (keep_id is null if all
     are). Of rows with equal text and id one is kept. An empty table gives no rows.
     """
     text = normalised(F.col(text_col))
-    source = docs.select(F.col(id_col).alias("id"), text.alias("text"))
+    own = text_hash(F.coalesce(F.col(text_col), F.lit("")))
+    source = docs.select(F.col(id_col).alias("id"), text.alias("text"),
+                         *(h.alias(f"t{i}") for i, h in enumerate(own)))
     source = source.withColumn("hash", F.xxhash64("text"))
-    table = source.select("id", "hash", F.sha2("text", 256).alias("sha"),
+    table = source.select("id", "hash", F.sha2("text", 256).alias("sha"), "t0", "t1",
                           F.monotonically_increasing_id().alias("rid"))
     rows = store(table, "dedup-hashes")
     total = rows.count()
@@ -158,7 +162,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     groups = store(equal.join(keepers, ["hash", "sha"]).filter("group_size > 1"), "dedup-groups")
     joined = attach_groups(rows, groups, ["hash", "sha"], "group_size", total)
     return joined.select(
-        F.col("id").alias(id_col), F.col("hash").alias("text_hash"), F.col("sha").alias("text_sha256"),
+        F.col("id").alias(id_col), "t0", "t1", F.col("sha").alias("text_sha256"),
         F.when(F.col("first").isNull(), F.col("id")).otherwise(F.col("first.id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
         F.coalesce(F.col("first.rid") == F.col("rid"), F.lit(True)).alias("kept"))

@@ -7,7 +7,9 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from statloom.llm.common import WORD, query, read, running, same, store
+from statloom.llm.common import (
+    SPACE, WORD, one_each, query, read, running, same, store, text_hash,
+)
 
 # Weights of the sources in code point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -120,8 +122,9 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     REPEATS times. A null text has no words; a null source is a source of its own, the
     last; rows with equal ids are rows of their own; an empty table gives an empty mix.
     """
+    hashes = text_hash(F.coalesce(F.col(text_col), F.lit("")))
     table = store(docs.select(
-        F.col(id_col).alias("id"), F.col(source_col).alias("source"),
+        F.col(id_col).alias("id"), *(h.alias(f"t{i}") for i, h in enumerate(hashes)), F.col(source_col).alias("source"),
         F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         F.coalesce(F.md5(F.col(id_col).cast("string").cast("binary")), F.lit("")).alias("order"),
     ), "mix-sizes")
@@ -131,7 +134,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     schedule = store(_schedule(sources, total), "mix-schedule")
 
     named = table.join(sources, same(table, sources, ["source"])).select(
-        table["id"], table["source"], "size", "order", "src", "source_size", "target", "words", "blocks")
+        table["id"], "t0", "t1", table["source"], "size", "order", "src", "source_size", "target", "words", "blocks")
     named = named.withColumn("part", F.substring("order", 1, 3))
     order = [F.col("order"), F.col("id"), F.col("size")]
     laid = store(running(named, ["src"], order, F.col("size"), "part", "start"), "mix-rows")
@@ -153,7 +156,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     has = F.col("size") > 0
     keyed = laid.withColumn("_at", F.when(has, F.col("start")).otherwise(-1 - F.col("start")))
     rows = keyed.join(taken.withColumnRenamed("start", "_at"), ["src", "_at"], "left").select(
-        F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target",
+        F.col("id").alias(id_col), "t0", "t1", F.col("source").alias(source_col), "size", "source_size", "target",
         F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
     pieces = pieces.select(
         "at", "src", "rank", F.col("id").alias(id_col),
@@ -161,6 +164,38 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return Mix(rows, sources, schedule, pieces)
 
 
+def take(docs: DataFrame, mix: Mix, id_col: str = "doc_id", text_col: str = "text",
+         count_col: str = "n_chars") -> DataFrame:
+    """The mixed documents in the columns of ``docs``: each as often as the mix takes it whole.
+
+    The one document of a source that its target cuts ends after the words taken, and its
+    ``count_col``, if there is one, is set anew. Rows are told by id, source and text.
+    """
+    keys = [id_col, "_t0", "_t1"]
+    hashes = text_hash(F.coalesce(F.col(text_col), F.lit("")))
+    rows = docs.withColumns({"_t0": hashes[0], "_t1": hashes[1]})
+    whole = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(0)
+    taken = mix.rows.filter("taken > 0").select(
+        F.col(id_col), F.col("t0").alias("_t0"), F.col("t1").alias("_t1"),
+        whole.alias("whole"), (F.col("taken") - whole * F.col("size")).alias("cut"))
+    # Rows alike in id and text are taken together.
+    cuts = F.filter(F.collect_list("cut"), lambda c: c > 0)
+    taken = store(taken.groupBy(*keys).agg(
+        F.concat(F.array_repeat(F.lit(0).cast("long"), F.sum("whole").cast("int")), cuts).alias("_turns"),
+        F.count("*").alias("_n")), "taken")
+    rows = one_each(rows, keys, taken.filter("_n > 1").select(*keys))
+    mixed = rows.join(taken, same(rows, taken, keys)).select(
+        *(rows[c] for c in docs.columns), F.explode("_turns").alias("_words"))
+    words = F.regexp_extract_all(F.col(text_col), F.lit(f"{SPACE}*{WORD}"), F.lit(0))
+    cut = F.when(F.col("_words") > 0, F.array_join(F.slice(words, F.lit(1), F.col("_words").cast("int")), ""))
+    mixed = mixed.withColumn(text_col, F.coalesce(cut, F.col(text_col)))
+    if count_col in docs.columns:
+        kind = docs.schema[count_col].dataType
+        counted = F.when(F.col("_words") > 0, F.length(text_col).cast(kind)).otherwise(F.col(count_col))
+        mixed = mixed.withColumn(count_col, counted)
+    return mixed.select(*docs.columns)
+
+
 SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, md5(CAST(doc_id AS VARCHAR)) AS o,
