@@ -221,6 +221,20 @@ LABELLED = (
         "house and in the garden.</aside><article>Short.</article>",
         "00001",
     ),
+    (
+        "<aside><h2>Ten things to know about cake today</h2><p>Cake is made of flour and eggs and sugar and it "
+        "keeps for some days in a tin if you close it well.</aside><div class=popup><h3>Stay in touch with all "
+        "of us</h3></div><article><h2>Tea and cake in the old days of the town</h2><p>Fine.</article>",
+        "00011",
+    ),
+    (
+        "<div><a>Home</a></div><div>Log in or sign up</div><p>When the ship came in the whole town ran down to the "
+        "harbour to see what it had brought from the far side of the sea.<p>Nobody spoke.<p>Then the captain came "
+        "down the plank with a small box under his arm and asked the way to the house of the mayor.<p>He was "
+        "tired.<p>They led him through the narrow streets up to the market where the mayor lived in a house with "
+        "green doors.<div>Page one of nine</div><div><a>Next</a></div>",
+        "001111100",
+    ),
 )
 
 

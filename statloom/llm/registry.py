@@ -1,6 +1,8 @@
 """All queries of the training-data operators by name, with their SQL where it exists."""
 
-from statloom.llm import exact_dedup, language, line_dedup, mixing, packing, sharding, simhash  # noqa: F401
+from statloom.llm import (  # noqa: F401
+    exact_dedup, html_text, language, line_dedup, mixing, packing, sharding, simhash,
+)
 from statloom.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
