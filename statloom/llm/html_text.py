@@ -235,6 +235,20 @@ LABELLED = (
         "green doors.<div>Page one of nine</div><div><a>Next</a></div>",
         "001111100",
     ),
+    (
+        "<article>All of the apples were picked by noon on the first day and carried down to the press in the old "
+        "barn behind the church by the river.</article><footer>Contact</footer><article>The juice was put into "
+        "barrels and kept in the cellar until the winter came and the snow lay high on all the roofs of the "
+        "town.</article><nav><a>Next</a></nav><aside>Read on</aside>",
+        "10100",
+    ),
+    (
+        "<p>They say that the bell was cast from the guns of the last war and that it rang for three days without "
+        "a pause when peace came.<footer>Press</footer><p>It still hangs there and you can see it if you climb the "
+        "stairs of the tower on a day when the keeper is at home.<div class=ad>Buy now</div><p>Few do so.<div "
+        "class=comments>I did</div>",
+        "101010",
+    ),
 )
 
 
@@ -253,7 +267,7 @@ def labelled_blocks() -> tuple[np.ndarray, np.ndarray]:
     return rows, np.array([int(k) for _, labels in LABELLED for k in labels])
 
 
-def grow(x: np.ndarray, y: np.ndarray, depth: int = 6) -> Node:
+def grow(x: np.ndarray, y: np.ndarray, depth: int = 8) -> Node:
     """A decision tree that splits where the Gini impurity falls most."""
     if depth == 0 or y.min() == y.max():
         return Node(-1, float(y.mean() >= 0.5))
