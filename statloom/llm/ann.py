@@ -206,7 +206,7 @@ def _score(top: int):
 
     def run(posted: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(posted) or not len(queries):
-            return pd.DataFrame({"q0": [], "q1": [], "h0": [], "h1": [], "score": [], "ids": []})
+            return pd.DataFrame({c: pd.Series([], dtype=object) for c in ("q0", "q1", "h0", "h1", "score", "ids")})
         # Identical rows in one order, whatever order the shuffle brought.
         posted = posted.sort_values(["h0", "h1"], kind="stable")
         scores = _stack(queries["vec"]) @ _stack(posted["vec"]).T

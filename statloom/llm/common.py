@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -40,7 +42,21 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers look for this package where the driver found it.
+
+    For sessions that were started elsewhere; on a cluster the package is installed or shipped.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*known, root]))
+
+
 def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table of the folder ``sf``."""
+    share_package(spark)
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
