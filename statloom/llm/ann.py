@@ -20,11 +20,11 @@ LIST_ROWS = 128
 # A sample vector for each this many at least, so that a list's centre is a mean.
 LIST_SAMPLE = 4
 # Lists a vector is put in, and how much farther than the nearest centroid they may be.
-REPLICAS, BUILD_RATIO = 4, 1.15
+REPLICAS, BUILD_RATIO = 8, 1.2
 # Lists a query looks into: by distance ratio, within these numbers.
-PROBES, PROBE_RATIO = 96, 1.5
-# Neighbours in the graph, and candidates a search keeps.
-DEGREE, BEAM = 24, 32
+PROBES, PROBE_RATIO = 80, 1.5
+# Neighbours in the graph, and candidates a search for a vector's own lists keeps.
+DEGREE, BEAM = 24, 16
 # Vectors of a list that one task compares.
 CHUNK_ROWS = 4_096
 
@@ -156,27 +156,16 @@ def fit(distinct: DataFrame, total: int, dims: int, radius: float) -> Index:
 
 
 def _post(index: Index):
-    """Each vector with the lists it goes to: the nearest, and others about as near that lie
-    in another direction (a list nearer to a chosen centroid than to the vector is left out)."""
+    """Each vector with the lists it goes to: the nearest, and others about as near."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for at in range(0, len(batch), CHUNK_ROWS):
                 part = batch.iloc[at:at + CHUNK_ROWS]
-                lifted = lift(_stack(part["vec"]), index.radius)
-                ids, dist = search_graph(index, lifted, BEAM // 2)
-                rows, lists = [], []
-                for i in range(len(part)):
-                    chosen = []
-                    for c, d in zip(ids[i], dist[i], strict=True):
-                        if c < 0 or len(chosen) == REPLICAS or d > BUILD_RATIO**2 * dist[i, 0]:
-                            break
-                        gaps = ((index.centroids[chosen] - index.centroids[c]) ** 2).sum(axis=1)
-                        if not (gaps < d).any():
-                            chosen.append(int(c))
-                    rows += [i] * len(chosen)
-                    lists += chosen
-                yield part.iloc[rows].assign(list=np.array(lists, np.int32))
+                ids, dist = search_graph(index, lift(_stack(part["vec"]), index.radius), BEAM)
+                ids, dist = ids[:, :REPLICAS], dist[:, :REPLICAS]
+                rows, columns = np.nonzero((ids >= 0) & (dist <= BUILD_RATIO**2 * dist[:, :1]))
+                yield part.iloc[rows].assign(list=ids[rows, columns])
 
     return run
 
@@ -244,7 +233,9 @@ def nearest(table: DataFrame, is_query: Column, top: int = TOP, id_col: str = "v
     equally common ones counts). Rows with one id and one vector count once; a query never
     finds its own id. An empty table gives no rows.
     """
-    vec = F.transform(F.col(vec_col), lambda x: x.cast("double"))
+    element = table.schema[vec_col].dataType.elementType.simpleString()
+    kept = element if element in ("float", "double") else "double"
+    vec = F.col(vec_col).cast(f"array<{kept}>")
     rows = table.select(F.col(id_col).cast("long").alias("id"), vec.alias("vec"),
                         F.coalesce(is_query, F.lit(False)).alias("asks"))
     rows = rows.filter(F.col("id").isNotNull() & _valid(F.col("vec")))
@@ -261,11 +252,11 @@ def nearest(table: DataFrame, is_query: Column, top: int = TOP, id_col: str = "v
     distinct = few.groupBy(*keys).agg(
         F.sort_array(F.collect_list("id")).alias("ids"), F.first("vec").alias("vec"))
     distinct = store(distinct, "distinct-vectors")
-    norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))
+    norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
     count, radius = distinct.agg(F.count("*"), F.max(norm)).first()
     index = fit(distinct, count, dims, radius or 1.0)
 
-    kind = "h0 long, h1 long, ids array<long>, vec array<double>, list int"
+    kind = f"h0 long, h1 long, ids array<long>, vec array<{kept}>, list int"
     posted = store(distinct.mapInPandas(_post(index), kind), "posting-lists")
     sizes = posted.groupBy("list").count().collect()  # one row per centroid, which the driver has
     for r in sizes:
@@ -273,7 +264,7 @@ def nearest(table: DataFrame, is_query: Column, top: int = TOP, id_col: str = "v
     asked = rows.filter("asks").groupBy(*keys).agg(F.first("vec").alias("vec"), F.count("*").alias("n"))
     asked = store(asked, "distinct-queries")
     probes = asked.select(*keys, "vec").mapInPandas(
-        _probe(index, top), "h0 long, h1 long, vec array<double>, list int")
+        _probe(index, top), f"h0 long, h1 long, vec array<{kept}>, list int")
 
     # A list is cut into parts of CHUNK_ROWS; a query goes to all parts.
     parts = F.element_at(F.lit(np.maximum(1, -(-index.sizes // CHUNK_ROWS)).tolist()), F.col("list") + 1)
