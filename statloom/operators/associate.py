@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +33,8 @@ def corr_with_target(
         as_double(df, target).alias("_target"),
         *(as_double(df, c).alias(c) for c in columns if c != target),
     )
+    if group_cols:
+        wide = wide.dropna(subset=list(group_cols))
     names = [quoted(c) for c in columns if c != target]
     long = wide.unpivot([*group_cols, "_target"], names, "variable", "value")
     complete = F.col("value").isNotNull() & F.col("_target").isNotNull()
@@ -63,34 +68,69 @@ def with_selection(corr: DataFrame, threshold: float = 0.3) -> DataFrame:
     return corr.withColumn("selected", chosen)
 
 
+def _gram(width: int):
+    """Sums over the rows where both columns of a pair are present, as matrix products.
+
+    One row per task and pair leaves: counts, sums of either column, of squares and of
+    products. An infinite value turns the sums of its pairs to NaN and no others.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((6, width, width))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
+            there = ~np.isnan(x)
+            endless = np.isinf(x)
+            value = np.where(there & ~endless, x, 0.0)
+            mask = there.astype(float)
+            sums[0] += mask.T @ mask
+            sums[1] += value.T @ mask
+            sums[2] += (value * value).T @ mask
+            sums[3] += value.T @ value
+            if endless.any():
+                hit = endless.astype(float).T @ mask
+                sums[4] += hit + hit.T
+        i, j = np.triu_indices(width)
+        bad = np.where(sums[4][i, j] > 0, np.nan, 0.0)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(v) for v in (
+                i.astype(np.int32), j.astype(np.int32), sums[0][i, j].astype(np.int64), sums[1][i, j] + bad,
+                sums[1][j, i] + bad, sums[2][i, j] + bad, sums[2][j, i] + bad, sums[3][i, j] + bad)],
+            names=["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
+
+    return run
+
+
 def pair_moments(df: DataFrame, columns: Sequence[str], diagonal: bool = False) -> DataFrame:
     """Moments of every unordered pair of columns over their complete rows.
 
-    Gives (i, j, n, mean_i, mean_j, cov, std_i, std_j), i < j by position in
-    ``columns``, in one scan whose shuffle holds one row per pair and task.
+    Gives (i, j, n, mean_i, mean_j, cov, std_i, std_j), i < j by position in ``columns``.
+    Columns are centred at their means first, then one scan multiplies matrices inside each
+    task; the shuffle holds one row per pair and task.
     """
     names = list(columns)
     wide = df.select(*(as_double(df, c).alias(f"_c{k}") for k, c in enumerate(names)))
-    pairs = F.array(
-        *(
-            F.struct(
-                F.lit(i).alias("i"),
-                F.lit(j).alias("j"),
-                F.col(f"_c{i}").alias("x"),
-                F.col(f"_c{j}").alias("y"),
-            )
-            for i in range(len(names))
-            for j in range(i if diagonal else i + 1, len(names))
-        )
-    )
-    long = wide.select(F.explode(pairs).alias("p")).select("p.*").dropna(subset=["x", "y"])
-    return long.groupBy("i", "j").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg("x").alias("mean_i"),
-        F.avg("y").alias("mean_j"),
-        F.covar_pop("x", "y").alias("cov"),
-        F.stddev_pop("x").alias("std_i"),
-        F.stddev_pop("y").alias("std_j"),
+    finite = [F.when(F.abs(f"_c{k}") < float("inf"), F.col(f"_c{k}")) for k in range(len(names))]
+    means = wide.agg(*(F.avg(c).alias(f"_c{k}") for k, c in enumerate(finite))).first()
+    centre = [m if m is not None and math.isfinite(m) else 0.0 for m in means]
+    centred = wide.select(*((F.col(f"_c{k}") - F.lit(m)).alias(f"_c{k}") for k, m in enumerate(centre)))
+    parts = centred.mapInArrow(
+        _gram(len(names)), "i int, j int, n long, sx double, sy double, sxx double, syy double, sxy double")
+    sums = parts.groupBy("i", "j").agg(*(F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")))
+    sums = sums.filter("n > 0" if diagonal else "n > 0 AND i < j")
+    shift = F.array(*map(F.lit, centre))
+    mean_x, mean_y = F.col("sx") / F.col("n"), F.col("sy") / F.col("n")
+    spread = lambda ss, m: F.sqrt(F.greatest(F.lit(0.0), ss / F.col("n") - m * m))
+    # A constant column differs from its mean by rounding alone, which is no spread.
+    still = lambda ss, m, c: F.when(
+        F.abs(ss / F.col("n") - m * m) <= F.lit(1e-28) * c * c, 0.0).otherwise(spread(ss, m))
+    return sums.select(
+        "i", "j", "n",
+        (F.get(shift, F.col("i")) + mean_x).alias("mean_i"),
+        (F.get(shift, F.col("j")) + mean_y).alias("mean_j"),
+        (F.col("sxy") / F.col("n") - mean_x * mean_y).alias("cov"),
+        still(F.col("sxx"), mean_x, F.get(shift, F.col("i"))).alias("std_i"),
+        still(F.col("syy"), mean_y, F.get(shift, F.col("j"))).alias("std_j"),
     )
 
 

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from statloom.functions.coerce import as_double
 from statloom.functions.normal import normal_density, normal_quantile
@@ -147,6 +150,42 @@ def normal_overlay(
     )
 
 
+# Rows whose kernels are evaluated together, and groups a task sums before it hands them on.
+KERNEL_ROWS, KERNEL_GROUPS = 10_000, 10_000
+
+
+def _kernel_sums(group_cols: Sequence[str], points: int):
+    """Per task, group and grid point the sum of the kernels of the task's rows."""
+    keys = list(group_cols)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[tuple, np.ndarray] = {}
+
+        def hand_on() -> pd.DataFrame:
+            rows = [[*key, point, float(x)] for key, row in sums.items() for point, x in enumerate(row)]
+            return pd.DataFrame(rows, columns=[*keys, "point", "_sum"])
+
+        for batch in batches:
+            parts = batch.groupby(keys, sort=False) if keys else [((), batch)]
+            for key, part in parts:
+                low, high, h = (float(part[c].iloc[0]) for c in ("_lo", "_hi", "_h"))
+                if not h > 0:
+                    continue
+                grid = low + np.arange(points) * ((high - low) / (points - 1))
+                into = sums.setdefault(key, np.zeros(points))
+                values = part["_v"].to_numpy(float)
+                for at in range(0, len(values), KERNEL_ROWS):
+                    z = (grid - values[at:at + KERNEL_ROWS, None]) / h
+                    into += np.exp(z * z * -0.5).sum(axis=0)
+            if len(sums) >= KERNEL_GROUPS:
+                yield hand_on()
+                sums = {}
+        if sums:
+            yield hand_on()
+
+    return run
+
+
 def kernel_density(
     df: DataFrame, value: str, group_cols: Sequence[str] = (), points: int = GRID_POINTS
 ) -> DataFrame:
@@ -154,31 +193,37 @@ def kernel_density(
 
     Every row adds to each grid point inside its own task; partial sums leave
     ``points`` rows per task and group, so the shuffle does not grow with the rows.
+    Without spread there is no density.
     """
     values = _values(df, value, group_cols)
     stats = _spread_stats(values, group_cols).withColumn(
         "_h", F.col("_std") * F.pow(F.col("_n").cast("double"), F.lit(-0.2))
     )
-    pieces = attach(values, stats, group_cols)
-    step = (F.col("_hi") - F.col("_lo")) / (points - 1)
-    pieces = pieces.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-    z = F.try_divide(F.col("_lo") + F.col("point") * step - F.col("_v"), F.col("_h"))
-    sums = pieces.groupBy(*group_cols, "point").agg(
-        F.sum(F.exp(z * z * -0.5)).alias("_sum"),
-        F.first("_lo").alias("_lo"),
-        F.first("_hi").alias("_hi"),
-        F.first("_n").alias("_n"),
-        F.first("_h").alias("_h"),
-    )
+    keys = list(group_cols)
+    pieces = attach(values, stats, keys).select(*keys, "_v", "_lo", "_hi", "_h")
+    fields = [pieces.schema[k] for k in keys] + [
+        T.StructField("point", T.IntegerType()), T.StructField("_sum", T.DoubleType())]
+    sums = pieces.mapInPandas(_kernel_sums(keys, points), T.StructType(fields))
+    sums = sums.groupBy(*keys, "point").agg(F.sum("_sum").alias("_sum"))
     scale = F.col("_n") * F.col("_h") * math.sqrt(2.0 * math.pi)
-    return sums.select(
-        *group_cols,
+    return _grid(stats.filter("_n > 0"), points).join(sums, [*keys, "point"], "left").select(
+        *keys,
         "point",
-        (F.col("_lo") + F.col("point") * step).alias("x"),
+        "x",
         F.try_divide(F.col("_sum"), scale).alias("density"),
     )
 
 
+def violin_marks(
+    df: DataFrame, value: str, group_cols: Sequence[str] = (), row_limit: int = ROW_LIMIT
+) -> DataFrame:
+    """The mean and the median that a violin plot marks on its curve."""
+    values = _values(df, value, group_cols)
+    return grouped_stats(
+        values, "_v", [F.count("_v").alias("n"), F.avg("_v").alias("mean")], {"median": 0.5}, group_cols, row_limit
+    )
+
+
 # --- Q-Q -------------------------------------------------------------------------
 
 
@@ -189,12 +234,14 @@ def median_position(i: Column, n: Column) -> Column:
     return F.when(i == n, last).when(i == 1, 1.0 - last).otherwise(inner)
 
 
-def qq_points(df: DataFrame, value: str, tie_break: Sequence[str] = ()) -> DataFrame:
+def qq_points(df: DataFrame, value: str, tie_break: Sequence[str]) -> DataFrame:
     """Ordered values against the normal quantiles of their positions.
 
-    The order is a range-partitioned sort; equal values are interchangeable, but
+    The order is a range-partitioned sort; equal values are interchangeable, but the
     ``tie_break`` columns let a heavily repeated value spread over tasks.
     """
+    if not tie_break:
+        raise ValueError("a tie break is needed, or one task gets all rows of a repeated value")
     narrow = df.select(as_double(df, value).alias("observed"), *tie_break)
     ordered = row_ids(narrow.dropna(subset=["observed"]), ["observed", *tie_break])
     n = F.lit(float(ordered.count()))

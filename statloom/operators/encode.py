@@ -7,20 +7,20 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statloom.functions.coerce import quoted
+from statloom.functions.coerce import as_double, quoted
 from statloom.functions.columns import unique_sorted
-from statloom.operators.keyed import HOT_KEYS, any_null, is_small, key_hash, left_join
-from statloom.operators.ordering import (
-    ROW_LIMIT,
-    fits_one_task,
-    percentile_columns,
-    slice_bounds,
-    sliced_quantiles,
+from statloom.operators.keyed import (
+    BROADCAST_BYTES,
+    HOT_KEYS,
+    any_null,
+    key_hash,
+    left_join,
+    measured_bytes,
+    text_bytes,
 )
-from statloom.session import allow_wide_rows, materialise, setting, spread
+from statloom.operators.ordering import ROW_LIMIT, counted_quantiles, percentile_columns
+from statloom.session import store
 
-# The number of groups an object aggregation hashes before it sorts instead.
-HASHED_GROUPS = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
 STATISTICS = ("mean", "median", "std", "max", "count")
 
 
@@ -38,70 +38,71 @@ def group_statistics(
     key_sets: Mapping[str, Sequence[str]],
     target: str,
     row_limit: int = ROW_LIMIT,
-) -> dict[str, tuple[DataFrame, int]]:
+) -> dict[str, tuple[DataFrame, int, int]]:
     """Mean, median, std, max and count of the target per group of every key set.
 
-    One scan serves all key sets: each row meets its groups through grouping
-    sets, and partial aggregation shrinks them before the shuffle. Returns per
-    prefix the table of its groups (keys, then prefix_statistic) and its size.
+    One scan serves all key sets: each row meets its groups through grouping sets, and
+    partial aggregation shrinks them before the shuffle. Medians are aggregated along
+    where every group of a set fits one task; a set with a bigger group gets its medians
+    from counted values. NaN counts as missing. Returns per prefix the table of its groups
+    (keys, then prefix_statistic), its rows and its bytes.
     """
     names = unique_sorted(*key_sets.values())
+    # Plain names inside, so that a key may be called a.b.
+    inner = {n: f"_k{i}" for i, n in enumerate(names)}
     # Keys and target only, written once: every later pass reads just these.
-    narrow = materialise(df.select(*names, F.col(target).cast("double").alias("_target")))
-    bounded = fits_one_task(narrow, (), row_limit)
-    if bounded:
-        narrow = spread(narrow)
-    sets = {prefix: sorted(cols) for prefix, cols in key_sets.items()}
+    narrow = store(
+        df.select(*(F.col(quoted(n)).alias(inner[n]) for n in names), as_double(df, target).alias("_target")),
+        "keys",
+    )
+    columns = [inner[n] for n in names]
+    sets = {prefix: [inner[c] for c in sorted(cols)] for prefix, cols in key_sets.items()}
     # grouping_id sets a bit for each column that is not part of the set.
     ids = {
-        prefix: sum(1 << i for i, n in enumerate(reversed(names)) if n not in cols)
+        prefix: sum(1 << i for i, n in enumerate(reversed(columns)) if n not in cols)
         for prefix, cols in sets.items()
     }
-    distinct_sets = [list(cols) for cols in dict.fromkeys(map(tuple, sets.values()))]
-    grouped = narrow.groupingSets([[F.col(c) for c in cols] for cols in distinct_sets],
-                                  *(F.col(n) for n in names))
+    distinct_sets = {ids[p]: cols for p, cols in sets.items()}
     tag = F.grouping_id().alias("_set")
-    if bounded:
-        # The table is known to be small, so its groups may all be hashed in memory.
-        with setting(df.sparkSession, HASHED_GROUPS, str(row_limit)):
-            long = materialise(
-                grouped.agg(tag, *_moments("_target"), *percentile_columns("_target", {"median": 0.5}))
-            )
+
+    def grouped(chosen: Sequence[int]):
+        return narrow.groupingSets([[F.col(c) for c in distinct_sets[i]] for i in chosen],
+                                   *(F.col(c) for c in columns))
+
+    median = percentile_columns("_target", {"median": 0.5})
+    if narrow.count() <= row_limit:
+        long = grouped(list(distinct_sets)).agg(tag, F.count(F.lit(1)).alias("_rows"), *_moments("_target"), *median)
+        long = store(long, "groups", partition_by=["_set"])
+        big: list[int] = []
     else:
-        # The same expansion by hand, so that one key column names any group.
-        def key(cols):
-            parts = F.struct(
-                *(F.col(n).alias(n) if n in cols else F.lit(None).cast(narrow.schema[n].dataType).alias(n)
-                  for n in names)
-            )
-            return F.when(~any_null(cols), parts)
-
-        expanded = narrow.select(
-            F.explode(F.array(*(
-                F.struct(F.lit(ids[p]).cast("bigint").alias("_set"), key(cols).alias("_key"))
-                for p, cols in sets.items()
-            ))).alias("_group"),
-            "_target",
-        ).select("_group.*", "_target").filter(F.col("_key").isNotNull())
-        # Every key set holds each value once, so the plain column sets the slices.
-        bounds = slice_bounds(narrow, "_target", row_limit)
-        medians = sliced_quantiles(
-            expanded, "_target", {"median": 0.5}, ["_set", "_key"], bounds=bounds
-        )
-        long = materialise(
-            grouped.agg(tag, *_moments("_target"))
-            .withColumn("_key", F.struct(*names))
-            .join(medians, ["_set", "_key"], "left")
-            .drop("_key")
-        )
-    tables = {
-        prefix: long.filter((F.col("_set") == ids[prefix]) & ~any_null(cols)).select(
-            *key_sets[prefix], *(F.col(s).alias(f"{prefix}_{s}") for s in STATISTICS)
-        )
-        for prefix, cols in sets.items()
-    }
-    sizes = {r["_set"]: r["count"] for r in long.groupBy("_set").count().collect()}
-    return {prefix: (table, sizes.get(ids[prefix], 0)) for prefix, table in tables.items()}
+        long = grouped(list(distinct_sets)).agg(tag, F.count(F.lit(1)).alias("_rows"), *_moments("_target"))
+        long = store(long, "groups", partition_by=["_set"])
+        largest = {r["_set"]: r["n"] for r in long.groupBy("_set").agg(F.max("_rows").alias("n")).collect()}
+        big = [i for i in distinct_sets if largest.get(i, 0) > row_limit]
+    fine = [i for i in distinct_sets if i not in big]
+    with_median = "median" in long.columns
+    medians = None
+    if not with_median and fine:
+        medians = store(grouped(fine).agg(tag, *median), "medians", partition_by=["_set"])
+    measured = long.groupBy("_set").agg(F.count(F.lit(1)).alias("n"), F.sum(text_bytes(long)).alias("b"))
+    sizes = {r["_set"]: (r["n"], r["b"] or 0) for r in measured.collect()}
+
+    result = {}
+    for prefix, cols in sets.items():
+        i = ids[prefix]
+        table = long.filter((F.col("_set") == i) & ~any_null(cols))
+        if not with_median:
+            if i in big:
+                found = counted_quantiles(narrow.dropna(subset=cols), "_target", {"median": 0.5}, cols)
+            else:
+                found = medians.filter(F.col("_set") == i).select(*cols, "median")
+            # One row per group on both sides, so no key can be hot.
+            table = table.join(found, cols, "left")
+        table = table.select(*(F.col(inner[c]).alias(c) for c in key_sets[prefix]),
+                             *(F.col(s).alias(f"{prefix}_{s}") for s in STATISTICS))
+        rows, texts = sizes.get(i, (0, 0))
+        result[prefix] = (table, rows, measured_bytes(table, rows, texts))
+    return result
 
 
 def _hot_groups(table: DataFrame, keys: Sequence[str], size: str) -> list[int]:
@@ -126,11 +127,12 @@ def stat_encode(
     source = statistics_from or df
     tables = group_statistics(source, key_sets, target, row_limit)
     columns = [*df.columns, *(f"{prefix}_{s}" for prefix in key_sets for s in STATISTICS)]
-    allow_wide_rows(df.sparkSession)
-    for prefix, (table, rows) in tables.items():
-        if is_small(table, rows):
-            df = df.join(F.broadcast(table), list(key_sets[prefix]), "left")
+    room = BROADCAST_BYTES  # for all broadcasts of this plan together
+    for prefix, (table, rows, size) in tables.items():
+        if size <= room:
+            room -= size
+            df = left_join(df, table, key_sets[prefix], rows, broadcast_bytes=size, side_bytes=size)
         else:
             hot = _hot_groups(table, key_sets[prefix], f"{prefix}_count")
-            df = left_join(df, table, key_sets[prefix], side_rows=rows, hot=hot)
+            df = left_join(df, table, key_sets[prefix], rows, broadcast_bytes=-1, hot=hot, side_bytes=size)
     return df.select(*map(quoted, columns))

@@ -4,19 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
+from statloom.functions.coerce import as_double
+
+
+def _grouped(df: DataFrame, group_cols: Sequence[str]) -> GroupedData:
+    """Groups of the rows that have all keys."""
+    return (df.dropna(subset=list(group_cols)) if group_cols else df).groupBy(*group_cols)
+
 
 def estimators(
     df: DataFrame, value: str, flag: str, group_cols: Sequence[str] = ()
 ) -> DataFrame:
-    """Share of a 0/1 flag, and mean and unbiased variance of a value."""
-    return df.groupBy(*group_cols).agg(
+    """Share of a 0/1 flag, and mean and unbiased variance of a value; NaN is missing."""
+    return _grouped(df, group_cols).agg(
         F.count(F.lit(1)).alias("n"),
-        F.avg(flag).alias("proportion"),
-        F.avg(value).alias("mean"),
-        F.var_samp(value).alias("variance"),
+        F.avg(as_double(df, flag)).alias("proportion"),
+        F.avg(as_double(df, value)).alias("mean"),
+        F.var_samp(as_double(df, value)).alias("variance"),
     )
 
 
@@ -38,8 +45,8 @@ def sample_size(
     group_cols: Sequence[str] = (),
 ) -> DataFrame:
     """How many rows to sample to estimate a flag's share, per group."""
-    base = df.groupBy(*group_cols).agg(
-        F.count(F.lit(1)).alias("population"), F.avg(flag).alias("proportion")
+    base = _grouped(df, group_cols).agg(
+        F.count(F.lit(1)).alias("population"), F.avg(as_double(df, flag)).alias("proportion")
     )
     sized = base.withColumn("n_raw", required_sample(z, F.col("proportion"), e))
     sized = sized.withColumn("n_adjusted", finite_correction(F.col("n_raw"), F.col("population")))

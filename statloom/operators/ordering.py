@@ -1,32 +1,25 @@
 """Order without one-task windows: row numbers, quantiles and ranks of big groups.
 
-Two devices keep every task bounded.
-
-* A global order is a range-partitioned sort. The row numbers follow from each
-  partition's position plus the sizes of the partitions before it.
-* The order inside a group that is too big for a task is cut into value slices
-  at literal boundaries (approximate quantiles of the whole column, so a slice
-  never holds much more than its share). A count per (group, slice) locates any
-  order statistic; only the slices that hold a wanted one are sorted. The
-  boundaries only steer the work, so the results are exact.
+A global order is a range-partitioned sort. Positions follow from each partition's
+own order plus the totals of the partitions before it, so no task sees more than
+its range, whatever the size of a group. Quantiles and ranks first count equal
+values, so a heavily repeated value is one row before anything is shuffled by it.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from statloom.operators.keyed import BROADCAST_CELLS, any_null, left_join
-from statloom.session import materialise
+from statloom.functions.coerce import nan_to_null, quoted
+from statloom.operators.keyed import any_null, left_join
+from statloom.session import store
 
 # The most rows of one group that a single task may sort or hold.
 ROW_LIMIT = 2_000_000
-# The most slices a column is cut into (bounds the driver's boundary list).
-MAX_SLICES = 20_000
 # monotonically_increasing_id keeps the position within a partition in this many bits.
 POSITION_BITS = 33
 
@@ -34,12 +27,33 @@ POSITION_BITS = 33
 # --- row numbers -----------------------------------------------------------------
 
 
-def row_ids(df: DataFrame, order_cols: Sequence[str | Column], name: str = "row_id") -> DataFrame:
-    """Number all rows 0, 1, 2, ... in the given order, which must be total.
+def _before(marked: DataFrame, amount: Column, name: str) -> DataFrame:
+    """Add the sum of ``amount`` over all rows before each row of a stored sort.
+
+    ``marked`` carries the sort's partition and position in ``_at``.
+    """
+    part = F.shiftright("_at", POSITION_BITS)
+    # One row per partition of the sort.
+    sums = marked.groupBy(part.alias("_part")).agg(F.sum(amount).alias("_sum"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select("_part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    placed = marked.withColumn("_part", part).withColumn("_own", F.coalesce(F.sum(amount).over(inside), F.lit(0)))
+    joined = placed.join(F.broadcast(starts), "_part")
+    return joined.withColumn(name, F.col("_start") + F.col("_own")).drop("_part", "_start", "_own", "_at")
+
 
-    The sorted table is written once, so the numbers stay put when tasks rerun.
+def sorted_once(df: DataFrame, order_cols: Sequence[str | Column]) -> DataFrame:
+    """The sorted table, written once, with each row's partition and position in ``_at``.
+
+    The sort runs before the write, so the numbers stay put when tasks rerun.
     """
-    marked = materialise(df.orderBy(*order_cols).withColumn("_at", F.monotonically_increasing_id()))
+    return store(df.orderBy(*order_cols).withColumn("_at", F.monotonically_increasing_id()), "sorted")
+
+
+def row_ids(df: DataFrame, order_cols: Sequence[str | Column], name: str = "row_id") -> DataFrame:
+    """Number all rows 0, 1, 2, ... in the given order, which must be total."""
+    marked = sorted_once(df, order_cols)
     part = F.shiftright("_at", POSITION_BITS)
     position = F.col("_at").bitwiseAND((1 << POSITION_BITS) - 1)
     # One row per partition of the sort.
@@ -69,46 +83,28 @@ def fits_one_task(df: DataFrame, group_cols: Sequence[str], row_limit: int = ROW
     return (counts.agg(F.max("_rows")).first()[0] or 0) <= row_limit
 
 
-# --- slices ----------------------------------------------------------------------
-
+# --- counted values --------------------------------------------------------------
 
-def slice_bounds(df: DataFrame, value: str, rows_per_slice: int) -> list[float]:
-    """Boundaries that cut a column into slices of about the wanted size."""
-    rows = df.count()
-    slices = min(MAX_SLICES, max(2, math.ceil(rows / max(1, rows_per_slice))))
-    steps = [i / slices for i in range(1, slices)]
-    return sorted(set(df.approxQuantile(value, steps, 0.25 / slices))) or [0.0]
 
+def _present(df: DataFrame, value: str) -> Column:
+    """The value, where NaN is missing like null."""
+    c = F.col(quoted(value))
+    return nan_to_null(c) if isinstance(df.schema[value].dataType, (T.FloatType, T.DoubleType)) else c
 
-def with_slice(df: DataFrame, value: str, bounds: Sequence[float]) -> DataFrame:
-    """Add ``_slice``, the number of boundaries at or below the value."""
-    splits = [-math.inf, *(b for b in bounds if math.isfinite(b)), math.inf]
-    return Bucketizer(splits=splits, inputCol=value, outputCol="_slice").transform(df)
 
+def value_positions(df: DataFrame, value: str, group_cols: Sequence[str]) -> DataFrame:
+    """Per group and distinct value ``_v``: its rows ``_ties`` and the group's rows ``_lower`` below it.
 
-def _slice_counts(sliced: DataFrame, group_cols: Sequence[str]) -> DataFrame:
-    """Per (group, slice): its rows, the rows of lower slices, and the group's rows."""
-    counts = sliced.groupBy(*group_cols, "_slice").agg(F.count(F.lit(1)).alias("_rows"))
-    group = Window.partitionBy(*group_cols)
-    lower = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    return counts.select(
-        *group_cols,
-        "_slice",
-        "_rows",
-        F.coalesce(F.sum("_rows").over(lower), F.lit(0)).alias("_start"),
-        F.sum("_rows").over(group).alias("_total"),
-    )
+    Any orderable type; the caller has removed missing values and keys. ``_lower`` counts
+    over all groups in order: only its differences inside a group mean something.
+    """
+    counts = df.groupBy(*group_cols, F.col(quoted(value)).alias("_v")).agg(F.count(F.lit(1)).alias("_ties"))
+    return _before(sorted_once(counts, [*group_cols, "_v"]), F.col("_ties"), "_lower")
 
 
-def _value_counts(sliced: DataFrame, group_cols: Sequence[str], value: str) -> DataFrame:
-    """Per (group, slice, value): how often it occurs and how many are lower in the slice."""
-    counts = sliced.groupBy(*group_cols, "_slice", value).agg(F.count(F.lit(1)).alias("_ties"))
-    upto = (
-        Window.partitionBy(*group_cols, "_slice")
-        .orderBy(value)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return counts.withColumn("_lower", F.sum("_ties").over(upto) - F.col("_ties"))
+def _group_starts(positions: DataFrame, group_cols: Sequence[str]) -> DataFrame:
+    return positions.groupBy(*group_cols).agg(
+        F.min("_lower").alias("_start"), F.sum("_ties").alias("_total"))
 
 
 # --- quantiles -------------------------------------------------------------------
@@ -119,26 +115,18 @@ def percentile_columns(value: str, probs: Mapping[str, float]) -> list[Column]:
     return [F.percentile(value, p).alias(name) for name, p in probs.items()]
 
 
-def sliced_quantiles(
-    df: DataFrame,
-    value: str,
-    probs: Mapping[str, float],
-    group_cols: Sequence[str] = (),
-    rows_per_slice: int = ROW_LIMIT,
-    bounds: Sequence[float] | None = None,
+def counted_quantiles(
+    df: DataFrame, value: str, probs: Mapping[str, float], group_cols: Sequence[str] = ()
 ) -> DataFrame:
     """Exact interpolated quantiles of groups of any size, one row per group.
 
-    Narrow passes, none of which sorts or shuffles the whole column. ``bounds`` may
-    give slice boundaries that are known already.
+    Equal values are counted, the counts sorted by group and value over all tasks, and
+    the values that hold a wanted order statistic are picked by their positions.
     """
     keys = list(group_cols) or ["_all"]
-    narrow = df.withColumn("_all", F.lit(0)).select(*keys, F.col(value).alias("_v"))
-    narrow = narrow.filter(F.col("_v").isNotNull())
-    if bounds is None:
-        bounds = slice_bounds(narrow, "_v", rows_per_slice)
-    sliced = with_slice(narrow, "_v", bounds)
-
+    narrow = df.withColumn("_all", F.lit(0)).select(*keys, _present(df, value).alias("_v"))
+    positions = value_positions(narrow.dropna(subset=["_v"]), "_v", keys)
+    starts = _group_starts(positions, keys)
     # The two order statistics around each quantile, with their weights.
     wanted = F.array(
         *(F.struct(F.lit(n).alias("name"), F.lit(float(p)).alias("p")) for n, p in probs.items())
@@ -149,31 +137,21 @@ def sliced_quantiles(
         F.struct(F.floor(at).alias("k"), (1.0 - share).alias("weight")),
         F.struct((F.floor(at) + 1).alias("k"), share.alias("weight")),
     )
-    targets = materialise(
-        _slice_counts(sliced, keys)
-        .withColumn("want", F.explode(wanted))
+    targets = (
+        starts.withColumn("want", F.explode(wanted))
         .withColumn("end", F.explode(ends))
         .filter(F.col("end.weight") > 0)
-        .filter(F.col("end.k").between(F.col("_start"), F.col("_start") + F.col("_rows") - 1))
-        .select(
-            *keys,
-            "_slice",
-            F.col("want.name").alias("_name"),
-            (F.col("end.k") - F.col("_start")).alias("_k"),
-            F.col("end.weight").alias("_weight"),
-        )
-    )
-    cells = targets.select(*keys, "_slice").distinct()
-    small = targets.count() * len(cells.columns) <= BROADCAST_CELLS
-    kept = sliced.join(F.broadcast(cells) if small else cells, [*keys, "_slice"], "left_semi")
-    found = (
-        _value_counts(kept, keys, "_v")
-        .join(targets, [*keys, "_slice"])
-        .filter((F.col("_k") >= F.col("_lower")) & (F.col("_k") < F.col("_lower") + F.col("_ties")))
+        .select(*keys, F.col("want.name").alias("_name"), F.col("end.weight").alias("_weight"),
+                (F.col("_start") + F.col("end.k")).alias("_k"))
     )
-    part = F.col("_weight") * F.col("_v")
+    targets = targets.groupBy(*keys).agg(
+        F.collect_list(F.struct("_name", "_weight", "_k")).alias("_targets"))
+    placed = left_join(positions, targets, keys)
+    inside = lambda t: (t["_k"] >= F.col("_lower")) & (t["_k"] < F.col("_lower") + F.col("_ties"))
+    found = placed.select(*keys, "_v", F.explode(F.filter("_targets", inside)).alias("t"))
+    part = F.col("t._weight") * F.col("_v")
     result = found.groupBy(*keys).agg(
-        *(F.sum(F.when(F.col("_name") == n, part)).alias(n) for n in probs)
+        *(F.sum(F.when(F.col("t._name") == n, part)).alias(n) for n in probs)
     )
     return result.select(*group_cols, *probs)
 
@@ -186,12 +164,17 @@ def grouped_stats(
     group_cols: Sequence[str] = (),
     row_limit: int = ROW_LIMIT,
 ) -> DataFrame:
-    """Aggregates and exact quantiles of one column, one row per group without missing keys."""
+    """Aggregates and exact quantiles of one column, one row per group without missing keys.
+
+    Both ways to the quantiles skip null and NaN and give the same numbers.
+    """
     df = df.dropna(subset=list(group_cols)) if group_cols else df
+    if isinstance(df.schema[value].dataType, (T.FloatType, T.DoubleType)):
+        df = df.withColumn(value, nan_to_null(F.col(quoted(value))))
     grouped = df.groupBy(*group_cols)
     if not probs or fits_one_task(df, group_cols, row_limit):
         return grouped.agg(*aggregates, *percentile_columns(value, probs))
-    quantiles = sliced_quantiles(df, value, probs, group_cols, row_limit)
+    quantiles = counted_quantiles(df, value, probs, group_cols)
     base = grouped.agg(*aggregates)
     if group_cols:
         # One row per group on both sides, so no key can be hot.
@@ -212,27 +195,24 @@ def percent_rank_average(
 ) -> DataFrame:
     """Rank within the group over the group's size, ties sharing their mean rank.
 
-    A missing value or key has no rank and counts for none.
+    Any orderable type. A missing value (null or NaN) or key has no rank and counts for
+    none. Groups that fit one task are ranked by a window, others by counted values.
     """
     keys = list(group_cols)
-    present = F.col(value).isNotNull() & ~any_null(keys)
-    ranked, unranked = df.filter(present), df.filter(~present)
+    clean = _present(df, value)
+    present = clean.isNotNull() & ~any_null(keys)
+    ranked = df.filter(present)
     if fits_one_task(ranked, keys, row_limit):
         group = Window.partitionBy(*keys)
-        ties = F.count(F.lit(1)).over(Window.partitionBy(*keys, value))
-        mean_rank = F.rank().over(group.orderBy(value)) + (ties - 1) / 2
+        ties = F.count(F.lit(1)).over(Window.partitionBy(*keys, quoted(value)))
+        mean_rank = F.rank().over(group.orderBy(quoted(value))) + (ties - 1) / 2
         in_group = ranked.withColumn(name, mean_rank / F.count(F.lit(1)).over(group))
-        return in_group.unionByName(unranked.withColumn(name, F.lit(None).cast("double")))
-    narrow = ranked.select(*keys, value)
-    sliced = with_slice(narrow, value, slice_bounds(narrow, value, row_limit))
-    slices = _slice_counts(sliced, keys)
-    values = left_join(
-        _value_counts(sliced, keys, value),
-        slices.select(*keys, "_slice", "_start", "_total"),
-        [*keys, "_slice"],
-    )
-    below = F.col("_start") + F.col("_lower")
+        return in_group.unionByName(df.filter(~present).withColumn(name, F.lit(None).cast("double")))
+    positions = store(value_positions(ranked, value, keys), "positions")
+    values = left_join(positions, _group_starts(positions, keys), keys)
+    below = F.col("_lower") - F.col("_start")
     ranks = values.select(
-        *keys, value, ((below + (F.col("_ties") + 1) / 2) / F.col("_total")).alias(name)
+        *keys, F.col("_v").alias("_value"), ((below + (F.col("_ties") + 1) / 2) / F.col("_total")).alias(name)
     )
-    return left_join(df, ranks, [*keys, value])
+    joined = left_join(df.withColumn("_value", clean), ranks, [*keys, "_value"])
+    return joined.drop("_value")

@@ -1,7 +1,7 @@
 """Maximum-likelihood lambdas of the power transforms.
 
 A search round is one aggregation that evaluates a whole grid of lambdas over a
-cached column; the driver sees one variance per lambda.
+stored column; the driver sees one variance per lambda.
 """
 
 from __future__ import annotations
@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 
 from statloom.functions.coerce import as_double
 from statloom.functions.columns import all_non_negative, all_positive
-from statloom.session import materialise, spread
+from statloom.session import store
 
 GRID = 33
 START = (-2.0, 2.0)
 # A grid this fine is finished by the vertex of a parabola.
 FINE_STEP = 1e-3
-MAX_WIDENINGS = 8
+# An optimum is sought as far as the loss stays finite, at most this far from 0.
+FARTHEST = 1e9
 
 
 def value_range(df: DataFrame, value: str) -> dict:
@@ -52,18 +53,16 @@ def _vertex(x: Sequence[float], y: Sequence[float]) -> float:
 
 def _search(losses: Callable[[Sequence[float]], list[float]]) -> float:
     low, high = START
-    widened = 0
     while True:
         points = _grid(low, high)
         found = losses(points)
         best = min(range(GRID), key=lambda i: found[i])
         step = (high - low) / (GRID - 1)
-        if best in (0, GRID - 1) and widened < MAX_WIDENINGS:
+        if best in (0, GRID - 1) and math.isfinite(found[best]) and max(-low, high) < FARTHEST:
             # The optimum lies outside: move on with a wider range from this edge.
             span = 2.0 * (high - low)
             edge = points[best]
             low, high = (edge - span, edge + step) if best == 0 else (edge - step, edge + span)
-            widened += 1
         elif best in (0, GRID - 1) or not math.isfinite(found[best]):
             raise ValueError("no lambda maximises the likelihood of this column")
         elif step <= FINE_STEP:
@@ -93,21 +92,17 @@ def _grid_moments(logs: DataFrame, lambdas: Sequence[float], power) -> DataFrame
 
 
 def _fit(logs: DataFrame, power, slope: float) -> float:
-    """Minimise ln Var(y) / 2 - lambda * slope over a cached one-column table."""
-    logs = logs.persist()
-    try:
+    """Minimise ln Var(y) / 2 - lambda * slope over a stored one-column table."""
 
-        def losses(lambdas: Sequence[float]) -> list[float]:
-            rows = _grid_moments(logs, lambdas, power).select("lambda", "variance").collect()
-            variance = {r["lambda"]: r["variance"] for r in rows}
-            return [
-                0.5 * math.log(v) - lam * slope if v and math.isfinite(v) else math.inf
-                for lam, v in ((lam, variance.get(lam)) for lam in lambdas)
-            ]
+    def losses(lambdas: Sequence[float]) -> list[float]:
+        rows = _grid_moments(logs, lambdas, power).select("lambda", "variance").collect()
+        variance = {r["lambda"]: r["variance"] for r in rows}
+        return [
+            0.5 * math.log(v) - lam * slope if v and math.isfinite(v) else math.inf
+            for lam, v in ((lam, variance.get(lam)) for lam in lambdas)
+        ]
 
-        return _search(losses)
-    finally:
-        logs.unpersist()
+    return _search(losses)
 
 
 def box_cox_fit(df: DataFrame, value: str, known: dict | None = None) -> float:
@@ -121,7 +116,7 @@ def box_cox_fit(df: DataFrame, value: str, known: dict | None = None) -> float:
         raise ValueError("Box-Cox needs positive values only")
     if known["min"] == known["max"]:
         raise ValueError("Box-Cox needs values that are not all equal")
-    logs = spread(materialise(df.select(F.log(as_double(df, value)).alias("s")).dropna()))
+    logs = store(df.select(F.log(as_double(df, value)).alias("s")).dropna(), "logs")
     centre = logs.agg(F.avg("s")).first()[0]
     centred = logs.select((F.col("s") - F.lit(centre)).alias("s"))
     return _fit(centred, _power, 0.0)
@@ -134,7 +129,7 @@ def yeo_johnson_fit(df: DataFrame, value: str, known: dict | None = None) -> flo
         raise ValueError("Yeo-Johnson needs values that are not all equal")
     v = as_double(df, value)
     signed = df.select((F.signum(v) * F.log1p(F.abs(v))).alias("s")).dropna()
-    signed = spread(materialise(signed))
+    signed = store(signed, "logs")
     slope = signed.agg(F.avg("s")).first()[0]
 
     return _fit(signed, _signed_power, slope)

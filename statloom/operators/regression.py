@@ -7,17 +7,18 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statloom.functions.coerce import as_double
 from statloom.operators.associate import pair_moments
-from statloom.operators.ordering import row_ids
+from statloom.operators.ordering import POSITION_BITS, sorted_once
 
 # Directions with less than this share of the largest spread count as collinear.
 RANK_TOLERANCE = 1e-12
-# Beyond this many degrees of freedom the tails no longer change.
-MAX_DF = 1e7
+# Above this many degrees of freedom a tail is the limit's with its first correction term,
+# whose error is of the order of the square of their inverse.
+SERIES_DF = 1e6
 
 
 @dataclass(frozen=True)
@@ -117,7 +118,8 @@ def ols_predict(df: DataFrame, fit: OlsFit) -> DataFrame:
 def coefficient_table(df: DataFrame, fit: OlsFit, level: float = 0.95) -> DataFrame:
     """Coefficient, standard error, t, p and confidence limits per term."""
     freedom = fit.n - fit.rank
-    variance = fit.ss_residual / freedom
+    # The residuals themselves, as in the summary: a difference of sums cancels near R2 = 1.
+    variance = residual_moments(df, fit)["ss"] / freedom
     errors = np.sqrt(np.maximum(0.0, np.diag(fit.inverse_gram)) * variance)
     reach = t_quantile(1.0 - level, freedom)
     rows = []
@@ -144,18 +146,22 @@ def residual_moments(df: DataFrame, fit: OlsFit) -> dict:
 def durbin_watson(df: DataFrame, fit: OlsFit, order_cols: Sequence[str]) -> DataFrame:
     """Squared steps between neighbouring residuals over their squares.
 
-    Neighbours meet in an equi-join on row numbers, so no task holds all rows.
+    Neighbours meet inside the sorted partitions; the step into a partition comes from
+    the last residual before it, one small row per partition.
     """
     complete = df.dropna(subset=[*fit.features, fit.target])
     e = (F.col(fit.target) - predict(fit)).alias("e")
-    numbered = row_ids(complete.select(*order_cols, e), order_cols).select("row_id", "e")
-    later = numbered.select((F.col("row_id") - 1).alias("row_id"), F.col("e").alias("next"))
-    steps = numbered.join(later, "row_id", "left").select(
-        "e", F.coalesce(F.col("next") - F.col("e"), F.lit(0.0)).alias("step")
-    )
-    return steps.agg(
-        F.try_divide(F.sum(F.col("step") ** 2), F.sum(F.col("e") ** 2)).alias("durbin_watson")
+    marked = sorted_once(complete.select(*order_cols, e), order_cols).select("e", "_at")
+    part = F.shiftright("_at", POSITION_BITS).alias("_part")
+    before = F.lag("e").over(Window.partitionBy("_part").orderBy("_at"))
+    steps = marked.select("e", "_at", part).withColumn("step", F.col("e") - before)
+    parts = steps.groupBy("_part").agg(
+        F.sum(F.coalesce(F.col("step") ** 2, F.lit(0.0))).alias("steps"), F.sum(F.col("e") ** 2).alias("squares"),
+        F.min_by("e", "_at").alias("first"), F.max_by("e", "_at").alias("last"),
     )
+    entry = F.col("first") - F.lag("last").over(Window.orderBy("_part"))
+    joined = parts.select("squares", (F.col("steps") + F.coalesce(entry**2, F.lit(0.0))).alias("steps"))
+    return joined.agg(F.try_divide(F.sum("steps"), F.sum("squares")).alias("durbin_watson"))
 
 
 def ols_summary(df: DataFrame, fit: OlsFit, order_cols: Sequence[str]) -> DataFrame:
@@ -217,15 +223,42 @@ def beta_share(a: float, b: float, x: float) -> float:
     return math.exp(log_front) / (a * (1.0 + first / fraction))
 
 
+def gamma_tail(a: float, x: float) -> float:
+    """Upper regularised incomplete gamma function, by series or continued fraction."""
+    if x <= 0.0:
+        return 1.0
+    front = math.exp(a * math.log(x) - x - math.lgamma(a))
+    if x < a + 1.0:
+        term = total = 1.0 / a
+        n = a
+        while term > total * 1e-17:
+            n += 1.0
+            term *= x / n
+            total += term
+        return max(0.0, 1.0 - front * total)
+    fraction = 0.0
+    for m in range(200 + int(4.0 * math.sqrt(a)), 0, -1):
+        fraction = m * (a - m) / (x + 2 * m + 1 - a + fraction)
+    return front / (x + 1.0 - a + fraction)
+
+
 def t_tails(t: float, freedom: float) -> float:
     """Two-sided p-value of a t statistic."""
-    freedom = min(freedom, MAX_DF)
+    if freedom > SERIES_DF:
+        return f_tail(t * t, 1.0, freedom)
     return beta_share(freedom / 2.0, 0.5, freedom / (freedom + t * t))
 
 
 def f_tail(f: float, d1: float, d2: float) -> float:
     """Upper p-value of an F statistic."""
-    d2 = min(d2, MAX_DF)
+    if f <= 0.0:
+        return 1.0
+    if d2 > SERIES_DF:
+        # d1 F is a chi-square over a mean of d2 squares, whose variance is 2 / d2.
+        a, x = d1 / 2.0, d1 * f
+        density = math.exp((a - 1.0) * math.log(x) - x / 2.0 - a * math.log(2.0) - math.lgamma(a))
+        bend = -density * ((a - 1.0) / x - 0.5)
+        return min(1.0, max(0.0, gamma_tail(a, x / 2.0) + x * x * bend / d2))
     return beta_share(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f))
 
 

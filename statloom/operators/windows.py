@@ -7,16 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from statloom.functions.coerce import as_double
 from statloom.operators.keyed import left_join
 
 
 def yearly_totals(
     df: DataFrame, year: str, key: str, value: str, count: bool = True
 ) -> DataFrame:
-    """Sum, mean and (if asked) count of a value per year and key."""
-    stats: list[Column] = [F.sum(value).alias("sum"), F.avg(value).alias("mean")]
+    """Sum, mean and (if asked) count of a value per year and key; NaN is missing."""
+    number = as_double(df, value)
+    stats: list[Column] = [F.sum(number).alias("sum"), F.avg(number).alias("mean")]
     if count:
-        stats.append(F.count(value).alias("count"))
+        stats.append(F.count(number).alias("count"))
     return df.dropna(subset=[year, key]).groupBy(year, key).agg(*stats)
 
 

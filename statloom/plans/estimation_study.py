@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import cached_property
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -59,24 +60,41 @@ def estimate(
     )
 
 
-class OlsStudy(NamedTuple):
-    ranking: DataFrame
-    fit: OlsFit
-    coefficients: DataFrame
-    summary: DataFrame
-    predictions: DataFrame
+class OlsStudy:
+    """Regression of a target on features; each table is computed when it is asked for.
+
+    The columns are written once, since the fit, the residuals and the predictions all
+    read them.
+    """
+
+    def __init__(self, df: DataFrame, target: str, features: Sequence[str], order_cols: Sequence[str]):
+        self.table = store(df, "regression")
+        self.target, self.features, self.order_cols = target, list(features), list(order_cols)
+
+    @cached_property
+    def fit(self) -> OlsFit:
+        return ols_fit(self.table, self.target, self.features)
+
+    @property
+    def ranking(self) -> DataFrame:
+        """All numeric columns by their signed correlation with the target."""
+        return corr_all_numeric(self.table, self.target).withColumn("r", F.round("r", 4))
+
+    @property
+    def coefficients(self) -> DataFrame:
+        return coefficient_table(self.table, self.fit)
+
+    @property
+    def summary(self) -> DataFrame:
+        return ols_summary(self.table, self.fit, self.order_cols)
+
+    @property
+    def predictions(self) -> DataFrame:
+        return ols_predict(self.table, self.fit)
 
 
 def study_ols(
     df: DataFrame, target: str, features: Sequence[str], order_cols: Sequence[str]
 ) -> OlsStudy:
     """Rank all numeric columns, fit, summarise and predict every row."""
-    fit = ols_fit(df, target, features)
-    ranking = corr_all_numeric(df, target).withColumn("r", F.round("r", 4))
-    return OlsStudy(
-        ranking,
-        fit,
-        coefficient_table(df, fit),
-        ols_summary(df, fit, order_cols),
-        ols_predict(df, fit),
-    )
+    return OlsStudy(df, target, features, order_cols)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from statloom.functions.columns import reorder
 from statloom.functions.power import box_cox
-from statloom.operators.describe import closeness_gain, describe, quality
+from statloom.operators.describe import closeness_gain, describe, quality, same_rows
 from statloom.operators.powerfit import box_cox_fit
 from statloom.sources.writers import write_csv, write_json
 
@@ -28,7 +28,8 @@ STATISTIC_NAMES = {
 class Normalised(NamedTuple):
     table: DataFrame  # column, column_normalizado, the rest, lambda_boxcox
     metadata: DataFrame  # one row of nested structs
-    checks: DataFrame  # missing and infinite values of both columns
+    checks: DataFrame  # rows, missing and infinite values of both columns
+    same_rows: DataFrame  # did the table keep its number of rows?
     gains: DataFrame  # improvement of skewness and kurtosis in percent
     lam: float
 
@@ -78,7 +79,7 @@ def normalise(
         closeness_gain(pick("skew", value), pick("skew", after)).alias("skew_gain_pct"),
         closeness_gain(pick("kurtosis", value), pick("kurtosis", after)).alias("kurtosis_gain_pct"),
     )
-    return Normalised(table, metadata, quality(table, [value, after]), gains, lam)
+    return Normalised(table, metadata, quality(table, [value, after]), same_rows(df, table), gains, lam)
 
 
 def save(result: Normalised, folder: str) -> None:

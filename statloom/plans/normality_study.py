@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from typing import NamedTuple
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,18 +12,50 @@ from statloom.operators.describe import describe
 from statloom.operators.normality import (
     ALPHA,
     SAMPLE,
+    FittedTransforms,
     add_transforms,
     compare_transforms,
     fit_transforms,
 )
 from statloom.session import materialise
+from statloom.sources.writers import write_csv
 
 
-class NormalityStudy(NamedTuple):
-    statistics: DataFrame  # moments of the column
-    tests: DataFrame  # transform, lambda, n, w, p, result; best first
-    transformed: DataFrame  # the table plus one target_* column per transform
-    normal: bool  # was the column itself accepted?
+class NormalityStudy:
+    """Tests of a column and its transforms; each table is computed when it is asked for."""
+
+    def __init__(self, df: DataFrame, value: str, key_cols: Sequence[str], n: int, alpha: float):
+        self.table, self.value, self.keys, self.n, self.alpha = df, value, list(key_cols), n, alpha
+
+    @cached_property
+    def fitted(self) -> FittedTransforms:
+        return fit_transforms(self.table, self.value)
+
+    @cached_property
+    def compared(self) -> DataFrame:
+        """The column and every feasible transform, tested on one sample."""
+        return materialise(compare_transforms(self.table, self.fitted, self.keys, n=self.n, alpha=self.alpha))
+
+    @cached_property
+    def normal(self) -> bool:
+        """Was the column itself accepted?"""
+        return self.compared.filter((F.col("transform") == "Original") & (F.col("p") > self.alpha)).count() == 1
+
+    @property
+    def statistics(self) -> DataFrame:
+        """Moments of the column."""
+        return describe(self.table, [self.value], quartiles=False)
+
+    @property
+    def tests(self) -> DataFrame:
+        """transform, lambda, n, w, p, result, best first; the column alone if it is normal."""
+        tests = self.compared.filter(F.col("transform") == "Original") if self.normal else self.compared
+        return tests.orderBy(F.col("p").desc_nulls_last(), "transform")
+
+    @property
+    def transformed(self) -> DataFrame:
+        """The table, with one target_* column per transform if the column is not normal."""
+        return self.table if self.normal else add_transforms(self.table, self.fitted)
 
 
 def study_normality(
@@ -34,13 +66,10 @@ def study_normality(
     alpha: float = ALPHA,
 ) -> NormalityStudy:
     """Test the column; if it is rejected, try and add every feasible transform."""
-    fitted = fit_transforms(df, value)
-    tests = materialise(compare_transforms(df, fitted, key_cols, n=n, alpha=alpha))
-    original = tests.filter(F.col("transform") == "Original")
-    normal = original.filter(F.col("p") > alpha).count() == 1
-    return NormalityStudy(
-        describe(df, [value], quartiles=False),
-        (original if normal else tests).orderBy(F.col("p").desc_nulls_last(), "transform"),
-        df if normal else add_transforms(df, fitted),
-        normal,
-    )
+    return NormalityStudy(df, value, key_cols, n, alpha)
+
+
+def save(study: NormalityStudy, folder: str) -> None:
+    """Write the table with its transforms, and the tests, as CSV folders."""
+    write_csv(study.transformed, f"{folder}/base_analitica_com_transformacoes")
+    write_csv(study.tests, f"{folder}/testes_normalidade")

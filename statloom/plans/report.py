@@ -16,6 +16,7 @@ from statloom.operators.distribution import (
     normal_overlay,
     qq_line,
     qq_points,
+    violin_marks,
 )
 from statloom.operators.normality import SAMPLE, shapiro_groups
 from statloom.operators.sampling import scatter_sample
@@ -61,6 +62,9 @@ class DistributionReport:
     def violins(self) -> DataFrame:
         return kernel_density(self.long, "value", self.by)
 
+    def violin_marks(self) -> DataFrame:
+        return violin_marks(self.long, "value", self.by)
+
     def statistics(self) -> DataFrame:
         return compare(self.table, self.before, self.after)
 

@@ -14,7 +14,7 @@ from statloom.operators.associate import (
     rank_by_magnitude,
     with_selection,
 )
-from statloom.session import materialise
+from statloom.session import materialise, store
 from statloom.sources.writers import write_csv
 
 
@@ -37,6 +37,7 @@ def select_features(
 
     Only the names of the selected columns reach the driver.
     """
+    features = store(features.select(*dict.fromkeys([value, target, *candidates])), "features")
     corr = materialise(with_selection(corr_with_target(features, candidates, target), threshold))
     ranked = rank_by_magnitude(corr)
     chosen = [r["variable"] for r in ranked.filter("selected").select("variable").collect()]

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from statloom.operators.keyed import left_join
-from statloom.session import spread
 from statloom.sources.readers import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,14 +27,9 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-# Test files that hold one row group, hence one split, but many rows.
-ONE_SPLIT = ("orders", "lineitem", "events")
-
-
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """One table of the test data, spread over the cores if it comes in fewer splits."""
-    df = read_table(spark, sf, name)
-    return spread(df) if name in ONE_SPLIT else df
+    """One table of the test data."""
+    return read_table(spark, sf, name)
 
 
 def rounded(df: DataFrame, digits: int = 4) -> DataFrame:

@@ -23,7 +23,7 @@ from statloom.operators.distribution import (
     qq_points,
 )
 from statloom.operators.encode import stat_encode
-from statloom.operators.ordering import percent_rank_average, row_ids, sliced_quantiles
+from statloom.operators.ordering import counted_quantiles, percent_rank_average, row_ids
 from statloom.operators.windows import add_lags, yearly_totals
 from statloom.functions.normal import CENTRE, SHOULDER, TAIL
 from statloom.registry.base import FACT_SQL, fact, joined, query, rounded, table
@@ -344,7 +344,7 @@ def describe_texts(spark, sf):
 def quantiles_sliced(spark, sf):
     probs = {"d1": 0.1, "median": 0.5, "d9": 0.9}
     lines = table(spark, sf, "lineitem")
-    return rounded(sliced_quantiles(lines, "l_extendedprice", probs, ["l_returnflag"], 1000))
+    return rounded(counted_quantiles(lines, "l_extendedprice", probs, ["l_returnflag"]))
 
 
 def _improvement_sql() -> str:

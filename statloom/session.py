@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Folders that intermediate tables of the open scopes were written to.
+_scopes: list[list[str]] = []
+
 
 def local_session(cores: int | str = 8, name: str = "statloom") -> SparkSession:
     """A local session for tests and benches; clusters bring their own."""
@@ -18,6 +21,9 @@ def local_session(cores: int | str = 8, name: str = "statloom") -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Feature tables have several hundred columns; above 100 Spark drops generated code.
+        .config("spark.sql.codegen.maxFields", "2000")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="statloom-"))
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .getOrCreate()
@@ -27,12 +33,16 @@ def local_session(cores: int | str = 8, name: str = "statloom") -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: spark.checkpoint.dir, or a temporary one if unset."""
+    """The folder every executor can reach, from spark.checkpoint.dir.
+
+    Where that is unset, a session that runs in one process on one machine gets a
+    temporary folder; on a cluster it is an error, for executors would not see it.
+    """
     context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured is None:
-        configured = context.getCheckpointDir()
-    if configured is None:
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not configured:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="statloom-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(configured)
@@ -41,7 +51,25 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path for a table this run writes and reads back."""
-    return f"{shared_dir(spark)}/statloom-{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/statloom-{label}-{uuid.uuid4().hex}"
+    for written in _scopes:
+        written.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables written inside, once the results have been used or saved."""
+    written: list[str] = []
+    _scopes.append(written)
+    try:
+        yield
+    finally:
+        _scopes.remove(written)
+        jvm = spark.sparkContext._jvm
+        for path in written:
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -50,40 +78,13 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def store(df: DataFrame, label: str = "table") -> DataFrame:
+def store(df: DataFrame, label: str = "table", partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once as Parquet into the shared folder and read it back.
 
-    For wide tables that several later passes read a few columns of.
+    For tables that several later passes read a few columns or, by ``partition_by``, a few
+    parts of. Rows keep their order inside a file.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def allow_wide_rows(spark: SparkSession, fields: int = 2_000) -> None:
-    """Keep generated code for feature tables of several hundred columns.
-
-    Spark turns code generation off above spark.sql.codegen.maxFields (100 by
-    default), which makes a wide table several times slower.
-    """
-    name = "spark.sql.codegen.maxFields"
-    if int(spark.conf.get(name)) < fields:
-        spark.conf.set(name, str(fields))
-
-
-@contextmanager
-def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
-    """Run eager work under one changed session setting."""
-    before = spark.conf.get(name)
-    spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for a materialised table that came from fewer input splits."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

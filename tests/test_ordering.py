@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from statloom.operators.keyed import attach, hot_hashes, key_hash, left_join
 from statloom.operators.ordering import (
+    counted_quantiles,
     grouped_stats,
     percent_rank_average,
     row_ids,
-    sliced_quantiles,
 )
 
 
@@ -40,15 +40,14 @@ def test_row_ids_number_the_whole_order(table):
     assert (np.diff(present) >= 0).all() and np.isnan(value[: 3000 - len(present)]).all()
 
 
-@pytest.mark.parametrize("per_slice", [10, 200, 10**6])
-def test_sliced_quantiles_are_exact(table, skewed, per_slice):
+def test_counted_quantiles_are_exact(table, skewed):
     probs = {"low": 0.0, "d1": 0.1, "q1": 0.25, "median": 0.5, "d9": 0.9, "top": 1.0}
-    got = sliced_quantiles(table, "value", probs, ["key"], per_slice).toPandas().set_index("key")
+    got = counted_quantiles(table, "value", probs, ["key"]).toPandas().set_index("key")
     want = skewed.assign(value=skewed["value"].astype(float)).dropna().groupby("key")["value"]
     assert set(got.index) == set(want.groups)
     for name, p in probs.items():
         assert got[name].sort_index().to_numpy() == pytest.approx(want.quantile(p).sort_index().to_numpy())
-    whole = sliced_quantiles(table, "value", probs, (), per_slice).first()
+    whole = counted_quantiles(table, "value", probs).first()
     assert tuple(whole) == pytest.approx(
         tuple(skewed["value"].astype(float).quantile(p) for p in probs.values())
     )
@@ -66,7 +65,7 @@ def test_both_paths_agree(table):
 
 def test_quantiles_of_a_constant(frame):
     df = frame([(4.0,)] * 50, "v double")
-    assert tuple(sliced_quantiles(df, "v", {"a": 0.3, "b": 0.9}, (), 5).first()) == (4.0, 4.0)
+    assert tuple(counted_quantiles(df, "v", {"a": 0.3, "b": 0.9}).first()) == (4.0, 4.0)
 
 
 @pytest.mark.parametrize("limit", [10**6, 60])
@@ -85,10 +84,10 @@ def test_rank_of_known_ties(frame):
     assert [r["rank_pct"] for r in got] == [0.25, 0.625, 0.625, 1.0]
 
 
-@pytest.mark.parametrize("cells", [10**6, 0])
-def test_left_join_keeps_rows(table, skewed, cells):
+@pytest.mark.parametrize("limit", [10**6, 0])
+def test_left_join_keeps_rows(table, skewed, limit):
     side = table.groupBy("key").agg(F.count("*").alias("n")).filter(F.coalesce("key", F.lit("")) != "3")
-    joined = left_join(table, side.dropna(subset=["key"]), ["key"], broadcast_cells=cells).toPandas()
+    joined = left_join(table, side.dropna(subset=["key"]), ["key"], broadcast_bytes=limit).toPandas()
     assert len(joined) == 3000 and list(joined.columns) == ["id", "key", "value", "n"]
     sizes = skewed.groupby("key")["id"].count()
     want = skewed["key"].map(sizes).where(skewed["key"] != "3").to_numpy(dtype=float)
@@ -109,6 +108,50 @@ def test_attach_without_groups_needs_no_join(table):
 
 def test_hot_rows_spread_over_tasks(spark, table):
     side = table.dropna(subset=["key"]).groupBy("key").agg(F.count("*").alias("n"))
-    with_limit = left_join(table, side, ["key"], broadcast_cells=0)
+    with_limit = left_join(table, side, ["key"], broadcast_bytes=0)
     plan = with_limit._jdf.queryExecution().optimizedPlan().toString()
     assert "_salt" in plan and with_limit.count() == 3000
+
+
+BOTH_WAYS = pytest.mark.parametrize("limit", [10**9, 0])
+
+
+@BOTH_WAYS
+@pytest.mark.parametrize(("left", "right"), [("int", "double"), ("double", "bigint"), ("string", "string")])
+def test_join_keys_meet_in_their_common_type(spark, limit, left, right):
+    facts = spark.createDataFrame([("1",), ("2",), (None,), ("1",)], "k string").select(F.col("k").cast(left))
+    side = spark.createDataFrame([("1", 10), ("1.5", 20), ("3", 30)], "k string, w int")
+    side = side.filter("k <> '1.5'") if right == "bigint" else side
+    side = side.select(F.col("k").cast(right), "w")
+    got = left_join(facts, side, ["k"], broadcast_bytes=limit)
+    assert got.schema["k"].dataType.simpleString() == left
+    assert sorted((str(r.k), r.w) for r in got.collect()) == sorted(
+        (str(r.k), 10 if r.k is not None and str(r.k) in ("1", "1.0") else None) for r in facts.collect())
+    with pytest.raises(TypeError):
+        left_join(facts.select(F.col("k").cast("string")), side.select(F.col("k").cast("double"), "w"), ["k"],
+                  broadcast_bytes=limit)
+
+
+@pytest.mark.parametrize("kind", ["string", "timestamp", "date", "double", "int"])
+def test_ranks_of_any_type_agree(spark, kind):
+    days = [None, *(f"2024-01-{d:02d}" for d in (1, 1, 5, 7, 7, 7, 9))]
+    number = [None, 1, 1, 5, 7, 7, 7, 9]
+    rows = [(i, "a" if i % 4 else "b", str(v)) if v is not None else (i, "a", None)
+            for i, v in enumerate((number if kind in ("double", "int") else days) * 6)]
+    table = spark.createDataFrame(rows, "i int, g string, v string").withColumn("v", F.col("v").cast(kind))
+    if kind == "double":
+        more = spark.createDataFrame([(100, "a"), (101, "a"), (102, None)], "i int, g string")
+        table = table.unionByName(more.withColumn("v", F.expr("CASE i WHEN 100 THEN double('nan') ELSE double('inf') END")))
+    small, big = (percent_rank_average(table, "v", ["g"], row_limit=n) for n in (10**6, 3))
+    small, big = ({r.i: r.rank_pct for r in x.collect()} for x in (small, big))
+    assert small == pytest.approx(big) and len(small) == table.count()
+    if kind == "double":
+        assert small[100] is None and small[101] == 1.0 and small[102] is None
+
+
+def test_quantiles_skip_nan_both_ways(spark):
+    table = spark.createDataFrame([(1, 1.0), (1, 2.0), (1, float("nan")), (1, None), (1, float("inf"))],
+                                  "g int, v double")
+    small, big = (grouped_stats(table, "v", [F.count("v").alias("n")], {"m": 0.5}, ["g"], n).first()
+                  for n in (100, 1))
+    assert small == big == (1, 3, 2.0)

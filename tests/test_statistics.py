@@ -50,14 +50,11 @@ def test_stat_encode(frame, limit):
 
 def test_stat_encode_with_big_side_tables(frame, monkeypatch):
     import statloom.operators.encode as encode
-    import statloom.operators.keyed as keyed
 
     rows = [(i, "hot" if i % 3 else str(i % 50), float(i % 17)) for i in range(600)]
     df = frame([*rows, (600, None, 1.0)], "i int, k string, t double")
     want = stat_encode(df, {"te": ["k"]}, "t").orderBy("i").collect()
-    small = keyed.is_small
-    monkeypatch.setattr(encode, "is_small", lambda side, n: False)
-    monkeypatch.setattr(keyed, "is_small", lambda side, n, cells: small(side, n, 0))
+    monkeypatch.setattr(encode, "BROADCAST_BYTES", -1)
     assert stat_encode(df, {"te": ["k"]}, "t").orderBy("i").collect() == want
 
 
@@ -207,9 +204,52 @@ def test_normal_overlay(frame):
 
 def test_qq_of_normal_data_is_a_line(frame):
     x = np.random.default_rng(8).normal(3.0, 2.0, size=500)
-    points = qq_points(values(frame, x), "v")
+    points = qq_points(values(frame, x).withColumn("i", F.monotonically_increasing_id()), "v", ["i"])
     row = qq_line(points).first()
     assert row["n"] == 500 and row["r"] > 0.99
     assert row["slope"] == pytest.approx(2.0, abs=0.2) and row["intercept"] == pytest.approx(x.mean())
     first = points.orderBy("position").first()
     assert first["observed"] == x.min()
+
+
+@pytest.mark.parametrize("limit", [10**6, 4])
+def test_stat_encode_skips_nan_and_takes_dotted_names(frame, limit):
+    nan, inf = float("nan"), float("inf")
+    rows = [("a", 1.0), ("a", nan), ("a", 4.0), ("b", None), ("b", nan), ("c", inf), (None, 2.0)] + [("d", 1.0)] * 9
+    df = frame([(i, *r) for i, r in enumerate(rows)], "i int, `a.b` string, t double")
+    got = {r["i"]: r for r in stat_encode(df, {"te": ["a.b"]}, "t", row_limit=limit).collect()}
+    assert len(got) == len(rows)
+    assert (got[0].te_mean, got[0].te_median, got[0].te_max, got[0].te_count) == (2.5, 2.5, 4.0, 2)
+    assert got[3].te_mean is None and got[3].te_count == 0 and got[6].te_count is None
+    assert got[5].te_median == inf and got[7].te_count == 9
+
+
+def test_missing_keys_and_nan_in_estimates(frame):
+    from statloom.operators.associate import corr_with_target
+    from statloom.operators.estimation import estimators, sample_size
+    from statloom.operators.windows import yearly_totals
+
+    nan = float("nan")
+    df = frame([("a", 1, 1.0, 1), ("a", 1, nan, 0), ("a", 1, 3.0, 1), (None, 1, 9.0, 1)],
+               "k string, y int, v double, f int")
+    assert [tuple(r) for r in estimators(df, "v", "f", ["k"]).collect()] == [("a", 3, pytest.approx(2 / 3), 2.0, 2.0)]
+    assert sample_size(df, "f", group_cols=["k"]).count() == 1
+    assert corr_with_target(df, ["f"], "v", ["k"]).count() == 1
+    assert [tuple(r) for r in yearly_totals(df, "y", "k", "v").collect()] == [(1, "a", 4.0, 2.0, 2)]
+
+
+def test_pair_moments_with_missing_and_infinite_values(frame):
+    from statloom.operators.associate import corr_pairs
+
+    rng = np.random.default_rng(5)
+    x = rng.normal(1e6, 1.0, (400, 4))
+    x[rng.random(x.shape) < 0.2] = np.nan
+    pdf = pd.DataFrame(x, columns=list("abcd"))
+    rows = [tuple(None if math.isnan(v) else float(v) for v in r) + (5.0, float("inf") if i == 3 else float(i))
+            for i, r in enumerate(x.tolist())]
+    df = frame(rows, "a double, b double, c double, d double, e double, f double")
+    got = {(r.var_a, r.var_b): (r.n, r.r) for r in corr_pairs(df, list("abcdef")).collect()}
+    for a, b in (("a", "b"), ("b", "d"), ("a", "d")):
+        both = pdf[[a, b]].dropna()
+        assert got[a, b] == (len(both), pytest.approx(both.corr().iloc[0, 1], abs=1e-9))
+    assert got["a", "e"][1] is None and len(got) == 15
