@@ -97,13 +97,15 @@ def left_join(
     broadcast_bytes: int = BROADCAST_BYTES,
     hot: Sequence[int] | None = None,
     side_bytes: int | None = None,
+    stored: bool = False,
 ) -> DataFrame:
     """Left join onto a side whose keys are unique; the row count never changes.
 
     The side is computed once and measured. A small one is broadcast, so ``df``
     is not shuffled. A big one is shuffled on the keys and a salt: rows with a hot
     or missing key spread over SALTS tasks, and the few hot side rows are repeated
-    for each salt. ``hot`` gives the hashes of the hot keys if they are known.
+    for each salt. ``hot`` gives the hashes of the hot keys if they are known, ``stored``
+    says that the side is read from files and needs no copy.
 
     Keys of different numeric types are compared in their common type on both ways;
     other types must be equal, else a TypeError says so.
@@ -111,7 +113,7 @@ def left_join(
     keys = list(keys)
     kinds = {k: common_type(df.sparkSession, df.schema[k].dataType, side.schema[k].dataType) for k in keys}
     if side_rows is None or side_bytes is None:
-        if side_rows is None:
+        if side_rows is None and not stored:
             side = materialise(side)
         side_rows, texts = side.agg(F.count(F.lit(1)), F.sum(text_bytes(side))).first()
         side_bytes = measured_bytes(side, side_rows, texts or 0)

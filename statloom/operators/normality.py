@@ -130,6 +130,11 @@ def add_transforms(df: DataFrame, fitted: FittedTransforms) -> DataFrame:
     )
 
 
+def best_first() -> list[Column]:
+    """Highest p first; p-values equal but for rounding by name, undefined ones and zeros last."""
+    return [F.round(F.log("p"), 6).desc_nulls_last(), F.col("transform")]
+
+
 def compare_transforms(
     df: DataFrame,
     fitted: FittedTransforms,
@@ -154,9 +159,9 @@ def compare_transforms(
     tested = _test_groups(long, ["transform"], "value")
     return tested.select(
         "transform", lam.alias("lambda"), "n", "w", "p", verdict("p", alpha).alias("result")
-    ).orderBy(F.col("p").desc_nulls_last(), "transform")
+    ).orderBy(*best_first())
 
 
 def best_transforms(comparison: DataFrame, k: int = 1) -> DataFrame:
     """The k rows of a comparison with the highest p-value."""
-    return comparison.orderBy(F.col("p").desc_nulls_last(), "transform").limit(k)
+    return comparison.orderBy(*best_first()).limit(k)

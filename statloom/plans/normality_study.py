@@ -14,6 +14,7 @@ from statloom.operators.normality import (
     SAMPLE,
     FittedTransforms,
     add_transforms,
+    best_first,
     compare_transforms,
     fit_transforms,
 )
@@ -50,7 +51,7 @@ class NormalityStudy:
     def tests(self) -> DataFrame:
         """transform, lambda, n, w, p, result, best first; the column alone if it is normal."""
         tests = self.compared.filter(F.col("transform") == "Original") if self.normal else self.compared
-        return tests.orderBy(F.col("p").desc_nulls_last(), "transform")
+        return tests.orderBy(*best_first())
 
     @property
     def transformed(self) -> DataFrame:

@@ -47,7 +47,7 @@ def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
 def joined(facts: DataFrame, side: DataFrame, fact_key: str, side_key: str, *columns: str):
     """Left join of a fact onto a dimension of the test data, safe for hot keys."""
     right = side.select(F.col(side_key).alias(fact_key), *columns)
-    return left_join(facts, right, [fact_key], side_rows=side.count())
+    return left_join(facts, right, [fact_key], stored=True)
 
 
 def fact(spark: SparkSession, sf: str) -> DataFrame:

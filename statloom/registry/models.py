@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from statloom.functions.columns import flag
@@ -39,6 +41,16 @@ from statloom.operators.regression import (
 )
 from statloom.operators.sampling import hash_sample, scatter_sample, systematic_sample
 from statloom.registry.base import FACT_SQL, fact, query, rounded, table
+from statloom.registry.sqltools import (
+    BOX_COX,
+    SHAPIRO_Z,
+    YEO_JOHNSON,
+    fit_ctes,
+    significant,
+    significant_sql,
+    upper_tail_sql,
+    verdict_sql,
+)
 from statloom.registry.statistics import _ratio_sql
 
 # --- transforms with known parameters --------------------------------------------
@@ -101,6 +113,7 @@ def sign_gates(spark, sf):
     return spark.createDataFrame([tuple(known[k] for k in names)], schema)
 
 
+# Fixed value: a published lambda, to test applying one.
 LAMBDA = 1.2623624250829306
 
 
@@ -261,9 +274,16 @@ def shapiro_w(spark, sf):
     return tested.select("c_mktsegment", "n", F.round("w", 8).alias("w"))
 
 
-@query("shapiro_groups")
+@query(
+    "shapiro_groups",
+    f"""WITH {FACT_SQL}, {_shapiro_sql('fact', 'c_mktsegment', 'log_target', 'o_orderkey', 5000)},
+        score AS (SELECT *, {SHAPIRO_Z} AS z FROM w), tail AS (SELECT *, {upper_tail_sql('z')} AS p FROM score)
+        SELECT g AS c_mktsegment, CAST(n AS BIGINT) AS n, round(w, 8) AS w, round(p, 8) AS p,
+          {verdict_sql('p')} AS result FROM tail""",
+)
 def shapiro_groups_query(spark, sf):
-    return shapiro_groups(fact(spark, sf), "log_target", ["c_mktsegment"], ["o_orderkey"])
+    tested = shapiro_groups(fact(spark, sf), "log_target", ["c_mktsegment"], ["o_orderkey"])
+    return rounded(tested, 8)
 
 
 def _logged(spark, sf):
@@ -272,36 +292,89 @@ def _logged(spark, sf):
     )
 
 
-@query("compare_transforms")
+# Digits of a fitted lambda that two searches share.
+LAMBDA_DIGITS = 3
+
+
+def shared_lambdas(fitted):
+    """The fit with its lambdas rounded to what both searches agree on."""
+    return replace(fitted, **{
+        name: None if lam is None else round(lam, LAMBDA_DIGITS)
+        for name in ("box_cox_lambda", "yeo_johnson_lambda") for lam in (getattr(fitted, name),)})
+
+
+def fits_sql(value: str, reach: int = 48, digits: int = 12) -> str:
+    """CTEs of both lambdas of a positive column: ``bc`` and ``yj``, over ``src`` (key, x)."""
+    return ", ".join([
+        f"src AS MATERIALIZED (SELECT o_orderkey, {value} AS x FROM orders)",
+        fit_ctes("bc", "SELECT ln(x) - (SELECT avg(ln(x)) FROM src) AS s FROM src", BOX_COX, "0", reach, digits),
+        fit_ctes("yj", "SELECT ln(1 + x) AS s FROM src", YEO_JOHNSON, "(SELECT avg(s) FROM {x})", reach, digits),
+    ])
+
+
+def transforms_sql() -> dict[str, str]:
+    """Every transform of a positive ``x`` by its display name."""
+    return {
+        "Original": "x",
+        "Box-Cox": "(pow(x, (SELECT lam FROM bc)) - 1) / (SELECT lam FROM bc)",
+        "Yeo-Johnson": "(pow(x + 1, (SELECT lam FROM yj)) - 1) / (SELECT lam FROM yj)",
+        "Log": "ln(x)", "Raiz Quadrada": "sqrt(x)", "Inversa": "1 / x",
+        "Z-Score": "(x - (SELECT avg(x) FROM src)) / (SELECT stddev_samp(x) FROM src)",
+    }
+
+
+def compared_sql(value: str) -> str:
+    """CTEs up to ``tests``: the Shapiro-Wilk test of every transform on one sample."""
+    rows = " UNION ALL ".join(
+        f"SELECT o_orderkey, '{name}' AS transform, {sql} AS v FROM src" for name, sql in transforms_sql().items())
+    return f"""{fits_sql(value)}, variants AS MATERIALIZED ({rows}),
+        {_shapiro_sql('variants', 'transform', 'v', 'o_orderkey', 5000)},
+        score AS (SELECT *, {SHAPIRO_Z} AS z FROM w), tail AS (SELECT *, {upper_tail_sql('z')} AS p FROM score),
+        tests AS (SELECT g AS transform, CASE g WHEN 'Box-Cox' THEN (SELECT lam FROM bc)
+            WHEN 'Yeo-Johnson' THEN (SELECT lam FROM yj) END AS lam, CAST(n AS BIGINT) AS n, w, p,
+            {verdict_sql('p')} AS result FROM tail)"""
+
+
+COMPARED = """SELECT transform, round(lam, 3) AS "lambda", n, round(w, 6) AS w, round(p, 6) AS p, result FROM tests"""
+
+
+def compared_rounded(tests):
+    """Lambdas and statistics to the digits that two searches share."""
+    digits = {"lambda": 3, "w": 6, "p": 6}
+    return tests.withColumns({c: F.round(c, d) for c, d in digits.items()})
+
+
+@query("compare_transforms", f"WITH {compared_sql('ln(1 + o_totalprice)')} {COMPARED}")
 def compare_transforms_query(spark, sf):
     orders = _logged(spark, sf)
-    return compare_transforms(orders, fit_transforms(orders, "log_target"), ["o_orderkey"])
+    return compared_rounded(compare_transforms(orders, fit_transforms(orders, "log_target"), ["o_orderkey"]))
 
 
-@query("best_transforms")
+@query(
+    "best_transforms",
+    f"WITH {compared_sql('ln(1 + o_totalprice)')} {COMPARED} ORDER BY round(ln(nullif(tests.p, 0)), 6) DESC NULLS LAST, transform LIMIT 3",
+)
 def best_transforms_query(spark, sf):
     orders = _logged(spark, sf)
     compared = compare_transforms(orders, fit_transforms(orders, "log_target"), ["o_orderkey"])
-    return best_transforms(compared, 3)
+    return compared_rounded(best_transforms(compared, 3))
 
 
-@query(
-    "add_transforms",
-    """SELECT o_orderkey, round(ln(o_totalprice), 5) AS target_log,
-              round(sqrt(o_totalprice), 5) AS target_raiz_quadrada,
-              round(1 / o_totalprice, 9) AS target_inversa,
-              round((o_totalprice - m) / s, 5) AS target_z_score
-       FROM orders, (SELECT avg(o_totalprice) AS m, stddev_samp(o_totalprice) AS s FROM orders)""",
+def snake(name: str) -> str:
+    return "target_" + name.lower().replace("-", "_").replace(" ", "_")
+
+
+ADDED_SQL = ", ".join(
+    f"{significant_sql(f'({sql})', 5)} AS {snake(name)}"
+    for name, sql in transforms_sql().items() if name != "Original"
 )
+
+
+@query("add_transforms", f"WITH {fits_sql('o_totalprice', 8, LAMBDA_DIGITS)} SELECT o_orderkey, {ADDED_SQL} FROM src")
 def add_transforms_query(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    wide = add_transforms(orders, fit_transforms(orders, "o_totalprice"))
-    names = ("target_log", "target_raiz_quadrada", "target_z_score")
-    return wide.select(
-        "o_orderkey",
-        *(F.round(c, 5).alias(c) for c in names),
-        F.round("target_inversa", 9).alias("target_inversa"),
-    )
+    wide = add_transforms(orders, shared_lambdas(fit_transforms(orders, "o_totalprice")))
+    return significant(wide.drop("o_totalprice"), 5)
 
 
 # --- samples ---------------------------------------------------------------------
@@ -437,10 +510,30 @@ def ols_fit_query(spark, sf):
     return rounded(fitted.select("term", "coef", "std_err", "t"))
 
 
-@query("ols_coefficients")
+# Two-sided p-value and 97.5 % quantile of Student's t, by their expansions in 1 / freedom.
+T_TAIL_SQL = f"""least(1, 2 * ({upper_tail_sql('abs(t)')}
+    + exp(-0.5 * t * t) / sqrt(2 * pi()) * abs(t) * (t * t + 1) / (4 * v)))"""
+Z975 = 1.959963984540054
+T_REACH_SQL = (f"({Z975} + (pow({Z975}, 3) + {Z975}) / (4 * v)"
+               f" + (5 * pow({Z975}, 5) + 16 * pow({Z975}, 3) + 3 * {Z975}) / (96 * v * v))")
+
+
+@query(
+    "ols_coefficients",
+    f"""WITH {SOLVE_SQL}, e AS (SELECT *, sse / (n - 3) AS s2, saa * sbb - sab * sab AS det FROM f),
+        c1 AS (SELECT 'const' AS term, b0 AS coef, n - 3.0 AS v,
+                 sqrt(s2 / n * (1 + (ma*ma*sbb - 2*ma*mb*sab + mb*mb*saa) / det)) AS se FROM e
+              UNION ALL SELECT 'l_quantity', ba, n - 3.0, sqrt(s2 / n * sbb / det) FROM e
+              UNION ALL SELECT 'l_discount', bb, n - 3.0, sqrt(s2 / n * saa / det) FROM e),
+        t AS (SELECT *, coef / se AS t FROM c1)
+        SELECT term, round(coef, 4) AS coef, round(se, 4) AS std_err, round(t, 4) AS t, round({T_TAIL_SQL}, 6) AS p,
+          round(coef - {T_REACH_SQL} * se, 3) AS ci_low, round(coef + {T_REACH_SQL} * se, 3) AS ci_high FROM t""",
+)
 def ols_coefficients(spark, sf):
     lines = table(spark, sf, "lineitem")
-    return coefficient_table(lines, ols_fit(lines, "l_extendedprice", PREDICTORS))
+    fitted = coefficient_table(lines, ols_fit(lines, "l_extendedprice", PREDICTORS))
+    digits = {"coef": 4, "std_err": 4, "t": 4, "p": 6, "ci_low": 3, "ci_high": 3}
+    return fitted.withColumns({c: F.round(c, d) for c, d in digits.items()})
 
 
 RESIDUAL_SQL = """r AS (SELECT y - (b0 + ba * a + bb * b) AS e,
@@ -449,35 +542,66 @@ RESIDUAL_SQL = """r AS (SELECT y - (b0 + ba * a + bb * b) AS e,
     w AS (SELECT e, e - lag(e) OVER (ORDER BY i) AS step FROM r)"""
 
 
-@query(
-    "ols_summary",
-    f"""WITH {SOLVE_SQL}, {RESIDUAL_SQL},
+# Scores of skewness (D'Agostino) and kurtosis (Anscombe and Glynn), as in the library.
+SCORES_SQL = """y AS (SELECT *, g1 * sqrt((n + 1.0) * (n + 3) / (6.0 * (n - 2))) AS y,
+      3.0 * (n * n + 27.0 * n - 70) * (n + 1) * (n + 3) / ((n - 2.0) * (n + 5) * (n + 7) * (n + 9)) AS b2,
+      (g2 - 3.0 * (n - 1) / (n + 1)) / sqrt(24.0 * n * (n - 2) * (n - 3)
+        / (pow(n + 1.0, 2) * (n + 3) * (n + 5))) AS x,
+      6.0 * (n * n - 5.0 * n + 2) / ((n + 7.0) * (n + 9))
+        * sqrt(6.0 * (n + 3) * (n + 5) / (n * (n - 2.0) * (n - 3))) AS root FROM v),
+    kk AS (SELECT *, sqrt(2 * (b2 - 1)) - 1 AS w2, 6 + 8 / root * (2 / root + sqrt(1 + 4 / (root * root))) AS a FROM y),
+    u AS (SELECT *, y / sqrt(2 / (w2 - 1)) AS q, (1 - 2 / a) / (1 + x * sqrt(2 / (a - 4))) AS ratio FROM kk),
+    o AS (SELECT *, pow(ln(q + sqrt(q * q + 1)) / sqrt(0.5 * ln(w2)), 2)
+        + pow((1 - 2 / (9 * a) - cbrt(ratio)) / sqrt(2 / (9 * a)), 2) AS omnibus,
+        n / 6.0 * (g1 * g1 + pow(g2 - 3, 2) / 4) AS jb,
+        ((sst - sse) / 2) / (sse / (n - 3)) AS f FROM u),
+    h AS (SELECT *, n * 1.0 AS m11, n * ma AS m12, n * mb AS m13, n * (saa + ma * ma) AS m22,
+        n * (sab + ma * mb) AS m23, n * (sbb + mb * mb) AS m33 FROM o),
+    i1 AS (SELECT *, (m11 + m22 + m33) / 3 AS c3 FROM h),
+    i2 AS (SELECT *, sqrt((pow(m11 - c3, 2) + pow(m22 - c3, 2) + pow(m33 - c3, 2)
+        + 2 * (m12 * m12 + m13 * m13 + m23 * m23)) / 6) AS pp FROM i1),
+    i3 AS (SELECT *, acos(greatest(-1, least(1, ((m11 - c3) * ((m22 - c3) * (m33 - c3) - m23 * m23)
+        - m12 * (m12 * (m33 - c3) - m23 * m13) + m13 * (m12 * m23 - (m22 - c3) * m13)) / pow(pp, 3) / 2))) / 3 AS phi
+        FROM i2),
+    i4 AS (SELECT *, c3 + 2 * pp * cos(phi) AS top, m11 * (m22 * m33 - m23 * m23) - m12 * (m12 * m33 - m23 * m13)
+        + m13 * (m12 * m23 - m22 * m13) AS det3, c3 + 2 * pp * cos(phi - 2 * pi() / 3) AS mid FROM i3)"""
+SUMMARY_DIGITS = {
+    "df_model": 0, "df_resid": 0, "r2": 9, "adj_r2": 9, "f": 4, "f_p": 8, "log_likelihood": 2, "aic": 2, "bic": 2,
+    "omnibus": 2, "omnibus_p": 8, "skew": 6, "kurtosis": 6, "jarque_bera": 2, "jarque_bera_p": 8,
+    "condition_number": 2, "durbin_watson": 6,
+}
+SUMMARY_SQL = f"""WITH {SOLVE_SQL}, {{residuals}},
         m AS (SELECT avg(pow(e, 3)) / pow(avg(e * e), 1.5) AS g1,
                 avg(pow(e, 4)) / pow(avg(e * e), 2) AS g2,
                 sum(step * step) / sum(e * e) AS dw FROM w),
-        v AS (SELECT f.*, m.*, n * syy AS sst, -n / 2.0 * (ln(2 * pi()) + ln(sse / n) + 1) AS ll FROM f, m)
-        SELECT CAST(n AS DOUBLE) AS n, round(1 - sse / sst, 9) AS r2,
-          round(1 - sse / sst * (n - 1) / (n - 3), 9) AS adj_r2,
-          round(((sst - sse) / 2) / (sse / (n - 3)), 4) AS f, round(ll, 2) AS log_likelihood,
+        v AS (SELECT f.*, m.*, n * syy AS sst, -n / 2.0 * (ln(2 * pi()) + ln(sse / n) + 1) AS ll FROM f, m),
+        {SCORES_SQL}
+        SELECT CAST(n AS DOUBLE) AS n, 2.0::DOUBLE AS df_model, CAST(n - 3 AS DOUBLE) AS df_resid,
+          round(1 - sse / sst, 9) AS r2, round(1 - sse / sst * (n - 1) / (n - 3), 9) AS adj_r2, round(f, 4) AS f,
+          -- With two predictors the tail of F has a closed form.
+          round(pow(1 + 2 * f / (n - 3), -(n - 3) / 2.0), 8) AS f_p, round(ll, 2) AS log_likelihood,
           round(-2 * ll + 6, 2) AS aic, round(-2 * ll + 3 * ln(n), 2) AS bic,
-          round(g1, 6) AS skew, round(g2, 6) AS kurtosis,
-          round(n / 6.0 * (g1 * g1 + pow(g2 - 3, 2) / 4), 2) AS jarque_bera,
-          round(dw, 6) AS durbin_watson FROM v""",
-)
-def ols_summary_query(spark, sf):
+          round(omnibus, 2) AS omnibus, round(exp(-omnibus / 2), 8) AS omnibus_p,
+          round(g1, 6) AS skew, round(g2, 6) AS kurtosis, round(jb, 2) AS jarque_bera,
+          round(exp(-jb / 2), 8) AS jarque_bera_p,
+          -- The smallest eigenvalue from the determinant, which does not cancel.
+          round(sqrt(top / (det3 / top / mid)), 2) AS condition_number, round(dw, 6) AS durbin_watson FROM i4"""
+
+
+def _summary(spark, sf):
     lines = table(spark, sf, "lineitem")
     row = ols_summary(lines, ols_fit(lines, "l_extendedprice", PREDICTORS), LINE_KEY)
-    digits = {
-        "r2": 9, "adj_r2": 9, "f": 4, "log_likelihood": 2, "aic": 2, "bic": 2, "skew": 6,
-        "kurtosis": 6, "jarque_bera": 2, "durbin_watson": 6,
-    }
-    return row.select("n", *(F.round(c, d).alias(c) for c, d in digits.items()))
+    return row.select("n", *(F.round(c, d).alias(c) for c, d in SUMMARY_DIGITS.items()))
+
 
+@query("ols_summary", SUMMARY_SQL.format(residuals=RESIDUAL_SQL))
+def ols_summary_query(spark, sf):
+    return _summary(spark, sf)
 
-@query("ols_diagnostics")
+
+@query("ols_diagnostics", SUMMARY_SQL.format(residuals=RESIDUAL_SQL).replace("SELECT CAST(n AS DOUBLE) AS n,", "SELECT", 1))
 def ols_diagnostics(spark, sf):
-    lines = table(spark, sf, "lineitem")
-    return ols_summary(lines, ols_fit(lines, "l_extendedprice", PREDICTORS), LINE_KEY)
+    return _summary(spark, sf).drop("n")
 
 
 @query(

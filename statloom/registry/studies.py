@@ -11,8 +11,30 @@ from statloom.plans.normalise import normalise
 from statloom.plans.normality_study import study_normality
 from statloom.plans.report import DistributionReport
 from statloom.plans.selection import select_features
+from statloom.operators.powerfit import box_cox_fit
 from statloom.registry.base import fact, joined, query, rounded, table
+from statloom.registry.models import (
+    COMPARED,
+    LAMBDA_DIGITS,
+    compared_rounded,
+    compared_sql,
+    fits_sql,
+    shared_lambdas,
+    snake,
+    transforms_sql,
+)
+from statloom.registry.models import _shapiro_sql as shapiro_sql
+from statloom.registry.sqltools import (
+    BOX_COX,
+    SHAPIRO_Z,
+    fit_ctes,
+    significant,
+    significant_sql,
+    upper_tail_sql,
+    verdict_sql,
+)
 from statloom.registry.statistics import ELEVEN, describe_sql, encode_sql, qq_sql
+from statloom.session import store
 from statloom.sources.readers import flatten_objects
 
 # --- the four source tables, with nested lists and objects -------------------------
@@ -262,6 +284,19 @@ def payroll_features(spark, sf):
     )
 
 
+@query(
+    "stat_encode_21_sliced",
+    "WITH {base}, {ctes} SELECT o_orderkey, {columns} FROM base {joins}".format(
+        base=BASE_SQL, **dict(zip(("ctes", "columns", "joins"), encode_sql(payroll.key_sets(), "log_target", "base")))),
+)
+def stat_encode_21_sliced(spark, sf):
+    """All payroll key sets where groups of more than 2000 rows count as too big for a task."""
+    table = features(spark, sf, row_limit=2000)
+    return table.select(
+        "o_orderkey",
+        *(F.col(c) if c.endswith("_count") else F.round(c, 4).alias(c) for c in ENCODED))
+
+
 def _all_columns_sql() -> str:
     ctes, _, joins = encode_sql(payroll.key_sets(), "log_target", "base")
     columns = ", ".join(
@@ -293,14 +328,44 @@ def payroll_correlations(spark, sf):
     return report.withColumn("correlacao", F.round("correlacao", 6))
 
 
-@query("payroll_selected_base")
+# The rows of the selected columns, told by position, count, sum and extremes.
+CHOSEN_SQL = f"""WITH {_all_columns_sql()}, c AS ({" UNION ALL ".join(
+        f"""SELECT '{c}' AS v, corr("{c}", log_target) AS r FROM wide""" for c in [*PLAIN, *ENCODED])}),
+    chosen AS MATERIALIZED (SELECT v, row_number() OVER (ORDER BY abs(r) DESC, v) AS pos FROM c
+        WHERE NOT isnan(r) AND abs(r) > 0.05),
+    narrow AS (SELECT o_orderkey, {", ".join(
+        f'round(CAST("{c}" AS DOUBLE), {_digits(c)}) AS "{c}"' if c in PLAIN else f'CAST("{c}" AS DOUBLE) AS "{c}"'
+        for c in [*PLAIN, *ENCODED])} FROM wide),
+    long AS MATERIALIZED (SELECT o_orderkey, v, pos, x FROM (
+        UNPIVOT narrow ON COLUMNS(* EXCLUDE (o_orderkey)) INTO NAME v VALUE x) JOIN chosen USING (v))"""
+
+
+@query(
+    "payroll_selected_base",
+    f"""{CHOSEN_SQL} SELECT v AS variable, CAST(pos AS INTEGER) AS place, count(x) AS n, {significant_sql('sum(x)')} AS total,
+        {significant_sql('min(x)')} AS least, {significant_sql('max(x)')} AS most FROM long GROUP BY v, pos""",
+)
 def payroll_selected_base(spark, sf):
-    return _selection(spark, sf, 0.05).base
+    base = _selection(spark, sf, 0.05).base
+    names = base.columns[2:]
+    places = F.create_map(*(x for i, c in enumerate(names) for x in (F.lit(c), F.lit(i + 1))))
+    cells = {c: F.col(f"`{c}`").cast("double") for c in names}
+    long = base.select(*(F.round(x, _digits(c)).alias(c) if c in PLAIN else x.alias(c)
+                         for c, x in cells.items())).unpivot(
+        [], [f"`{c}`" for c in names], "variable", "x")
+    summed = long.groupBy("variable").agg(
+        F.count("x").alias("n"), F.sum("x").alias("total"), F.min("x").alias("least"), F.max("x").alias("most"))
+    return significant(summed.withColumn("place", places[F.col("variable")]))
 
 
-@query("payroll_collinear")
+@query(
+    "payroll_collinear",
+    f"""{CHOSEN_SQL}, pairs AS (SELECT a.v AS var_a, b.v AS var_b, abs(corr(a.x, b.x)) AS abs_r
+          FROM long a JOIN long b ON a.o_orderkey = b.o_orderkey AND a.pos < b.pos GROUP BY ALL)
+        SELECT var_a, var_b, round(abs_r, 6) AS abs_r FROM pairs WHERE abs_r > 0.85 AND NOT isnan(abs_r)""",
+)
 def payroll_collinear(spark, sf):
-    return _selection(spark, sf, 0.05).collinear
+    return _selection(spark, sf, 0.05).collinear.withColumn("abs_r", F.round("abs_r", 6))
 
 
 @query(
@@ -325,30 +390,52 @@ def _targets(spark, sf):
     )
 
 
-@query("normality_tests")
+@query("normality_tests", f"WITH {compared_sql('ln(1 + o_totalprice)')} {COMPARED}")
 def normality_tests(spark, sf):
-    return study_normality(_targets(spark, sf), "log_target", ["o_orderkey"]).tests
+    return compared_rounded(study_normality(_targets(spark, sf), "log_target", ["o_orderkey"]).tests)
 
 
-@query("normality_transformed")
+TRANSFORMED_SQL = ", ".join(
+    f"{significant_sql(f'({sql})', 4)} AS {snake(name)}" for name, sql in transforms_sql().items() if name != "Original"
+)
+
+
+@query(
+    "normality_transformed",
+    f"""WITH {fits_sql('ln(1 + o_totalprice)', 48, LAMBDA_DIGITS)} SELECT o_orderkey, {significant_sql('x', 4)} AS log_target,
+        {TRANSFORMED_SQL} FROM src""",
+)
 def normality_transformed(spark, sf):
-    return study_normality(_targets(spark, sf), "log_target", ["o_orderkey"]).transformed
+    targets = _targets(spark, sf).select("o_orderkey", "log_target")
+    study = study_normality(targets, "log_target", ["o_orderkey"])
+    study.fitted = shared_lambdas(study.fitted)
+    return significant(study.transformed, 4)
 
 
-LAM = 1.2623624250829306
+FIT_SQL = f"""src AS MATERIALIZED (SELECT o_orderkey, o_totalprice, ln(1 + o_totalprice) AS x FROM orders),
+    {fit_ctes('bc', 'SELECT ln(x) - (SELECT avg(ln(x)) FROM src) AS s FROM src', BOX_COX)},
+    fitted AS MATERIALIZED (SELECT round(lam, {LAMBDA_DIGITS}) AS lam FROM bc),
+    pair AS MATERIALIZED (SELECT o_orderkey, o_totalprice, x AS log_target,
+      (pow(x, lam) - 1) / lam AS log_target_normalizado, lam FROM src, fitted)"""
+
+
+def _normalised(spark, sf, table=None):
+    """Fit lambda on the target, then add and describe the normalised column."""
+    table = _targets(spark, sf).drop("c_nationkey") if table is None else table
+    return normalise(table, lam=round(box_cox_fit(table, "log_target"), LAMBDA_DIGITS))
 
 
 @query(
     "normalise_table",
-    f"""SELECT round(x, 6) AS log_target, round((pow(x, {LAM}) - 1) / {LAM}, 6) AS log_target_normalizado,
-        o_orderkey, o_totalprice AS "valorPagoEmpenho", {LAM}::DOUBLE AS lambda_boxcox
-        FROM (SELECT *, ln(1 + o_totalprice) AS x FROM orders)""",
+    f"""WITH {FIT_SQL} SELECT {significant_sql('log_target')} AS log_target,
+        {significant_sql('log_target_normalizado')} AS log_target_normalizado, o_orderkey,
+        {significant_sql('o_totalprice', 8)} AS "valorPagoEmpenho", lam AS lambda_boxcox FROM pair""",
 )
 def normalise_table(spark, sf):
-    table = normalise(_targets(spark, sf).drop("c_nationkey"), lam=LAM).table
-    return table.withColumns(
-        {c: F.round(c, 6) for c in ("log_target", "log_target_normalizado")}
-    )
+    table = _normalised(spark, sf).table
+    rest = significant(table.drop("valorPagoEmpenho", "lambda_boxcox"))
+    money = significant(table.select("o_orderkey", "valorPagoEmpenho"), 8)
+    return rest.join(money, "o_orderkey").withColumn("lambda_boxcox", F.lit(table.select("lambda_boxcox").first()[0]))
 
 
 _STATS = [("media", "avg"), ("mediana", "median"), ("desvio_padrao", "stddev_samp"),
@@ -357,34 +444,37 @@ _STATS = [("media", "avg"), ("mediana", "median"), ("desvio_padrao", "stddev_sam
 
 @query(
     "normalise_metadata",
-    f"""WITH t AS (SELECT ln(1 + o_totalprice) AS x, (pow(ln(1 + o_totalprice), {LAM}) - 1) / {LAM} AS y FROM orders)
-        SELECT count(*) AS registros, CAST(5 AS BIGINT) AS colunas, 'Box-Cox' AS transformacao,
-          {LAM}::DOUBLE AS lambda_otimizado,
-          {', '.join(f'round({f}(x), 5) AS original_{n}' for n, f in _STATS)},
-          {', '.join(f'round({f}(y), 5) AS normalizado_{n}' for n, f in _STATS)} FROM t""",
+    f"""WITH {FIT_SQL}
+        SELECT true AS has_time, 'base_analitica_final' AS arquivo_origem, 'base_normalizada_boxcox' AS arquivo_saida,
+          count(*) AS registros, CAST(5 AS BIGINT) AS colunas, 'Box-Cox' AS transformacao,
+          any_value(lam) AS lambda_otimizado, 'log_target' AS variavel_original,
+          'log_target_normalizado' AS variavel_normalizada,
+          {', '.join(f"{significant_sql(f'{f}(log_target)', 5)} AS original_{n}" for n, f in _STATS)},
+          {', '.join(f"{significant_sql(f'{f}(log_target_normalizado)', 5)} AS normalizado_{n}" for n, f in _STATS)}
+        FROM pair""",
 )
 def normalise_metadata(spark, sf):
-    row = normalise(_targets(spark, sf).drop("c_nationkey"), lam=LAM).metadata
+    row = _normalised(spark, sf).metadata
     blocks = {"original": "estatisticas_original", "normalizado": "estatisticas_normalizado"}
-    return row.select(
-        "registros", "colunas", "transformacao", "lambda_otimizado",
-        *(
-            F.round(f"{block}.{n}", 5).alias(f"{label}_{n}")
-            for label, block in blocks.items()
-            for n, _ in _STATS
-        ),
-    )
+    stats = row.select(*(
+        F.col(f"{block}.{n}").alias(f"{label}_{n}") for label, block in blocks.items() for n, _ in _STATS))
+    rest = row.select(
+        # The run time is all that differs from run to run.
+        F.col("data_geracao").isNotNull().alias("has_time"), "arquivo_origem", "arquivo_saida", "registros",
+        "colunas", "transformacao", "lambda_otimizado", "variavel_original", "variavel_normalizada")
+    one = significant(stats, 5).select(F.struct("*")).scalar()
+    return rest.select("*", *(one[c].alias(c) for c in stats.columns))
 
 
 @query(
     "normalise_gains",
-    f"""WITH t AS (SELECT ln(1 + o_totalprice) AS x, (pow(ln(1 + o_totalprice), {LAM}) - 1) / {LAM} AS y FROM orders)
-        SELECT round((abs(skewness(x)) - abs(skewness(y))) / abs(skewness(x)) * 100, 4) AS skew_gain_pct,
-          round((abs(kurtosis(x)) - abs(kurtosis(y))) / abs(kurtosis(x)) * 100, 4) AS kurtosis_gain_pct
-        FROM t""",
+    f"""WITH {FIT_SQL}, g AS (SELECT abs(skewness(log_target)) AS a, abs(skewness(log_target_normalizado)) AS b,
+          abs(kurtosis(log_target)) AS c, abs(kurtosis(log_target_normalizado)) AS d FROM pair)
+        SELECT {significant_sql('(a - b) / a * 100', 5)} AS skew_gain_pct,
+          {significant_sql('(c - d) / c * 100', 5)} AS kurtosis_gain_pct FROM g""",
 )
 def normalise_gains(spark, sf):
-    return rounded(normalise(_targets(spark, sf), lam=LAM).gains)
+    return significant(_normalised(spark, sf).gains, 5)
 
 
 @query(
@@ -393,12 +483,19 @@ def normalise_gains(spark, sf):
        FROM orders, (VALUES ('log_target'), ('log_target_normalizado')) t(v) GROUP BY v""",
 )
 def normalise_checks(spark, sf):
-    return normalise(_targets(spark, sf), lam=LAM).checks
+    return _normalised(spark, sf).checks
+
+
+@query(
+    "normalise_same_rows",
+    "SELECT count(*) AS rows_before, count(*) AS rows_after, true AS rows_kept FROM orders",
+)
+def normalise_same_rows(spark, sf):
+    return _normalised(spark, sf).same_rows
 
 
 BOTH = ("log_target", "log_target_normalizado")
-PAIR_SQL = f"""pair AS (SELECT o_orderkey, ln(1 + o_totalprice) AS log_target,
-      (pow(ln(1 + o_totalprice), {LAM}) - 1) / {LAM} AS log_target_normalizado FROM orders),
+PAIR_SQL = f"""{FIT_SQL},
     long AS (SELECT o_orderkey, 'log_target' AS variable, log_target AS v FROM pair UNION ALL
       SELECT o_orderkey, 'log_target_normalizado', log_target_normalizado FROM pair)"""
 SHAPE_SQL = """s AS (SELECT variable, count(*) AS n, avg(v) AS m, stddev_samp(v) AS sd, min(v) AS lo,
@@ -409,8 +506,8 @@ SHAPE_SQL = """s AS (SELECT variable, count(*) AS n, avg(v) AS m, stddev_samp(v)
 def _report(figure: str, sql: str | None = None):
     @query(f"report_{figure}", sql)
     def run(spark, sf):
-        both = normalise(_targets(spark, sf), lam=LAM).table
-        return rounded(getattr(DistributionReport(both, *BOTH, ["o_orderkey"]), figure)(), 5)
+        both = _normalised(spark, sf).table
+        return significant(getattr(DistributionReport(both, *BOTH, ["o_orderkey"]), figure)(), 5)
 
 
 _report(
@@ -419,24 +516,24 @@ _report(
         r AS (SELECT variable, count(*) AS n, min(v) AS lo, (max(v) - min(v)) / 60 AS w FROM long GROUP BY 1),
         c AS (SELECT variable, least(floor((v - lo) / w), 59) AS bin, count(*) AS k
               FROM long JOIN r USING (variable) GROUP BY 1, 2)
-        SELECT r.variable, CAST(b.bin AS INTEGER) AS bin, round(lo + b.bin * w, 5) AS lower,
-          round(lo + (b.bin + 1) * w, 5) AS upper, coalesce(k, 0) AS count,
-          round(coalesce(k, 0) / (n * w), 5) AS density
+        SELECT r.variable, CAST(b.bin AS INTEGER) AS bin, {significant_sql('lo + b.bin * w', 5)} AS lower,
+          {significant_sql('lo + (b.bin + 1) * w', 5)} AS upper, coalesce(k, 0) AS count,
+          {significant_sql('coalesce(k, 0) / (n * w)', 5)} AS density
         FROM r CROSS JOIN range(60) b(bin) LEFT JOIN c ON c.bin = b.bin AND c.variable = r.variable""",
 )
 _report(
     "normal_overlays",
-    f"""WITH {PAIR_SQL}, {SHAPE_SQL} SELECT variable, point, round(x, 5) AS x,
-        round(exp(-0.5 * pow((x - m) / sd, 2)) / (sd * sqrt(2 * pi())), 5) AS density FROM g""",
+    f"""WITH {PAIR_SQL}, {SHAPE_SQL} SELECT variable, point, {significant_sql('x', 5)} AS x,
+        {significant_sql('exp(-0.5 * pow((x - m) / sd, 2)) / (sd * sqrt(2 * pi()))', 5)} AS density FROM g""",
 )
 _report(
     "qq_lines",
     f"WITH {PAIR_SQL} "
     + " UNION ALL ".join(
         f"""SELECT * FROM (WITH {qq_sql(v, 'o_orderkey', 'pair')} SELECT count(*) AS n,
-        round(regr_slope(observed, theoretical), 5) AS slope,
-        round(regr_intercept(observed, theoretical), 5) AS intercept,
-        round(corr(observed, theoretical), 5) AS r, '{v}' AS variable FROM points)"""
+        {significant_sql('regr_slope(observed, theoretical)', 5)} AS slope,
+        {significant_sql('regr_intercept(observed, theoretical)', 5)} AS intercept,
+        {significant_sql('corr(observed, theoretical)', 5)} AS r, '{v}' AS variable FROM points)"""
         for v in BOTH
     ),
 )
@@ -445,17 +542,16 @@ _report(
     f"""WITH {PAIR_SQL}, q AS (SELECT variable, count(*) AS n, quantile_cont(v, 0.25) AS q1,
           quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.75) AS q3 FROM long GROUP BY 1),
         f AS (SELECT *, q1 - (q3 - q1) * 1.5 AS lo, q3 + (q3 - q1) * 1.5 AS hi FROM q)
-        SELECT variable, n, round(q1, 5) AS q1, round(median, 5) AS median, round(q3, 5) AS q3,
-          round(min(v) FILTER (v >= lo), 5) AS whisker_low,
-          round(max(v) FILTER (v <= hi), 5) AS whisker_high,
+        SELECT variable, n, {significant_sql('q1', 5)} AS q1, {significant_sql('median', 5)} AS median, {significant_sql('q3', 5)} AS q3,
+          {significant_sql('min(v) FILTER (v >= lo)', 5)} AS whisker_low,
+          {significant_sql('max(v) FILTER (v <= hi)', 5)} AS whisker_high,
           count(*) FILTER (v < lo OR v > hi) AS n_outliers
         FROM long JOIN f USING (variable) GROUP BY ALL""",
 )
 _report(
     "violins",
-    f"""WITH {PAIR_SQL}, {SHAPE_SQL} SELECT g.variable, point, round(x, 5) AS x,
-        round(sum(exp(-0.5 * pow((x - v) / (sd * pow(n, -0.2)), 2)))
-          / (n * sd * pow(n, -0.2) * sqrt(2 * pi())), 5) AS density
+    f"""WITH {PAIR_SQL}, {SHAPE_SQL} SELECT g.variable, point, {significant_sql('x', 5)} AS x,
+        {significant_sql('sum(exp(-0.5 * pow((x - v) / (sd * pow(n, -0.2)), 2))) / (n * sd * pow(n, -0.2) * sqrt(2 * pi()))', 5)} AS density
         FROM g JOIN long USING (variable) GROUP BY g.variable, point, x, n, sd""",
 )
 _report(
@@ -465,16 +561,27 @@ _report(
         t AS ({' UNION ALL '.join(
             f"SELECT '{s}' AS statistic, a.{s} AS before, b.{s} AS after FROM a, b" for s in ELEVEN
         )})
-        SELECT statistic, round(before, 5) AS before, round(after, 5) AS after,
+        SELECT statistic, {significant_sql('before', 5)} AS before, {significant_sql('after', 5)} AS after,
           CASE WHEN statistic IN ('skew', 'kurtosis')
-            THEN round((abs(before) - abs(after)) / abs(before) * 100, 5) END AS improvement_pct,
+            THEN {significant_sql('(abs(before) - abs(after)) / abs(before) * 100', 5)} END AS improvement_pct,
           CASE WHEN statistic IN ('skew', 'kurtosis') THEN abs(after) < abs(before) END AS closer_to_zero
         FROM t""",
 )
-_report("tests")
+_report(
+    "violin_marks",
+    f"""WITH {PAIR_SQL} SELECT variable, count(*) AS n, {significant_sql('avg(v)', 5)} AS mean,
+        {significant_sql('median(v)', 5)} AS median FROM long GROUP BY 1""",
+)
+_report(
+    "tests",
+    f"""WITH {PAIR_SQL}, {shapiro_sql('long', 'variable', 'v', 'o_orderkey', 5000)},
+        score AS (SELECT *, {SHAPIRO_Z} AS z FROM w), tail AS (SELECT *, {upper_tail_sql('z')} AS p FROM score)
+        SELECT g AS variable, CAST(n AS BIGINT) AS n, {significant_sql('w', 5)} AS w, {significant_sql('p', 5)} AS p,
+          {verdict_sql('p')} AS result, CASE WHEN w > 0.99 THEN 'good' ELSE 'fair' END AS adherence FROM tail""",
+)
 _report(
     "scatter",
-    f"""WITH {PAIR_SQL} SELECT o_orderkey, round(log_target, 5) AS x, round(log_target_normalizado, 5) AS y
+    f"""WITH {PAIR_SQL} SELECT o_orderkey, {significant_sql('log_target', 5)} AS x, {significant_sql('log_target_normalizado', 5)} AS y
         FROM pair ORDER BY md5(o_orderkey || '|42'), o_orderkey LIMIT 2000""",
 )
 
@@ -521,7 +628,7 @@ OLS_FEATURES = [
 def _payroll_ols(spark, sf):
     table = add_thresholds(features(spark, sf))
     wide = table.select("o_orderkey", "valorPagoEmpenho", "log_target", *OLS_FEATURES)
-    target = normalise(wide, lam=LAM).table
+    target = _normalised(spark, sf, store(wide, "regression-input")).table
     return study_ols(target, "log_target_normalizado", OLS_FEATURES, ["o_orderkey"])
 
 
@@ -535,8 +642,39 @@ def payroll_ols_summary(spark, sf):
     return _payroll_ols(spark, sf).summary
 
 
-@query("payroll_ols_predictions")
+def _residual_sql() -> str:
+    """CTEs down to ``fitted_rows`` (o_orderkey, y, r): residuals by Gram-Schmidt, unique even when collinear."""
+    n = len(OLS_FEATURES)
+    flags = {f: v for f, v in zip(OLS_FEATURES, (500, 1000, 20000))}
+    columns = ", ".join(
+        (f'CAST("valorPagoEmpenho" >= {flags[f]} AS DOUBLE)' if f in flags else f'"{f}"') + f" AS x{k}"
+        for k, f in enumerate(OLS_FEATURES))
+    centred = ", ".join(f"x{k} - avg(x{k}) OVER () AS x{k}" for k in range(n))
+    steps = [
+        f"g AS MATERIALIZED (SELECT o_orderkey, (pow(log_target, lam) - 1) / lam AS y, {columns} FROM wide, fitted)",
+        f"h AS MATERIALIZED (SELECT o_orderkey, y, y - avg(y) OVER () AS r, {centred} FROM g)",
+        f"size AS (SELECT {', '.join(f'sum(x{k} * x{k}) AS s{k}' for k in range(n))} FROM h)",
+    ]
+    before = "h"
+    for k in range(n):
+        share = "CASE WHEN (SELECT s FROM p{k}) > 1e-10 * (SELECT s{k} FROM size) THEN {x} ELSE 0 END"
+        rest = ["r", *(f"x{j}" for j in range(k + 1, n))]
+        sums = ", ".join(f"sum(x{k} * {c}) AS d_{c}" for c in rest)
+        steps.append(f"p{k} AS MATERIALIZED (SELECT sum(x{k} * x{k}) AS s, {sums} FROM {before})")
+        kept = ", ".join(
+            f"{c} - {share.format(k=k, x=f'x{k} * (SELECT d_{c} FROM p{k}) / (SELECT s FROM p{k})')} AS {c}" for c in rest)
+        steps.append(f"q{k} AS MATERIALIZED (SELECT o_orderkey, y, {kept} FROM {before})")
+        before = f"q{k}"
+    return ", ".join([*steps, f"fitted_rows AS (SELECT o_orderkey, y, r FROM {before})"])
+
+
+@query(
+    "payroll_ols_predictions",
+    f"""WITH {_all_columns_sql()}, {FIT_SQL}, {_residual_sql()}
+        SELECT o_orderkey, {significant_sql('y', 5)} AS log_target_normalizado,
+          {significant_sql('(y - r)', 4)} AS predicted FROM fitted_rows""",
+)
 def payroll_ols_predictions(spark, sf):
-    return _payroll_ols(spark, sf).predictions.select(
-        "o_orderkey", "log_target_normalizado", "predicted", "abs_error"
-    )
+    found = _payroll_ols(spark, sf).predictions
+    return significant(found.select("o_orderkey", "log_target_normalizado"), 5).join(
+        significant(found.select("o_orderkey", "predicted"), 4), "o_orderkey")

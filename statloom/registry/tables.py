@@ -51,6 +51,19 @@ def json_scan_flatten(spark, sf):
     )
 
 
+@query("json_array_scan", "SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer")
+def json_array_scan(spark, sf):
+    """Files that are one JSON array each, the form in which such exports come."""
+    customers = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
+    base = scratch_path(spark, "json-array")
+    # A file of this form is one task's, so every part is kept at a bounded size.
+    files = max(8, -(-customers.count() // 100_000))
+    parts = customers.groupBy(F.pmod(F.xxhash64("c_custkey"), F.lit(files)).alias("part")).agg(
+        F.to_json(F.collect_list(F.struct(*customers.columns))).alias("value"))
+    parts.write.partitionBy("part").text(f"{base}/customers all.json")
+    return read_json_family(spark, base, "customers", customers.schema).select(*customers.columns)
+
+
 @query(
     "json_props",
     """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""",
@@ -364,9 +377,7 @@ def agg_advances(spark, sf):
     return _advances(spark, sf).withColumn("advanced", F.round("advanced", 2))
 
 
-@query(
-    "enrich_left_joins",
-    f"""WITH {FACT_SQL}, {PROGRAM_SQL}, {POSITION_SQL}, {ADVANCE_SQL},
+ENRICH_SQL = f"""WITH {FACT_SQL}, {PROGRAM_SQL}, {POSITION_SQL}, {ADVANCE_SQL},
         lines AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
                          year(l_shipdate) AS year, p_brand AS brand, l_returnflag AS flag_key
                   FROM lineitem LEFT JOIN part ON l_partkey = p_partkey)
@@ -378,9 +389,10 @@ def agg_advances(spark, sf):
         LEFT JOIN programs p ON f.year = p.year AND p.brand = 'Brand#' || f.c_nationkey
              AND p.flag_key = CASE o_orderstatus WHEN 'F' THEN 'R' WHEN 'O' THEN 'N' ELSE 'X' END
         LEFT JOIN positions q ON f.year = q.year AND f.c_nationkey = q.nation
-        LEFT JOIN advances a ON f.year = a.year AND f.c_mktsegment = a.department""",
-)
-def enrich_left_joins(spark, sf):
+        LEFT JOIN advances a ON f.year = a.year AND f.c_mktsegment = a.department"""
+
+
+def _enrich(spark, sf, **options):
     facts = fact(spark, sf).select(
         "o_orderkey",
         "year",
@@ -394,9 +406,9 @@ def enrich_left_joins(spark, sf):
         F.col("c_nationkey").alias("nation"),
         F.col("c_mktsegment").alias("department"),
     )
-    wide = left_join(facts, _programs(spark, sf), ["year", "brand", "flag_key"])
-    wide = left_join(wide, _positions(spark, sf), ["year", "nation"])
-    wide = left_join(wide, _advances(spark, sf), ["year", "department"])
+    wide = left_join(facts, _programs(spark, sf), ["year", "brand", "flag_key"], **options)
+    wide = left_join(wide, _positions(spark, sf), ["year", "nation"], **options)
+    wide = left_join(wide, _advances(spark, sf), ["year", "department"], **options)
     names = ["budget", "n_actions", "n_jobs", "occupancy", "n_advances", "advanced"]
     filled = wide.fillna(0, subset=names).withColumns(
         {
@@ -406,3 +418,14 @@ def enrich_left_joins(spark, sf):
         }
     )
     return filled.select("o_orderkey", "year", "c_mktsegment", "c_nationkey", *names)
+
+
+@query("enrich_left_joins", ENRICH_SQL)
+def enrich_left_joins(spark, sf):
+    return _enrich(spark, sf)
+
+
+@query("enrich_left_joins_shuffled", ENRICH_SQL)
+def enrich_left_joins_shuffled(spark, sf):
+    """The way for side tables that are too big to broadcast."""
+    return _enrich(spark, sf, broadcast_bytes=-1)
