@@ -14,11 +14,17 @@ from pyspark.sql import types as T
 from statloom.functions.coerce import as_double, quoted
 
 
+# Spread below this share of the mean is rounding, as among means of equal values.
+STILL = 1e-13
+
+
 def guarded_corr(x: str, y: str) -> Column:
     """Aggregate: Pearson r over complete pairs, null where a column is constant."""
     both = F.col(x).isNotNull() & F.col(y).isNotNull()
     px, py = F.when(both, F.col(x)), F.when(both, F.col(y))
-    return F.try_divide(F.covar_pop(px, py), F.stddev_pop(px) * F.stddev_pop(py))
+    moves = [F.stddev_pop(p) > F.abs(F.avg(p)) * STILL for p in (px, py)]
+    return F.when(moves[0] & moves[1],
+                  F.try_divide(F.covar_pop(px, py), F.stddev_pop(px) * F.stddev_pop(py)))
 
 
 def corr_with_target(
@@ -123,7 +129,7 @@ def pair_moments(df: DataFrame, columns: Sequence[str], diagonal: bool = False)
     spread = lambda ss, m: F.sqrt(F.greatest(F.lit(0.0), ss / F.col("n") - m * m))
     # A constant column differs from its mean by rounding alone, which is no spread.
     still = lambda ss, m, c: F.when(
-        F.abs(ss / F.col("n") - m * m) <= F.lit(1e-28) * c * c, 0.0).otherwise(spread(ss, m))
+        F.abs(ss / F.col("n") - m * m) <= F.lit(STILL**2) * c * c, 0.0).otherwise(spread(ss, m))
     return sums.select(
         "i", "j", "n",
         (F.get(shift, F.col("i")) + mean_x).alias("mean_i"),
