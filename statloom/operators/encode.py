@@ -19,7 +19,7 @@ from statloom.operators.keyed import (
     text_bytes,
 )
 from statloom.operators.ordering import ROW_LIMIT, counted_quantiles, percentile_columns
-from statloom.session import store
+from statloom.session import dealt, store
 
 STATISTICS = ("mean", "median", "std", "max", "count")
 
@@ -51,10 +51,9 @@ def group_statistics(
     # Plain names inside, so that a key may be called a.b.
     inner = {n: f"_k{i}" for i, n in enumerate(names)}
     # Keys and target only, written once: every later pass reads just these.
-    narrow = store(
-        df.select(*(F.col(quoted(n)).alias(inner[n]) for n in names), as_double(df, target).alias("_target")),
-        "keys",
-    )
+    # They are dealt evenly, for each row is about to meet all its groups.
+    keys = df.select(*(F.col(quoted(n)).alias(inner[n]) for n in names), as_double(df, target).alias("_target"))
+    narrow = store(dealt(keys), "keys")
     columns = [inner[n] for n in names]
     sets = {prefix: [inner[c] for c in sorted(cols)] for prefix, cols in key_sets.items()}
     # grouping_id sets a bit for each column that is not part of the set.

@@ -26,7 +26,7 @@ from statloom.operators.encode import stat_encode
 from statloom.operators.keyed import left_join
 from statloom.operators.ordering import ROW_LIMIT, percent_rank_average
 from statloom.operators.windows import add_lags
-from statloom.session import store
+from statloom.session import dealt, store
 from statloom.sources.readers import read_json_family
 
 # --- fixed values: names in the source data --------------------------------------
@@ -227,7 +227,7 @@ def build_features(
     department gives the target away, so it is only added on request.
     """
     facts = row_features(clean_commitments(commitments))
-    base = table = store(enrich(facts, programs, positions, advances), "payroll")
+    base = table = store(dealt(enrich(facts, programs, positions, advances)), "payroll")
     if with_rank:
         groups = ["anoExercicio", "descricaoOrgao"]
         table = percent_rank_average(base, TARGET, groups, "rank_pago_orgao_ano", row_limit)

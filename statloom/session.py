@@ -88,3 +88,11 @@ def store(df: DataFrame, label: str = "table", partition_by: Sequence[str] = ())
     path = scratch_path(spark, label)
     (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """Rows dealt evenly over the shuffle partitions, before a table that much work follows is stored.
+
+    Inputs such as JSON arrays or files of one row group come as few, uneven tasks.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
