@@ -21,12 +21,16 @@ LIST_ROWS = 128
 LIST_SAMPLE = 4
 # Lists a vector is put in, and how much farther than the nearest centroid they may be.
 REPLICAS, BUILD_RATIO = 8, 1.2
-# Lists a query looks into: by distance ratio, within these numbers.
+# Lists a query looks into at least: by distance ratio, within this number.
 PROBES, PROBE_RATIO = 80, 1.5
+# It looks into as many more as it takes for this share of the true neighbours of a sample of
+# so many queries.
+RECALL, CALIBRATION = 0.95, 512
 # Neighbours in the graph, and candidates a search for a vector's own lists keeps.
 DEGREE, BEAM = 24, 16
-# Vectors of a list that one task compares.
+# Vectors of a list that one task compares; distances or scores held at a time, about.
 CHUNK_ROWS = 4_096
+CELLS = 4_000_000
 
 
 class Index(NamedTuple):
@@ -170,20 +174,96 @@ def _post(index: Index):
     return run
 
 
-def _probe(index: Index, top: int):
-    """Each query with the lists it looks into: near enough by ratio, and never too few vectors."""
-    enough = REPLICAS * (top + 1)
+def all_distances(index: Index, vectors: np.ndarray) -> np.ndarray:
+    """Squared distance of each vector to every centroid."""
+    norms, own = (index.centroids**2).sum(axis=1), (vectors**2).sum(axis=1)[:, None]
+    return np.maximum(0, norms - 2 * vectors @ index.centroids.T + own)
+
+
+def _lift_queries(vectors: np.ndarray) -> np.ndarray:
+    return np.hstack([vectors, np.zeros((len(vectors), 1))])
+
+
+def _exact(vectors: np.ndarray, own: np.ndarray, top: int):
+    """For each sample query (a place in ``vectors``, hashes in ``own``) the best of a task's rows."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        places = np.arange(len(vectors))[:, None]
+        score = np.full((len(vectors), top), -np.inf)
+        keys = np.zeros((len(vectors), top, 2), np.int64)
         for batch in batches:
             for at in range(0, len(batch), CHUNK_ROWS):
                 part = batch.iloc[at:at + CHUNK_ROWS]
-                vectors = _stack(part["vec"])
-                lifted = np.hstack([vectors, np.zeros((len(vectors), 1))])
-                ids, dist = search_graph(index, lifted, PROBES)
+                hashes = part[["h0", "h1"]].to_numpy(np.int64)
+                new = vectors @ _stack(part["vec"]).T
+                new[(own[:, None] == hashes).all(axis=2)] = -np.inf  # itself
+                few = min(top, new.shape[1])
+                best = np.argpartition(-new, few - 1, axis=1)[:, :few]
+                both = np.hstack([score, new[places, best]])
+                hashes = np.hstack([keys, hashes[best]])
+                best = np.argsort(-both, axis=1, kind="stable")[:, :top]
+                score, keys = both[places, best], hashes[places, best]
+        rows, columns = np.nonzero(score > -np.inf)
+        yield pd.DataFrame({"place": rows.astype(np.int32), "h0": keys[rows, columns, 0],
+                            "h1": keys[rows, columns, 1], "score": score[rows, columns]})
+
+    return run
+
+
+def calibrate(index: Index, distinct: DataFrame, posted: DataFrame, asked: DataFrame, top: int) -> int:
+    """How many of the nearest lists hold RECALL of the true neighbours of a sample of the queries.
+
+    The sample are the CALIBRATION distinct queries of the smallest hash; their neighbours
+    come from one pass that compares them with every vector.
+    """
+    rows = asked.orderBy("h1", "h0").select("h0", "h1", "vec").limit(CALIBRATION).collect()
+    if not rows:
+        return 0
+    vectors = np.array([r["vec"] for r in rows], np.float64)
+    own = np.array([(r["h0"], r["h1"]) for r in rows], np.int64)
+    best = Window.partitionBy("place").orderBy(F.desc("score"), "h0", "h1")
+    true = distinct.select("h0", "h1", "vec").mapInPandas(
+        _exact(vectors, own, top), "place int, h0 long, h1 long, score double")
+    true = true.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
+    true = store(true.select("place", "h0", "h1"), "true-neighbours")
+    # At most CALIBRATION * top * REPLICAS rows.
+    held: dict[int, dict[tuple[int, int], list[int]]] = {}
+    for r in posted.select("h0", "h1", "list").join(F.broadcast(true), ["h0", "h1"]).collect():
+        held.setdefault(r["place"], {}).setdefault((r["h0"], r["h1"]), []).append(r["list"])
+    needed = []
+    for place, lists in held.items():
+        d = all_distances(index, _lift_queries(vectors[place:place + 1]))[0]
+        rank = np.empty(len(d), np.int64)
+        rank[np.argsort(d, kind="stable")] = np.arange(1, len(d) + 1)
+        needed += [int(rank[of].min()) for of in lists.values()]
+    return sorted(needed)[int(np.ceil(RECALL * len(needed))) - 1] if needed else 0
+
+
+def _probe(index: Index, top: int, probes: int):
+    """Each query with the lists it looks into: the ``probes`` nearest, others near enough by
+    ratio, and never too few vectors."""
+    enough = REPLICAS * (top + 1)
+    keep = max(PROBES, probes)
+    step = max(1, min(CHUNK_ROWS, CELLS // len(index.centroids), 32 * CHUNK_ROWS // keep))
+
+    def nearest_lists(lifted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if keep == PROBES:
+            return search_graph(index, lifted, keep)
+        # A walk opens one list at a time; for more lists all distances are cheaper.
+        d = all_distances(index, lifted)
+        ids = np.argsort(d, axis=1, kind="stable")[:, :keep]
+        return ids, np.take_along_axis(d, ids, 1)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), step):
+                part = batch.iloc[at:at + step]
+                ids, dist = nearest_lists(_lift_queries(_stack(part["vec"])))
                 held = np.where(ids >= 0, index.sizes[ids], 0)
                 before = np.cumsum(held, axis=1) - held
-                use = (ids >= 0) & ((dist <= PROBE_RATIO**2 * dist[:, :1]) | (before < enough))
+                place = np.arange(ids.shape[1])
+                near = (dist <= PROBE_RATIO**2 * dist[:, :1]) & (place < PROBES)
+                use = (ids >= 0) & (near | (place < probes) | (before < enough))
                 rows, columns = np.nonzero(use)
                 yield part.iloc[rows].assign(list=ids[rows, columns])
 
@@ -198,21 +278,24 @@ def _score(top: int):
             return pd.DataFrame({c: pd.Series([], dtype=object) for c in ("q0", "q1", "h0", "h1", "score", "ids")})
         # Identical rows in one order, whatever order the shuffle brought.
         posted = posted.sort_values(["h0", "h1"], kind="stable")
-        scores = _stack(queries["vec"]) @ _stack(posted["vec"]).T
+        vectors, asked = _stack(posted["vec"]).T, _stack(queries["vec"])
         low = np.array([ids[0] for ids in posted["ids"]])
-        rows, columns = [], []
-        for i, row in enumerate(scores):
-            place = np.arange(len(row))
-            if len(row) > top:
-                edge = np.partition(row, len(row) - top)[len(row) - top]
-                place = np.flatnonzero(row >= edge)
-                if len(place) > top:
-                    place = place[np.lexsort((low[place], -row[place]))[:top]]
-            rows += [i] * len(place)
-            columns += place.tolist()
+        rows, columns, found = [], [], []
+        step = max(1, CELLS // len(posted))
+        for at in range(0, len(asked), step):
+            for i, row in enumerate(asked[at:at + step] @ vectors, at):
+                place = np.arange(len(row))
+                if len(row) > top:
+                    edge = np.partition(row, len(row) - top)[len(row) - top]
+                    place = np.flatnonzero(row >= edge)
+                    if len(place) > top:
+                        place = place[np.lexsort((low[place], -row[place]))[:top]]
+                rows += [i] * len(place)
+                columns += place.tolist()
+                found += row[place].tolist()
         q, p = queries.iloc[rows], posted.iloc[columns]
         return pd.DataFrame({"q0": q["h0"].to_numpy(), "q1": q["h1"].to_numpy(), "h0": p["h0"].to_numpy(),
-                             "h1": p["h1"].to_numpy(), "score": scores[rows, columns],
+                             "h1": p["h1"].to_numpy(), "score": found,
                              "ids": p["ids"].tolist()})
 
     return run
@@ -224,9 +307,10 @@ def nearest(table: DataFrame, is_query: Column, top: int = TOP, id_col: str = "v
 
     Equal vectors are indexed once, with their top + 1 smallest ids: no more can be among
     the nearest. Every distinct vector goes to its nearest list and to lists about as near;
-    a query looks into the lists that pass the distance ratio. Scores are inner products of
-    the original vectors in double precision; ties go to the smaller id. Returns query_id,
-    rank (from 1), vec_id and score.
+    a query looks into the lists that pass the distance ratio, and into as many of the nearest
+    as a sample of the queries needs for RECALL of its true neighbours. Scores are inner
+    products of the original vectors in double precision; ties go to the smaller id. Returns
+    query_id, rank (from 1), vec_id and score.
 
     Rows with a null id, and null, empty or zero vectors or ones with null or non-finite
     components, take no part, nor do vectors of another length than most (the longer of two
@@ -263,8 +347,9 @@ def nearest(table: DataFrame, is_query: Column, top: int = TOP, id_col: str = "v
         index.sizes[r["list"]] = r["count"]
     asked = rows.filter("asks").groupBy(*keys).agg(F.first("vec").alias("vec"), F.count("*").alias("n"))
     asked = store(asked, "distinct-queries")
+    probes = calibrate(index, distinct, posted, asked, top)
     probes = asked.select(*keys, "vec").mapInPandas(
-        _probe(index, top), f"h0 long, h1 long, vec array<{kept}>, list int")
+        _probe(index, top, probes), f"h0 long, h1 long, vec array<{kept}>, list int")
 
     # A list is cut into parts of CHUNK_ROWS; a query goes to all parts.
     parts = F.element_at(F.lit(np.maximum(1, -(-index.sizes // CHUNK_ROWS)).tolist()), F.col("list") + 1)

@@ -183,6 +183,18 @@ def test_recall_of_lists(spark, monkeypatch):
         assert all(abs(r.score - x[q] @ x[r.vec_id]) < 1e-9 for r in found)
 
 
+def test_lists_grow_until_recall(spark, monkeypatch):
+    """Where the least number of lists is too small, a sample of the queries raises it."""
+    x = np.random.default_rng(6).normal(size=(4000, 24))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(ann, "LIST_ROWS", 20)
+    monkeypatch.setattr(ann, "PROBES", 4)
+    monkeypatch.setattr(ann, "REPLICAS", 2)
+    got = answers(ann.nearest(table, ann.F.col("vec_id") % 20 == 0))
+    want = brute(list(range(4000)), x, list(range(0, 4000, 20)), 20)
+    assert np.mean([len({r.vec_id for r in got[q]} & set(want[q])) / 20 for q in want]) >= 0.94
+
+
 def test_pipeline_on_odd_rows(spark, odd, none):
     docs, counts = odd, []
     for name, stage in corpus_pipeline.STAGES:
