@@ -24,8 +24,9 @@ REFERENCE = 24_000
 ALL_REFERENCES = 16 * REFERENCE
 # Long texts are parsed in pieces of this many characters; a phrase ends with its piece.
 PIECE = 1_024
-# Symbols: 0 is all that is not a letter, the last one all letters outside the sample.
-LETTERS = 62
+# An automaton with more cells (states by letters) than this is kept as a sorted list of its
+# transitions, which is slower.
+DENSE_CELLS = 8_000_000
 
 
 class Model(NamedTuple):
@@ -99,37 +100,62 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
     return step
 
 
-class Parser:
-    """Cross-parses many texts at once against all languages of a model."""
+class Automaton:
+    """Steps of many texts at once through the automaton of one language.
 
-    def __init__(self, model: Model) -> None:
-        counts = np.zeros(sys.maxunicode + 1, np.int64)
-        for text in model.texts:
-            np.add.at(counts, [ord(c) for c in text], 1)
-        counts[32] = 0
-        known = [c for c in np.argsort(-counts, kind="stable")[:LETTERS].tolist() if counts[c]]
-        self.symbol = np.full(sys.maxunicode + 1, LETTERS + 1, np.int32)
-        self.symbol[32] = 0
-        self.symbol[known] = np.arange(1, len(known) + 1)
-        width = LETTERS + 2
-        self.lengths = np.array([len(t) for t in model.texts])
-        tables, self.starts, offset = [], [], 0
-        for text in model.texts:
-            steps = suffix_automaton(self.symbol[[ord(c) for c in text]].tolist())
-            dead = len(steps)  # behind a symbol that the language lacks
+    Symbols are those of its text: 0 is all that is not a letter, the last one every letter
+    that the text lacks. Where no match goes on, a phrase ends and the symbol begins the
+    next one; the start state, left at once, has no phrase to end.
+    """
+
+    def __init__(self, symbols: np.ndarray, count: int) -> None:
+        own = np.unique(symbols[symbols > 0])
+        self.width = width = len(own) + 2
+        self.local = np.full(count, width - 1, np.int32)
+        self.local[0] = 0
+        self.local[own] = np.arange(1, width - 1)
+        steps = suffix_automaton(self.local[symbols].tolist())
+        dead = len(steps)  # behind a symbol that the language lacks
+        self.again = np.full(width, dead, np.int64)
+        self.again[list(steps[0])] = list(steps[0].values())
+        if (dead + 1) * width <= DENSE_CELLS:
             table = np.full((dead + 1, width), -1, np.int64)
             for state, out in enumerate(steps):
                 table[state, list(out)] = list(out.values())
-            # Where no match goes on, a phrase ends and the symbol begins the next one. The
-            # lowest bit counts ends; the start state, left at once, has no phrase to end.
-            again = np.where(table[0] < 0, dead, table[0])
             ended = table < 0
-            table = np.where(ended, again, table)
+            table = np.where(ended, self.again, table)
             ended[0] = False
-            tables.append(((offset + table) * width << 1 | ended).astype(np.int64).ravel())
-            self.starts.append(offset * width)
-            offset += dead + 1
-        self.table = np.concatenate(tables).astype(np.int32 if offset * width < 1 << 30 else np.int64)
+            # The lowest bit counts ends.
+            self.table = (table * width << 1 | ended).astype(np.int32).ravel()
+        else:
+            self.table = None
+            pairs = sorted((state * width + c, to) for state, out in enumerate(steps) for c, to in out.items())
+            self.keys, self.targets = np.array(pairs, np.int64).T.copy()
+
+    def step(self, state: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(states times width, ends of phrases) behind states times width and local symbols."""
+        if self.table is not None:
+            went = self.table[state + symbols]
+            return went >> 1, went & 1
+        wanted = state + symbols
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        found = self.keys[at] == wanted
+        return np.where(found, self.targets[at], self.again[symbols]) * self.width, ~found & (state > 0)
+
+
+class Parser:
+    """Cross-parses many texts at once against all languages of a model.
+
+    Every letter of the sample has a symbol; letters that no language has share one.
+    """
+
+    def __init__(self, model: Model) -> None:
+        letters = sorted({ord(c) for text in model.texts for c in text} - {32})
+        self.symbol = np.full(sys.maxunicode + 1, len(letters) + 1, np.int32)
+        self.symbol[32] = 0
+        self.symbol[letters] = np.arange(1, len(letters) + 1)
+        self.lengths = np.array([len(t) for t in model.texts])
+        self.automata = [Automaton(self.symbol[[ord(c) for c in t]], len(letters) + 2) for t in model.texts]
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """Number of phrases, one row per text and one column per language."""
@@ -138,7 +164,7 @@ class Parser:
             for at in range(0, len(points), PIECE):
                 pieces.append(points[at:at + PIECE])
                 owner.append(i)
-        found = np.zeros((len(texts), len(self.starts)), np.int64)
+        found = np.zeros((len(texts), len(self.automata)), np.int64)
         if not pieces:
             return found
         order = np.argsort([-len(p) for p in pieces], kind="stable")
@@ -148,14 +174,13 @@ class Parser:
             grid[:len(pieces[i]), column] = self.symbol[pieces[i]]
         # Texts are sorted by length, so those that still run are the first columns.
         running = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")
-        for lang, start in enumerate(self.starts):
-            state = np.full(len(order), start, self.table.dtype)
+        for lang, automaton in enumerate(self.automata):
+            state = np.zeros(len(order), np.int64 if automaton.table is None else np.int32)
             count = np.ones(len(order), np.int32)  # the phrase that the end cuts off
             for at in range(lengths[0]):
                 n = running[at]
-                went = self.table[state[:n] + grid[at, :n]]
-                count[:n] += went & 1
-                state[:n] = went >> 1
+                state[:n], ended = automaton.step(state[:n], automaton.local[grid[at, :n]])
+                count[:n] += ended
             np.add.at(found[:, lang], np.array(owner)[order], count)
         return found
 

@@ -113,6 +113,21 @@ def test_cross_parsing_is_greedy_longest_match():
     assert language.classify([words(8, 50, "abcd"), words(9, 50, "cdef")], model)[0] == ["aa", "bb"]
 
 
+@pytest.mark.parametrize("cells", [language.__dict__.get("DENSE_CELLS", 0), 0])
+def test_rare_scripts_are_told_apart(monkeypatch, cells):
+    """Many letters of a big script leave two small ones their own."""
+    monkeypatch.setattr(language, "DENSE_CELLS", cells, raising=False)
+    big = "".join(chr(0x4E00 + i % 90) + " " * (i % 7 == 0) for i in range(18_000))
+    greek, cyrillic = "αβγδεζηθικλμ", "абвгдежзиклм"
+    model = language.Model(("el", "ru", "zh"), (words(1, 60, greek), words(1, 60, cyrillic), big))
+    texts = [words(2, 40, greek), words(2, 40, cyrillic), big[500:900]]
+    assert language.classify(texts, model)[0] == ["el", "ru", "zh"]
+    points = [language.code_points(t) for t in texts]
+    plain = ["".join(map(chr, p.tolist())) for p in points]
+    assert language.Parser(model).phrases(points).tolist() == [
+        [plain_phrases(t, reference) for reference in model.texts] for t in plain]
+
+
 def test_language_of_odd_rows(odd, none):
     model = language.fit(odd)
     got = language.identify(odd, model)
