@@ -13,11 +13,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from statloom.llm.common import query, read
+from statloom.llm.common import query, read, text_hash
 
 UNKNOWN = "und"
-# The bounded labelled sample: of each language at most SAMPLE_DOCS rows, SAMPLE_CHARS of
-# each, cut to REFERENCE characters of clean text, and less each with over 16 languages.
+# The bounded labelled sample: of each language at most SAMPLE_DOCS distinct texts, SAMPLE_CHARS
+# on end of each from a place that its hash picks, cut to REFERENCE characters of clean text,
+# and less each with over 16 languages.
 SAMPLE_DOCS = 400
 SAMPLE_CHARS = 400
 REFERENCE = 24_000
@@ -54,10 +55,16 @@ def code_points(text: str) -> np.ndarray:
 
 def fit(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text",
         id_col: str = "doc_id") -> Model:
-    """Collect the bounded sample of each language: the rows with the smallest md5 of the id."""
+    """Collect the bounded sample of each language: the distinct texts with the smallest md5 of the id."""
     rows = labelled.filter(F.col(lang_col).isNotNull() & (F.length(F.coalesce(text_col, F.lit(""))) > 0))
-    rows = rows.select(F.col(lang_col).alias("lang"), F.substring(text_col, 1, SAMPLE_CHARS).alias("text"),
+    h0, h1 = text_hash(F.col(text_col))
+    # Equal texts have equal excerpts.
+    start = F.pmod(h0, F.greatest(F.lit(1), F.length(text_col) - SAMPLE_CHARS + 1)).cast("int") + 1
+    rows = rows.select(F.col(lang_col).alias("lang"), h0.alias("h0"), h1.alias("h1"),
+                       F.substring(F.col(text_col), start, F.lit(SAMPLE_CHARS)).alias("text"),
                        F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")).alias("o"))
+    rows = rows.groupBy("lang", "h0", "h1").agg(F.min(F.struct("o", "text")).alias("r"))
+    rows = rows.select("lang", "r.o", "r.text")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("o", "text"))
     sample = rows.withColumn("rank", rank).filter(F.col("rank") <= SAMPLE_DOCS)
     texts: dict[str, list[str]] = {}

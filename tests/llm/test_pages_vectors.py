@@ -128,6 +128,17 @@ def test_rare_scripts_are_told_apart(monkeypatch, cells):
         [plain_phrases(t, reference) for reference in model.texts] for t in plain]
 
 
+def test_shared_openings_and_copies_do_not_fill_the_sample(spark):
+    opening = "licence " * 60
+    rows = [(i, opening + words(i, 3_000, "abcd"), "aa") for i in range(60)]
+    rows += [(100 + i, "copy " * 100, "aa") for i in range(300)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(table)
+    text = model.texts[0]
+    assert len(text) > 20_000 and text.count("licence") * 8 < len(text) / 10
+    assert text.count("copy") * 5 <= language.SAMPLE_CHARS
+
+
 def test_language_of_odd_rows(odd, none):
     model = language.fit(odd)
     got = language.identify(odd, model)
