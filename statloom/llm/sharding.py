@@ -78,7 +78,7 @@ def shard_by_bytes(docs: DataFrame, n_shards: int = N_SHARDS, id_col: str = "doc
 
     The size of a row is the UTF-8 bytes of its text (null: none) plus 16. Rows are ordered
     by md5 of the text, then of the id, then a hash of the row's number, so equal texts are
-    neighbours, and a group of copies above a shard's share is cut between rows. Returns
+    neighbours, and a group of copies of any size is cut where a cut falls inside it. Returns
     id_col, size, text_crc32, shard, slot (gapless from 0 within the shard) and the columns
     in ``carry`` (all of ``docs`` by default; the names above win over equal names there).
 
