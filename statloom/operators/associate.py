@@ -16,6 +16,8 @@ from statloom.functions.coerce import as_double, quoted
 
 # Spread below this share of the mean is rounding, as among means of equal values.
 STILL = 1e-13
+# Correlations that agree to so many digits are ranked as equal.
+TIE_DIGITS = 10
 
 
 def guarded_corr(x: str, y: str) -> Column:
@@ -54,13 +56,17 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def rank_by_magnitude(corr: DataFrame) -> DataFrame:
-    """Strongest first whatever the sign, undefined last, ties by name."""
-    return corr.orderBy(F.abs("r").desc_nulls_last(), "variable")
+    """Strongest first whatever the sign, undefined last, ties by name.
+
+    Correlations that differ by rounding alone, as of two encodings that are functions of
+    each other, are ties.
+    """
+    return corr.orderBy(F.round(F.abs("r"), TIE_DIGITS).desc_nulls_last(), "variable")
 
 
 def rank_signed(corr: DataFrame) -> DataFrame:
-    """Largest r first, undefined last, ties by name."""
-    return corr.orderBy(F.col("r").desc_nulls_last(), "variable")
+    """Largest r first, undefined last, ties (up to rounding) by name."""
+    return corr.orderBy(F.round("r", TIE_DIGITS).desc_nulls_last(), "variable")
 
 
 def corr_all_numeric(df: DataFrame, target: str) -> DataFrame:
@@ -157,5 +163,5 @@ def collinear_pairs(
     """Pairs with |r| above the threshold, strongest first: (var_a, var_b, abs_r)."""
     strong = corr_pairs(df, columns).filter(F.abs("r") > threshold)
     return strong.select("var_a", "var_b", F.abs("r").alias("abs_r")).orderBy(
-        F.desc("abs_r"), "var_a", "var_b"
+        F.round("abs_r", TIE_DIGITS).desc(), "var_a", "var_b"
     )

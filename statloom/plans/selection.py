@@ -32,12 +32,14 @@ def select_features(
     value: str = "valorPagoEmpenho",
     threshold: float = 0.3,
     collinear_above: float = 0.85,
+    keep: Sequence[str] = (),
 ) -> Selection:
     """Rank the candidates, keep the strong ones, list pairs that repeat each other.
 
-    Only the names of the selected columns reach the driver.
+    Only the names of the selected columns reach the driver. ``keep`` names further columns
+    that the base table starts with, as a key of its rows.
     """
-    features = store(features.select(*dict.fromkeys([value, target, *candidates])), "features")
+    features = store(features.select(*dict.fromkeys([*keep, value, target, *candidates])), "features")
     corr = materialise(with_selection(corr_with_target(features, candidates, target), threshold))
     ranked = rank_by_magnitude(corr)
     chosen = [r["variable"] for r in ranked.filter("selected").select("variable").collect()]
@@ -49,7 +51,7 @@ def select_features(
     return Selection(
         report,
         collinear_pairs(features, chosen, collinear_above) if len(chosen) > 1 else _no_pairs(features),
-        features.select(value, target, *chosen),
+        features.select(*dict.fromkeys([*keep, value, target, *chosen])),
         chosen,
     )
 

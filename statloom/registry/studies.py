@@ -317,9 +317,9 @@ def _correlations_sql() -> str:
         FROM d"""
 
 
-def _selection(spark, sf, threshold=0.3):
+def _selection(spark, sf, threshold=0.3, keep=()):
     table = features(spark, sf)
-    return select_features(table, payroll.candidates(table), threshold=threshold)
+    return select_features(table, payroll.candidates(table), threshold=threshold, keep=keep)
 
 
 @query("payroll_correlations", _correlations_sql())
@@ -328,10 +328,10 @@ def payroll_correlations(spark, sf):
     return report.withColumn("correlacao", F.round("correlacao", 6))
 
 
-# The rows of the selected columns, told by position, count, sum and extremes.
+# The rows of the selected columns, one cell each.
 CHOSEN_SQL = f"""WITH {_all_columns_sql()}, c AS ({" UNION ALL ".join(
         f"""SELECT '{c}' AS v, corr("{c}", log_target) AS r FROM wide""" for c in [*PLAIN, *ENCODED])}),
-    chosen AS MATERIALIZED (SELECT v, row_number() OVER (ORDER BY abs(r) DESC, v) AS pos FROM c
+    chosen AS MATERIALIZED (SELECT v, row_number() OVER (ORDER BY round(abs(r), 10) DESC, v) AS pos FROM c
         WHERE NOT isnan(r) AND abs(r) > 0.05),
     narrow AS (SELECT o_orderkey, {", ".join(
         f'round(CAST("{c}" AS DOUBLE), {_digits(c)}) AS "{c}"' if c in PLAIN else f'CAST("{c}" AS DOUBLE) AS "{c}"'
@@ -342,20 +342,18 @@ CHOSEN_SQL = f"""WITH {_all_columns_sql()}, c AS ({" UNION ALL ".join(
 
 @query(
     "payroll_selected_base",
-    f"""{CHOSEN_SQL} SELECT v AS variable, CAST(pos AS INTEGER) AS place, count(x) AS n, {significant_sql('sum(x)')} AS total,
-        {significant_sql('min(x)')} AS least, {significant_sql('max(x)')} AS most FROM long GROUP BY v, pos""",
+    f"""{CHOSEN_SQL} SELECT o_orderkey, v AS variable, CAST(pos AS INTEGER) AS place, {significant_sql('x')} AS value
+        FROM long""",
 )
 def payroll_selected_base(spark, sf):
-    base = _selection(spark, sf, 0.05).base
-    names = base.columns[2:]
+    """Every cell of the selected base table, with a threshold that the given tables have many columns above."""
+    base = _selection(spark, sf, 0.05, keep=["o_orderkey"]).base
+    names = base.columns[3:]
     places = F.create_map(*(x for i, c in enumerate(names) for x in (F.lit(c), F.lit(i + 1))))
-    cells = {c: F.col(f"`{c}`").cast("double") for c in names}
-    long = base.select(*(F.round(x, _digits(c)).alias(c) if c in PLAIN else x.alias(c)
-                         for c, x in cells.items())).unpivot(
-        [], [f"`{c}`" for c in names], "variable", "x")
-    summed = long.groupBy("variable").agg(
-        F.count("x").alias("n"), F.sum("x").alias("total"), F.min("x").alias("least"), F.max("x").alias("most"))
-    return significant(summed.withColumn("place", places[F.col("variable")]))
+    cells = [(F.round(x, _digits(c)) if c in PLAIN else x).alias(c)
+             for c in names for x in [F.col(f"`{c}`").cast("double")]]
+    long = base.select("o_orderkey", *cells).unpivot(["o_orderkey"], [f"`{c}`" for c in names], "variable", "value")
+    return significant(long.dropna(subset=["value"]).withColumn("place", places[F.col("variable")]))
 
 
 @query(

@@ -3,7 +3,8 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
 from statloom.session import local_session  # noqa: E402
 
@@ -23,8 +24,3 @@ def frame(spark):
         return spark.createDataFrame(rows, schema)
 
     return build
-
-
-def column(df, name, order=None):
-    """The values of one column as a list."""
-    return [r[name] for r in (df.orderBy(order) if order else df).collect()]

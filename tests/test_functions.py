@@ -5,7 +5,7 @@ from statistics import NormalDist
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import column
+from helpers import column
 from statloom.functions.coerce import as_double, nan_to_null, to_number, to_timestamp
 from statloom.functions.columns import (
     all_non_negative,
