@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from statloom.session import store
+from statloom.session import scratch_path, store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,8 +26,8 @@ BROADCAST_ROWS = 500_000
 BUCKET_ROWS = 50_000
 
 __all__ = ["BROADCAST_ROWS", "BUCKET_ROWS", "ORACLES", "QUERIES", "SPACE", "SPACE_CHARS", "WORD",
-           "ascii_lower", "attach_groups", "keep_rows", "one_each", "query", "read", "running", "same", "store", "text_hash",
-           "without"]
+           "ascii_lower", "attach_groups", "drop_table", "keep_rows", "one_each", "query", "read", "running", "same",
+           "store", "text_hash", "without", "write_table"]
 
 
 def query(name: str, sql: str | None = None):
@@ -60,6 +60,20 @@ def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def write_table(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``store`` for a table of a loop: the stored table and its path, to be dropped when it is replaced."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Delete a table that ``write_table`` wrote, once no later result reads it."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 def text_hash(text: Column) -> list[Column]:
     """128 bits of a text as two longs; the second hash starts from another seed."""
     return [F.xxhash64(text), F.xxhash64(F.lit(1), text)]
