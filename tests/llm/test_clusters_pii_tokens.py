@@ -310,6 +310,18 @@ TEXTS = ["Hello world, naïve façade 你好 😀 x", "<|endoftext|> and </s> <s
          "tab\tand\nlines\r\n", "\x00\x01", "é ﬁ Ⅷ ½", None, "", " ", "a", "a" * 3_000, "the the the", "the the the"]
 
 
+@needs_files
+def test_the_rank_coder_gives_the_ids_of_the_file(coders):
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(os.path.join(alignment.FOLDER, alignment.BYTE_FILE))
+    own.encode_special_tokens = True
+    signs = [f"a{chr(c)}1{chr(c)} {chr(c)}b{chr(c)}{chr(c)}. {chr(c)}" for c in range(0x20, 0x3000)]
+    texts = [t for t in TEXTS if t] + signs + [words(3, 40_000), "x" * 120_000]
+    expected = [e.ids for e in own.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+    assert coders[0].encode(texts) == expected
+
+
 @needs_files
 @pytest.mark.parametrize("broadcast_bytes", [alignment.BROADCAST_BYTES, 0])
 def test_alignment_equals_the_plain_version(spark, coders, broadcast_bytes):
