@@ -93,8 +93,10 @@ def _located(rows: DataFrame, patterns: dict[str, str]) -> DataFrame:
     zero = F.lit(0).cast("long")
     whole = lambda k: _sums(F.transform(f"c_{k}", lambda c: F.aggregate(c, zero, lambda a, x: a + x)))
     rows = rows.select("*", *(there(k, whole(k)).alias(f"w_{k}") for k in names))
-    before = lambda k: F.flatten(_each(F.size(f"c_{k}"), lambda j: F.transform(
-        F.slice(_sums(F.get(f"c_{k}", j)), F.lit(1), F.size(F.get(f"c_{k}", j))), lambda x: x + F.get(f"w_{k}", j))))
+    # As arguments of zip_with the sums are made once, not once per element.
+    before = lambda k: F.flatten(F.zip_with(
+        f"c_{k}", F.slice(f"w_{k}", F.lit(1), F.size(f"c_{k}")),
+        lambda c, w: F.transform(F.slice(_sums(c), F.lit(1), F.size(c)), lambda x: x + w)))
     rows = rows.select("*", *(there(k, before(k)).alias(f"b_{k}") for k in names))
 
     def match(k: str, i: Column) -> Column:
