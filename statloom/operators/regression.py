@@ -60,6 +60,12 @@ def ols_fit(df: DataFrame, target: str, features: Sequence[str]) -> OlsFit:
     for r in rows:
         scatter[r["i"], r["j"]] = scatter[r["j"], r["i"]] = r["cov"] * n
         mean[r["i"]], mean[r["j"]] = r["mean_i"], r["mean_j"]
+    return fit_moments(target, features, n, mean, scatter)
+
+
+def fit_moments(target: str, features: Sequence[str], n: int, mean: np.ndarray, scatter: np.ndarray) -> OlsFit:
+    """The fit from n rows' means and squares about them, of the features and, last, the target."""
+    p = len(features)
     sxx, sxy, syy = scatter[:p, :p], scatter[:p, p], float(scatter[p, p])
     m, y_mean = mean[:p], float(mean[p])
 
