@@ -1,15 +1,18 @@
 """Maximum-likelihood lambdas of the power transforms.
 
-A search round is one aggregation that evaluates a whole grid of lambdas over a
-stored column; the driver sees one variance per lambda.
+A search round is one pass over a stored column: every task evaluates a whole grid of
+lambdas on its own rows, and hands on one row of sums per lambda. The driver sees one
+variance per lambda.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statloom.functions.coerce import as_double
@@ -71,34 +74,55 @@ def _search(losses: Callable[[Sequence[float]], list[float]]) -> float:
             low, high = points[best] - step, points[best] + step
 
 
-def _power(c: Column, lam: Column) -> Column:
-    """(v**lam - 1) / lam of a value given by its log ``c``."""
-    return F.when(lam == 0, c).otherwise(F.try_divide(F.expm1(c * lam), lam))
+def _power(s: np.ndarray, lam: np.ndarray) -> np.ndarray:
+    """(v**lam - 1) / lam of values given by their logs ``s``."""
+    return np.where(lam == 0, s, np.expm1(s * lam) / np.where(lam == 0, 1.0, lam))
 
 
-def _signed_power(s: Column, lam: Column) -> Column:
-    """The Yeo-Johnson transform of a value given by its signed log1p ``s``."""
-    return F.when(s >= 0, _power(s, lam)).otherwise(-_power(-s, 2.0 - lam))
+def _signed_power(s: np.ndarray, lam: np.ndarray) -> np.ndarray:
+    """The Yeo-Johnson transform of values given by their signed log1p ``s``."""
+    return np.where(s >= 0, _power(np.maximum(s, 0.0), lam), -_power(np.maximum(-s, 0.0), 2.0 - lam))
 
 
-def _grid_moments(logs: DataFrame, lambdas: Sequence[float], power) -> DataFrame:
+def _grid_sums(lambdas: Sequence[float], power, centre: float):
+    """Per task and lambda: rows, sums of transformed values about a common point and of their squares."""
+    lam = np.array(lambdas)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, slope, sums, squares = 0, 0.0, np.zeros(len(lam)), np.zeros(len(lam))
+        with np.errstate(over="ignore", invalid="ignore"):
+            point = power(np.array([[centre]]), lam[None, :])
+            for batch in batches:
+                s = batch.column("s").to_numpy(zero_copy_only=False)
+                y = power(s[:, None], lam[None, :]) - point
+                n, slope = n + len(s), slope + s.sum()
+                sums += y.sum(axis=0)
+                squares += np.einsum("ij,ij->j", y, y)
+        if n:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(lam), pa.array(np.full(len(lam), n)), pa.array(np.full(len(lam), slope)), pa.array(sums), pa.array(squares)],
+                names=["lambda", "n", "slope", "a", "q"])
+
+    return run
+
+
+def _grid_moments(logs: DataFrame, lambdas: Sequence[float], power, centre: float) -> DataFrame:
     """Count, variance and log sum per lambda: one row per task and lambda is shuffled."""
-    grid = F.array(*(F.lit(float(lam)) for lam in lambdas))
-    trials = logs.select("s", F.explode(grid).alias("lambda"))
-    y = power(F.col("s"), F.col("lambda"))
-    return trials.groupBy("lambda").agg(
-        F.count("s").alias("n"), F.var_pop(y).alias("variance"), F.sum("s").alias("slope")
-    )
+    grid = [float(x) for x in lambdas]
+    parts = logs.mapInArrow(_grid_sums(grid, power, centre), "lambda double, n long, slope double, a double, q double")
+    total = parts.groupBy("lambda").agg(*(F.sum(c).alias(c) for c in ("n", "slope", "a", "q")))
+    mean = F.col("a") / F.col("n")
+    return total.select("lambda", "n", (F.col("q") / F.col("n") - mean * mean).alias("variance"), "slope")
 
 
 def _fit(logs: DataFrame, power, slope: float) -> float:
-    """Minimise ln Var(y) / 2 - lambda * slope over a stored one-column table."""
+    """Minimise ln Var(y) / 2 - lambda * slope over a stored one-column table with the mean ``slope``."""
 
     def losses(lambdas: Sequence[float]) -> list[float]:
-        rows = _grid_moments(logs, lambdas, power).select("lambda", "variance").collect()
+        rows = _grid_moments(logs, lambdas, power, slope).select("lambda", "variance").collect()
         variance = {r["lambda"]: r["variance"] for r in rows}
         return [
-            0.5 * math.log(v) - lam * slope if v and math.isfinite(v) else math.inf
+            0.5 * math.log(v) - lam * slope if v and v > 0 and math.isfinite(v) else math.inf
             for lam, v in ((lam, variance.get(lam)) for lam in lambdas)
         ]
 
@@ -142,6 +166,7 @@ def likelihood_grid(
     v = as_double(df, value)
     log_value = F.signum(v) * F.log1p(F.abs(v)) if signed else F.log(v)
     logs = df.select(log_value.alias("s")).dropna()
-    moments = _grid_moments(logs, lambdas, _signed_power if signed else _power)
+    centre = logs.agg(F.avg("s")).first()[0] or 0.0
+    moments = _grid_moments(logs, lambdas, _signed_power if signed else _power, centre)
     likelihood = (F.col("lambda") - 1.0) * F.col("slope") - F.col("n") / 2.0 * F.log("variance")
     return moments.select("lambda", likelihood.alias("log_likelihood"))
