@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,8 +34,8 @@ def corr_with_target(
 ) -> DataFrame:
     """r of each column with the target: (groups, variable, n, r), one row per column.
 
-    Without groups a task multiplies its columns with the target and hands on one row of sums
-    per column. Within groups rows are unpivoted inside each task and reduced before the shuffle.
+    Without groups one pass gives every task's moments of each column with the target, which
+    are merged. Within groups rows are unpivoted inside each task and reduced before the shuffle.
     """
     if not group_cols:
         return _corr_with_target(df, [c for c in columns if c != target], target)
@@ -83,64 +83,90 @@ def with_selection(corr: DataFrame, threshold: float = 0.3) -> DataFrame:
     return corr.withColumn("selected", chosen)
 
 
+def _against_last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each column with the last one, over their complete rows: n, means, squares and products about them.
+
+    Sums are taken about the means of the task's first batch, so none of them cancels.
+    """
+    centre, sums = None, None
+    for batch in batches:
+        x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
+        there, endless = ~np.isnan(x), np.isinf(x)
+        value = np.where(there & ~endless, x, 0.0)
+        if centre is None:
+            centre = value.sum(axis=0) / np.maximum(1, (there & ~endless).sum(axis=0))
+            sums = np.zeros((7, x.shape[1] - 1))
+        value = np.where(there & ~endless, value - centre, 0.0)
+        mask, value, hit = there[:, :-1].astype(float), value[:, :-1], value[:, -1]
+        seen = there[:, -1].astype(float)
+        sums += [seen @ mask, seen @ value, hit @ mask, seen @ (value * value), (hit * hit) @ mask, hit @ value,
+                 seen @ endless[:, :-1] + endless[:, -1].astype(float) @ mask]
+    if centre is not None:
+        n, sx, sy, sxx, syy, sxy, bad = sums
+        i = np.flatnonzero(n)
+        n, sx, sy, sxx, syy, sxy, bad = (a[i] for a in (n, sx, sy, sxx, syy, sxy, bad))
+        # An infinite value makes the moments of its pair NaN.
+        wrong = np.where(bad > 0, np.nan, 0.0)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(i.astype(np.int32)), pa.array(n.astype(np.int64)), pa.array(centre[:-1][i] + sx / n + wrong),
+             pa.array(centre[-1] + sy / n + wrong), pa.array(sxx - sx * sx / n + wrong), pa.array(syy - sy * sy / n + wrong),
+             pa.array(sxy - sx * sy / n + wrong)], names=["i", "n", "mx", "my", "vx", "vy", "c"])
+
+
 def _corr_with_target(df: DataFrame, names: Sequence[str], target: str) -> DataFrame:
-    found = pair_moments(df, [*names, target], with_last=True).select(
-        "i", "n", F.try_divide(F.col("cov"), F.col("std_i") * F.col("std_j")).alias("r"))
+    wide = df.select(*(as_double(df, c).alias(f"_c{k}") for k, c in enumerate([*names, target])))
+    parts = wide.mapInArrow(_against_last, "i int, n long, mx double, my double, vx double, vy double, c double")
+    column = Window.partitionBy("i")  # one row per task and column
+    rows = F.sum("n").over(column)
+    parts = parts.select("*", *((F.sum(F.col("n") * F.col(m)).over(column) / rows).alias(f"a{m}") for m in ("mx", "my")))
+    dx, dy = F.col("mx") - F.col("amx"), F.col("my") - F.col("amy")
+    total = parts.groupBy("i").agg(
+        F.sum("n").alias("n"), F.first("amx").alias("amx"), F.first("amy").alias("amy"),
+        F.sum(F.col("vx") + F.col("n") * dx * dx).alias("vx"), F.sum(F.col("vy") + F.col("n") * dy * dy).alias("vy"),
+        F.sum(F.col("c") + F.col("n") * dx * dy).alias("c"))
+    moves = [F.sqrt(F.greatest(F.col(v), F.lit(0.0)) / F.col("n")) > F.abs(F.col(m)) * STILL for v, m in (("vx", "amx"), ("vy", "amy"))]
+    r = F.when(moves[0] & moves[1], F.try_divide(F.col("c"), F.sqrt(F.col("vx")) * F.sqrt(F.col("vy"))))
     every = df.sparkSession.createDataFrame(list(enumerate(names)), "i int, variable string")
-    # A column without any complete pair has no sums.
-    return every.join(found, "i", "left").select("variable", F.coalesce("n", F.lit(0)).alias("n"), "r")
+    # A column without any complete pair has no moments.
+    return every.join(total.select("i", "n", r.alias("r")), "i", "left").select(
+        "variable", F.coalesce("n", F.lit(0)).alias("n"), "r")
 
 
-def _gram(width: int, with_last: bool = False):
+def _gram(width: int):
     """Sums over the rows where both columns of a pair are present, as matrix products.
 
-    All pairs, or ``with_last`` those of the last column with each other one.
-
     One row per task and pair leaves: counts, sums of either column, of squares and of
     products. An infinite value turns the sums of its pairs to NaN and no others.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        across = 1 if with_last else width
-        sums = np.zeros((6, width, across))
-        back = np.zeros((2, width, across))  # sums and squares of the other column of a pair
+        sums = np.zeros((6, width, width))
         for batch in batches:
             x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
             there = ~np.isnan(x)
             endless = np.isinf(x)
             value = np.where(there & ~endless, x, 0.0)
             mask = there.astype(float)
-            other, seen = value[:, width - across:], mask[:, width - across:]
-            sums[0] += mask.T @ seen
-            sums[1] += value.T @ seen
-            sums[2] += (value * value).T @ seen
-            sums[3] += value.T @ other
-            if with_last:
-                back[0] += mask.T @ other
-                back[1] += mask.T @ (other * other)
+            sums[0] += mask.T @ mask
+            sums[1] += value.T @ mask
+            sums[2] += (value * value).T @ mask
+            sums[3] += value.T @ value
             if endless.any():
-                hit = endless.astype(float)
-                sums[4] += hit.T @ seen + mask.T @ hit[:, width - across:]
-        if with_last:
-            i = np.arange(width - 1)
-            j, at = np.full(width - 1, width - 1), (i, 0)
-            sy, syy = back[0][at], back[1][at]
-        else:
-            i, j = np.triu_indices(width)
-            at = (i, j)
-            sy, syy = sums[1][j, i], sums[2][j, i]
-        bad = np.where(sums[4][at] > 0, np.nan, 0.0)
+                hit = endless.astype(float).T @ mask
+                sums[4] += hit + hit.T
+        i, j = np.triu_indices(width)
+        bad = np.where(sums[4][i, j] > 0, np.nan, 0.0)
         yield pa.RecordBatch.from_arrays(
             [pa.array(v) for v in (
-                i.astype(np.int32), j.astype(np.int32), sums[0][at].astype(np.int64), sums[1][at] + bad,
-                sy + bad, sums[2][at] + bad, syy + bad, sums[3][at] + bad)],
+                i.astype(np.int32), j.astype(np.int32), sums[0][i, j].astype(np.int64), sums[1][i, j] + bad,
+                sums[1][j, i] + bad, sums[2][i, j] + bad, sums[2][j, i] + bad, sums[3][i, j] + bad)],
             names=["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
 
     return run
 
 
-def pair_moments(df: DataFrame, columns: Sequence[str], diagonal: bool = False, with_last: bool = False) -> DataFrame:
-    """Moments of every unordered pair of columns, or of all with the last one, over their complete rows.
+def pair_moments(df: DataFrame, columns: Sequence[str], diagonal: bool = False) -> DataFrame:
+    """Moments of every unordered pair of columns over their complete rows.
 
     Gives (i, j, n, mean_i, mean_j, cov, std_i, std_j), i < j by position in ``columns``.
     Columns are centred at their means first, then one scan multiplies matrices inside each
@@ -153,7 +179,7 @@ def pair_moments(df: DataFrame, columns: Sequence[str], diagonal: bool = False,
     centre = [m if m is not None and math.isfinite(m) else 0.0 for m in means]
     centred = wide.select(*((F.col(f"_c{k}") - F.lit(m)).alias(f"_c{k}") for k, m in enumerate(centre)))
     parts = centred.mapInArrow(
-        _gram(len(names), with_last), "i int, j int, n long, sx double, sy double, sxx double, syy double, sxy double")
+        _gram(len(names)), "i int, j int, n long, sx double, sy double, sxx double, syy double, sxy double")
     sums = parts.groupBy("i", "j").agg(*(F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")))
     sums = sums.filter("n > 0" if diagonal else "n > 0 AND i < j")
     shift = F.array(*map(F.lit, centre))
