@@ -11,7 +11,7 @@ from statloom.functions.coerce import as_double, quoted
 from statloom.functions.columns import unique_sorted
 from statloom.operators.encode import STATISTICS
 from statloom.operators.keyed import any_null, left_join
-from statloom.operators.ordering import sorted_once
+from statloom.operators.ordering import ROW_LIMIT, sorted_once
 from statloom.session import dealt, store
 
 FOLDS = 5
@@ -117,19 +117,40 @@ def _medians_without(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     return hit.groupBy(*keys, "_fold").agg(F.sum(weight * F.col("_v")).alias("median"))
 
 
+def _small_medians(kept: DataFrame, long: DataFrame, inner: Mapping[str, str], key_sets: Mapping[str, Sequence[str]],
+                   ids: Mapping[str, int], folds: Sequence[int], row_limit: int) -> tuple[DataFrame | None, list[int]]:
+    """Medians without each fold of the key sets whose groups all fit one task, and their tags."""
+    groups = long.groupBy("_set", *inner.values()).agg(F.sum("n").alias("n")).groupBy("_set").agg(F.max("n").alias("n"))
+    largest = {r["_set"]: r["n"] for r in groups.collect()} if folds and row_limit >= 0 else {}
+    small = [i for i in set(ids.values()) if largest.get(i, row_limit + 1) <= row_limit]
+    if not small:
+        return None, small
+    chosen = {p: ks for p, ks in key_sets.items() if ids[p] in small}
+    sets = {ids[p]: [F.col(inner[k]) for k in ks] for p, ks in chosen.items()}
+    each = F.array(*(F.struct(F.lit(f).alias("fold"), F.percentile(
+        F.when(F.col("_fold") != f, F.col("_y")), 0.5).alias("median")) for f in folds))
+    # The fold stays a grouping column that no set holds, so the tags are those of the states.
+    found = kept.withColumn("_fold_key", F.col("_fold")).groupingSets(
+        list(sets.values()), *(F.col(c) for c in inner.values()), F.col("_fold_key"))
+    table = found.agg(F.shiftleft(F.shiftright(F.grouping_id(), 1), 1).alias("_set"), each.alias("each"))
+    return store(table, "fold-medians", partition_by=["_set"]), small
+
+
 def stat_encode_oof(
     df: DataFrame,
     key_sets: Mapping[str, Sequence[str]],
     target: str,
     fold: Column,
     statistics: Sequence[str] = STATISTICS,
+    row_limit: int = ROW_LIMIT,
 ) -> DataFrame:
     """Add {prefix}_{mean, median, std, max, count} of the row's group over the other folds.
 
     ``fold`` gives a row's fold (see ``fold_of``). One grouping-sets pass keeps a state per
     group and fold: rows, mean, squares about it, maximum. A row's statistics merge the states
-    of all folds but its own; the median is taken from counted values. So no row sees its own
-    target or that of its fold.
+    of all folds but its own. Medians are aggregated where every group of a key set fits one
+    task (``row_limit``), else taken from counted values. So no row sees its own target or that
+    of its fold.
 
     A row with a missing key or fold gets nulls, as does one whose group has no row outside its
     fold (its count is 0). A missing target or NaN counts for nobody.
@@ -141,6 +162,7 @@ def stat_encode_oof(
     long = store(long, "fold-groups", partition_by=["_set"])
     # The folds that occur; their number is a parameter.
     folds = sorted(r[fold_name] for r in long.select(fold_name).distinct().collect())
+    medians, small = _small_medians(kept, long, inner, key_sets, ids, folds, row_limit if "median" in statistics else -1)
     rows = df.withColumn(fold_name, fold.cast("int"))
     for prefix, keys in key_sets.items():
         cols = [inner[k] for k in keys]
@@ -157,7 +179,10 @@ def stat_encode_oof(
         squares = F.aggregate("others", zero, lambda a, t: a + t["v"] + t["n"] * (t["m"] - F.col("mean")) * (t["m"] - F.col("mean")))
         table = table.select(*cols, fold_name, "mean", "count", _std(F.col("count"), squares).alias("std"),
                              F.array_max(F.transform("others", lambda t: t["most"])).alias("max"))
-        if "median" in statistics:
+        if ids[prefix] in small:
+            each = medians.filter(F.col("_set") == ids[prefix]).select(*cols, F.explode("each").alias("e"))
+            table = table.join(each.select(*cols, F.col("e.fold").alias(fold_name), "e.median"), [*cols, fold_name], "left")
+        elif "median" in statistics:
             counted = kept.filter(F.col("_y").isNotNull() & ~any_null(cols)).groupBy(
                 *cols, F.col("_y").alias("_v"), fold_name).agg(F.count(F.lit(1)).alias("c"))
             medians = _medians_without(store(counted, "fold-values"), cols)

@@ -58,9 +58,11 @@ def test_folds_are_stable_and_even(spark):
     assert min(counts) > 4_700
 
 
-def test_out_of_fold_statistics_equal_plain_ones(table):
+@pytest.mark.parametrize("row_limit", [10**6, 90, 0])
+def test_out_of_fold_statistics_equal_plain_ones(table, row_limit):
     fold = lambda i: int(hashlib.md5(f"{i}:42".encode()).hexdigest()[:8], 16) % 5
-    encoded = {r["id"]: r for r in stat_encode_oof(table, SETS, "y", fold_of(F.col("id"))).collect()}
+    encoded = {r["id"]: r for r in stat_encode_oof(
+        table, SETS, "y", fold_of(F.col("id")), row_limit=row_limit).collect()}
     rows = rows_of()
     assert len(encoded) == len(rows)
     for row in rows:
