@@ -16,9 +16,11 @@ from statloom.llm.common import query, read
 
 # Elements whose content is never text of the page.
 RAW = ("script", "style", "noscript", "template", "textarea", "title", "svg", "iframe", "noframes", "xmp")
+# Raw elements that may close themselves, as in <svg/>.
+SELF_CLOSING = frozenset(("svg", "iframe"))
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(" + "|".join(RAW) + r")\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)(?:>|\Z)", re.S | re.I)
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)(?:>|\Z)", re.S)
 # Elements inside a line of text; every other tag ends a block.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp "
@@ -28,16 +30,30 @@ NEXT_ENDS = frozenset("li td th tr dt dd option".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 MAIN = frozenset(("article", "main"))
 ASIDE = frozenset("nav aside footer form menu dialog button select fieldset head".split())
-# Words in class, id or role that mark what surrounds the main text.
-MARKED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|comments?|repl(?:y|ies)|disqus|respond|"
-    r"nav\w*|menu|breadcrumbs?|side-?bar|aside|complementary|foot(?:er)?|contentinfo|"
-    r"cookies?|consent|gdpr|notices?|alert|pop-?up|modal|overlay|newsletter|subscri\w+|signup|login|"
-    r"share|sharing|social|related|recommend\w*|widget|pagination|pager|search|toolbar|skip)(?:$|[\s_-])", re.I)
+# Words in class, id or role that mark what surrounds the main text; those of the first
+# group are never the name of a page's layout.
+FIRM_WORDS = (r"ads?|advert\w*|sponsor\w*|promo\w*|comments?|repl(?:y|ies)|disqus|respond|related|recommend\w*|"
+              r"foot(?:er)?|contentinfo")
+LOOSE_WORDS = (
+    r"nav\w*|menu|breadcrumbs?|side-?bar|aside|complementary|cookies?|consent|gdpr|notices?|alert|pop-?up|modal|"
+    r"overlay|newsletter|subscri\w+|signup|login|share|sharing|social|widget|pagination|pager|search|toolbar|skip")
+FIRM = re.compile(rf"(?:^|[_-])(?:{FIRM_WORDS})(?=$|[_-])")
+MARKED = re.compile(rf"(?:^|[_-])(?:{FIRM_WORDS}|{LOOSE_WORDS})(?=$|[_-])")
+# Parts by which a name tells what a page has or lacks, or how it stands.
+STATES = frozenset("has no not with without is open opened free".split())
+# Nouns that may follow a mark; others make a name of its own: related-posts, but related-work.
+GENERIC = frozenset(
+    "area articles banner bar block bottom box btn button buttons container content cta footer form group header "
+    "icon icons inner item items js label left link links list main media menu message panel popup posts right "
+    "row section slot stories text title toggle top unit widget wrap wrapper".split())
 # Marks that inside the main element belong to its own head.
 HEADER = re.compile(r"(?:^|[\s_-])(?:header|masthead|banner)(?:$|[\s_-])", re.I)
 MARKS = re.compile(r"(?:\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+# Blocks in a leaf of the tree.
+MIN_LEAF = 3
+# How far the mark of an element goes.
+NO_MARK, LOOSE, FIRM_CLASS, FIRM_TAG = range(4)
 
 
 class Block(NamedTuple):
@@ -51,36 +67,134 @@ class Block(NamedTuple):
     heading: int
 
 
+class Element:
+    """An element of a page: the index of its parent, its mark, and what it holds outside firmly marked elements."""
+
+    __slots__ = ("parent", "name", "mark", "words", "heads", "paragraphs", "holds")
+
+    def __init__(self, parent: int, name: str, mark: int):
+        self.parent, self.name, self.mark = parent, name, mark
+        self.words = self.heads = self.paragraphs = 0
+        self.holds = False  # a main element, itself not counted
+
+
+def class_mark(marks: str, inside: bool) -> int:
+    """The mark that class, id and role give; inside the main element names must be furniture to their end."""
+    found = NO_MARK
+    for token in marks.lower().split():
+        hits = list(MARKED.finditer(token))
+        if not hits or not STATES.isdisjoint(re.split("[_-]", token)):
+            continue
+        rest = re.split("[_-]+", token[hits[-1].end():].strip("_-"))
+        if inside and not all(x in GENERIC or x.isdigit() or not x for x in rest):
+            continue
+        found = max(found, FIRM_CLASS if FIRM.search(token) else LOOSE)
+    return found
+
+
+def places(elements: list[Element], own: list[int]) -> list[int]:
+    """Where the blocks of each element stand; ``own`` holds the words of each element's own blocks.
+
+    A mark on what holds the text of the page is a name of its layout, and not believed:
+    of elements that hold <main>; of forms that hold <article>; if that leaves no words in a
+    main element, of the fewest elements around an <article>; and if there are still none, of
+    those with most of the page's words and a first heading or three paragraphs.
+    Furniture tags and hidden elements are always believed, adverts, reader comments and
+    related links unless they hold <main>.
+    """
+    n = len(elements)
+    whole = [False] * n  # holds <main>
+    for i in range(n - 1, 0, -1):
+        e, up = elements[i], elements[elements[i].parent]
+        e.words += own[i]
+        whole[e.parent] |= whole[i] or e.name == "main"
+        if e.mark < FIRM_CLASS:
+            up.words, up.heads, up.paragraphs = up.words + e.words, up.heads + e.heads, up.paragraphs + e.paragraphs
+            up.holds |= e.holds or e.name in MAIN
+    elements[0].words += own[0]
+    believed = [e.mark == FIRM_TAG or e.mark != NO_MARK and not whole[i] and not (e.name == "form" and e.holds)
+                for i, e in enumerate(elements)]
+
+    def settle() -> tuple[list[int], list[int], int]:
+        around, main = [0] * n, [0] * n
+        for i, e in enumerate(elements):
+            if i:
+                # A firm mark outweighs any number of loose ones.
+                around[i] = around[e.parent] + (believed[i] and (n if e.mark >= FIRM_CLASS else 1))
+                main[i] = main[e.parent] or e.name in MAIN
+        return around, main, sum(w for w, a, m in zip(own, around, main) if m and not a)
+
+    around, main, clear = settle()
+    if not clear:
+        depths = [around[i] for i, e in enumerate(elements) if e.name in MAIN and e.words and around[i] < n]
+        if depths and min(depths):
+            least = min(depths)
+            for i, e in enumerate(elements):
+                if e.name in MAIN and e.words and around[i] == least:
+                    j = i
+                    while j and around[j]:
+                        believed[j] = False
+                        j = e.parent if j == i else elements[j].parent
+            around, main, clear = settle()
+    if not clear:
+        for i, e in enumerate(elements):
+            if e.mark == LOOSE and 2 * e.words > elements[0].words and (e.heads or e.paragraphs > 2):
+                believed[i] = False
+        around, main, clear = settle()
+    return [-1 if a else 1 if m else 0 for a, m in zip(around, main)]
+
+
 def blocks(page: str) -> list[Block]:
-    """The text blocks of a page in page order; markup, scripts and comments are gone."""
-    found: list[Block] = []
+    """The text blocks of a page in page order; markup, scripts and comments are gone.
+
+    Takes time in proportion to the page, however its elements nest.
+    """
+    found: list[tuple[str, int, int, int]] = []  # text, linked words, element, heading
     parts: list[tuple[str, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # open elements: name, main, surrounding
-    main = around = 0
+    elements = [Element(0, "", NO_MARK)]
+    own = [0]
+    stack = [0]
+    opened: dict[str, int] = {}  # open elements of each name
+    lower = None  # the page in small letters, for ends of raw elements
+    endless: set[str] = set()  # raw elements that the rest of the page does not close
+    main = 0
     links = heading = False
 
     def leave() -> None:
-        nonlocal main, around
-        _, was_main, was_around = stack.pop()
-        main, around = main - was_main, around - was_around
+        nonlocal main
+        name = elements[stack.pop()].name
+        opened[name] -= 1
+        main -= name in MAIN
 
     def close() -> None:
         text = " ".join(html.unescape("".join(t for t, _ in parts)).split(None)) if parts else ""
         if text:
             linked = sum(len(html.unescape(t).split()) for t, inside in parts if inside)
-            place = -1 if around else 1 if main else 0
-            found.append(Block(text, len(text.split()), linked, place, int(heading)))
+            found.append((text, linked, stack[-1], int(heading)))
+            own[stack[-1]] += len(text.split())
         parts.clear()
 
     at = 0
-    for m in TOKEN.finditer(page):
+    while m := TOKEN.search(page, at):
         if m.start() > at:
             parts.append((page[at:m.start()], links))
         at = m.end()
-        name = (m[3] or "").lower()
+        name = (m[2] or "").lower()
         if not name:
             continue
-        ends = m[2] == "/"
+        ends, closed = m[1] == "/", m[3].endswith("/")
+        if name in RAW:
+            if not (ends or closed and name in SELF_CLOSING or name in endless):
+                lower = page.translate(SMALL) if lower is None else lower
+                end = lower.find(f"</{name}", at)
+                if end >= 0:
+                    stop = page.find(">", end)
+                    at = stop + 1 if stop >= 0 else len(page)
+                elif name in ("script", "style"):
+                    at = len(page)
+                else:
+                    endless.add(name)
+            continue
         if name == "a":
             links = not ends
         if name == "br":
@@ -90,44 +204,56 @@ def blocks(page: str) -> list[Block]:
         close()
         heading = name in HEADINGS and not ends
         if ends:
-            if any(name == e[0] for e in stack):
-                while stack[-1][0] != name:
+            if opened.get(name):
+                while elements[stack[-1]].name != name:
                     leave()
                 leave()
                 links = False
             continue
         if name == "body":
-            while stack:
+            while len(stack) > 1:
                 leave()
         # A paragraph ends where another block begins, a list item or cell where the next one does.
-        if stack and stack[-1][0] == "p":
-            leave()
-        if stack and name in NEXT_ENDS and stack[-1][0] == name:
+        if elements[stack[-1]].name == "p" or name in NEXT_ENDS and elements[stack[-1]].name == name:
             leave()
-        if name not in VOID and not m[4].endswith("/"):
-            marks = " ".join(x for g in MARKS.findall(m[4]) for x in g if x)
-            is_main = name in MAIN
-            head = not main and (name == "header" or bool(HEADER.search(marks)))
-            told = name not in ("html", "body") and not is_main and (head or bool(MARKED.search(marks)))
-            stack.append((name, is_main, name in ASIDE or told or bool(HIDDEN.search(m[4]))))
-            main, around = main + stack[-1][1], around + stack[-1][2]
+        if name not in VOID and not closed:
+            marks = " ".join(x for g in MARKS.findall(m[3]) for x in g if x)
+            mark = NO_MARK
+            if name not in ("html", "body") and name not in MAIN:
+                mark = class_mark(marks, main > 0)
+                if not main and (name == "header" or HEADER.search(marks)) or name == "form":
+                    mark = max(mark, LOOSE)
+            if name in ASIDE and name != "form" or HIDDEN.search(m[3]):
+                mark = FIRM_TAG
+            e = Element(stack[-1], name, mark)
+            e.heads, e.paragraphs = int(name == "h1"), int(name == "p")
+            elements.append(e)
+            own.append(0)
+            stack.append(len(elements) - 1)
+            opened[name] = opened.get(name, 0) + 1
+            main += name in MAIN
     if at < len(page):
         parts.append((page[at:], links))
     close()
-    return found
+    where = places(elements, own)
+    return [Block(text, len(text.split()), linked, where[e], head) for text, linked, e, head in found]
+
 
+# Only A to Z, so that places in the page stay the same.
+SMALL = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
-FEATURES = ("words", "link_density", "words_before", "link_density_before", "words_after",
-            "link_density_after", "place", "heading")
+FEATURES = (
+    "words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after",
+    "words_two_before", "link_density_two_before", "words_two_after", "link_density_two_after", "place", "heading")
 
 
-def features(page: list[Block]) -> np.ndarray:
-    """Words and link density of each block and of its neighbours, and where it stands."""
+def neighbours(page: list[Block]) -> np.ndarray:
+    """Words and link density of each block and of its two neighbours on both sides, place and heading."""
+    n = len(page)
     own = np.array([[b.words, min(1.0, b.link_words / b.words)] for b in page], float).reshape(-1, 2)
-    none = np.zeros((1, 2))
-    before, after = np.vstack([none, own[:-1]])[:len(own)], np.vstack([own[1:], none])[:len(own)]
+    wide = np.vstack([np.zeros((2, 2)), own, np.zeros((2, 2))])
     rest = np.array([[b.place, b.heading] for b in page], float).reshape(-1, 2)
-    return np.hstack([own, before, after, rest])
+    return np.hstack([own, *(wide[2 + d:2 + d + n] for d in (-1, 1, -2, 2)), rest])
 
 
 # A small labelled table: pages, and a label (1: main text) for each of their blocks.
@@ -252,6 +378,60 @@ LABELLED = (
 )
 
 
+# More of the table as shapes, most for pages whose markup tells nothing: the blocks of a page, each with its
+# label (+: main text), an a inside the main element or an n inside what surrounds it, an h for a heading,
+# its words, and behind a stroke those that are linked.
+SHAPES = (
+    "-1/1 -1/1 -2/2 -1/1 -3 +h6 +42 +61/2 +38 +55/1 -4/4 -5/5 -6/6 -12/4",
+    "-2/2 -2/2 -2/2 -2/2 +h9 +88/3 +15 +120/5 +9 +74 -3 -7/7 -8/8 -6/6 -9/3 -5",
+    "-1/1 -1/1 -1/1 +h4 +23 +18 +31/1 +27 +12 +20 -2/2 -2/2 -14/2",
+    "-3/3 -1/1 -6 -1/1 +h11 +140/6 +95/2 +3 +110 +64/4 -h2 -9/9 -11/11 -8/8 -10/10 -h3 -4/4 -18/5",
+    "-1/1 -1/1 -1/1 -1/1 -1/1 -22/2 +h7 +51 +49/1 +60 -1/1 -1/1 -6",
+    "-4/4 -2 -2/2 +h8 +35/1 +h3 +66 +58/2 +h4 +71 +44/1 -2/2 -5/5 -3/3 -16",
+    "-1/1 -2/2 -3/3 +47 +52 +39/1 +28 -5/5 -5/5 -5/5",
+    "+h5 +80/1 +76 +91/3 +12 +84 -1/1 -1/1 -1/1 -10/2",
+    "-2/2 -1/1 +h6 +25 +4 +33 +6 +29/1 +5 +41 -3/3 -3/3 -8",
+    "-1/1 -1/1 -1/1 -5 +h7 +150/8 +132/4 +127 -h2 -4/4 -4/4 -6/6 -5/5 -h2 -3/3 -2/2 -11/4",
+    "-2/2 -2/2 -1 -1/1 +h10 +19/1 +h2 +36 +40 +h2 +55/2 +48 +h3 +37 -1/1 -7/7 -9",
+    "-7/2 -1/1 -1/1 +h5 +64 +59 +70/2 +8 +62 -6/6 -7/7 -2 -3/3 -4",
+    "-3 -2/2 -2/2 -2/2 -2/2 +h8 +30 +26/1 +34 -19/1 -2/2 -3/3 -2/2",
+    "-1/1 -1/1 +h3 +200/9 +180/6 +170/3 +160 -1/1 -1/1 -15/3",
+    "-5/5 -4/4 -6/6 -5/5 +h7 +45/1 +50 +10 +53/1 +11 +47 -4/4 -6/6 -5/5 -7/7 -6",
+    "-2/2 -8 -2/2 -1/1 +h9 +72/1 +68/2 +75 -h4 -12/12 -10/10 -13/13 -9/9 -7/1",
+    "-1/1 -1/1 -1/1 -1/1 -1/1 -1/1 +h6 +21 +24 +22/1 +26 +19 +23 -2 -2/2 -2/2 -9/3",
+    "-4 -1/1 -2/2 +h12 +104/4 +98 +5 +112/2 -3/3 -h2 -8/8 -9/9 -h2 -1/1 -2/2 -1/1 -20/6",
+    "-1/1 -3/3 -1/1 +h4 +33 +7 +7 +8 +40/1 +36 -2/2 -4/4 -13/1",
+    "-2/2 -2/2 -3/3 -2/2 -26/1 +h7 +90/2 +85 +92/3 +14/1 +78 -5/5 -6/6 -3",
+    "-1/1 -1/1 +h8 +57/1 +62/1 +h4 +49 +9 +54 +h5 +66/2 -1/1 -1/1 -1/1 -1/1 -8/8",
+    "-6/6 -2/2 -1 +h6 +38 +43 +31 -2/2 -h3 -7/7 -6/6 -8/8 -9/9 -7/7 -17/2",
+    "-1/1 -1/1 -2/2 -4/4 -1/1 +h10 +116/3 +122/5 +108 +101/2 -3/3 -2/2 -3/3 -7",
+    "-3/3 -3/3 -3/3 +h5 +29/1 +32 +2 +35 +30/1 +27 -1/1 -5 -1/1 -12/5",
+    "-2/2 -1/1 -5/5 -1/1 +h7 +82/2 +h2 +79 +6 +87/1 +h3 +94 -h2 -5/5 -5/5 -4/4 -6/6 -10/3",
+    "-1/1 -2/2 -1/1 -9 +h6 +44 +39/1 +48 +52 -4/4 -4/4 -24/2 -1/1 -2/2",
+    "-2/2 -2/2 +h11 +65/1 +70 +13 +61 +17 +69/2 -6/6 -8/8 -7/7 -5/1",
+    "-1/1 -1/1 -1/1 -2/2 -3 -2 +h4 +145/5 +139/2 +151 -1/1 -3/3 -1/1 -14/4",
+    "-8/3 -2/2 -2/2 +h8 +37 +28 +34/1 +31 +26 +39 -2/2 -6/6 -h2 -7/7 -9/9 -4",
+    "-1/1 -4/4 -3/3 -2/2 +h5 +99/3 +11 +105 +10 +93/1 -5/5 -3/3 -21/3 -2/2",
+    "-n1/1 -n2/2 -n3/3 +a3 +a2 +a4 +a1 -n2/2 -n3/3 -n4/4",
+    "-n2/2 -n5/5 +a2 +a1/1 +a3 +a2/2 +a4 +a1/1 +a1 -n1/1",
+    "-n40 -n30/1 -n3 +ah3 +a2 +a3/3 +a4/4 +a2 +a2/2 +a50 -n60 -n2 -n9",
+    "-n1/1 -n6/6 +a1 +a3 -n20 -n4 +a4 +a2 -n3/3 -n8/8 +a1 -n12 -n2/2",
+    "-n7/7 -n4/4 +a1 -n2/2 -n2/2 +a2 -n9/9 -n1/1 +a3 -n8/8 -n2/2 +a4 -n3/3 -n90",
+    "+a4/4 +a9/9 +a3 +a2 +a12/12 +a1 +a20/10 +a3 +a4 +a2/1 -n35 -n22 -n64",
+)
+
+
+def shape_blocks(shape: str) -> tuple[list[Block], list[int]]:
+    """Blocks and labels of a page that is given as a shape."""
+    page, labels = [], []
+    for told in shape.split():
+        words, _, linked = told.lstrip("+-anh").partition("/")
+        place = ("a" in told) - ("n" in told)
+        page.append(Block("", int(words), int(linked or 0), place, int("h" in told)))
+        labels.append(int(told[0] == "+"))
+    return page, labels
+
+
 class Node(NamedTuple):
     """feature < 0: a leaf with its label in ``value``; else left if the feature is <= value."""
 
@@ -261,14 +441,21 @@ class Node(NamedTuple):
     right: Node | None = None
 
 
+def labelled_pages() -> list[tuple[np.ndarray, np.ndarray]]:
+    """Features and labels of the blocks of every labelled page."""
+    known = [(blocks(page), list(map(int, labels))) for page, labels in LABELLED]
+    known += map(shape_blocks, SHAPES)
+    return [(neighbours(page), np.array(labels)) for page, labels in known]
+
+
 def labelled_blocks() -> tuple[np.ndarray, np.ndarray]:
     """Features and labels of the labelled table."""
-    rows = np.vstack([features(blocks(page)) for page, _ in LABELLED])
-    return rows, np.array([int(k) for _, labels in LABELLED for k in labels])
+    pages = labelled_pages()
+    return np.vstack([x for x, _ in pages]), np.concatenate([y for _, y in pages])
 
 
-def grow(x: np.ndarray, y: np.ndarray, depth: int = 8) -> Node:
-    """A decision tree that splits where the Gini impurity falls most."""
+def grow(x: np.ndarray, y: np.ndarray, depth: int = 8, leaf: int = MIN_LEAF) -> Node:
+    """A decision tree that splits where the Gini impurity falls most, into parts of at least ``leaf`` blocks."""
     if depth == 0 or y.min() == y.max():
         return Node(-1, float(y.mean() >= 0.5))
     best = (0.0, -1, 0.0)
@@ -277,13 +464,15 @@ def grow(x: np.ndarray, y: np.ndarray, depth: int = 8) -> Node:
         values = np.unique(x[:, f])
         for cut in (values[1:] + values[:-1]) / 2:
             left, right = y[x[:, f] <= cut], y[x[:, f] > cut]
+            if min(len(left), len(right)) < leaf:
+                continue
             gain = whole - sum(p.mean() * (1 - p.mean()) * len(p) for p in (left, right))
             if gain > best[0] + 1e-9:
                 best = (gain, f, float(cut))
     if best[1] < 0:
         return Node(-1, float(y.mean() >= 0.5))
     go = x[:, best[1]] <= best[2]
-    return Node(best[1], best[2], grow(x[go], y[go], depth - 1), grow(x[~go], y[~go], depth - 1))
+    return Node(best[1], best[2], grow(x[go], y[go], depth - 1, leaf), grow(x[~go], y[~go], depth - 1, leaf))
 
 
 def is_main(tree: Node, x: np.ndarray) -> np.ndarray:
@@ -299,7 +488,7 @@ def main_text(page: str | None, tree: Node) -> str:
     found = blocks(page or "")
     if not found:
         return ""
-    return "\n".join(b.text for b, yes in zip(found, is_main(tree, features(found)), strict=True) if yes)
+    return "\n".join(b.text for b, yes in zip(found, is_main(tree, neighbours(found)), strict=True) if yes)
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
