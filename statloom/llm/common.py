@@ -26,7 +26,7 @@ BROADCAST_ROWS = 500_000
 BUCKET_ROWS = 50_000
 
 __all__ = ["BROADCAST_ROWS", "BUCKET_ROWS", "ORACLES", "QUERIES", "SPACE", "SPACE_CHARS", "WORD",
-           "ascii_lower", "attach_groups", "drop_table", "keep_rows", "one_each", "query", "read", "running", "same",
+           "ascii_lower", "attach_groups", "drop_table", "free_names", "keep_rows", "one_each", "query", "read", "running", "same",
            "store", "text_hash", "without", "write_table"]
 
 
@@ -86,6 +86,18 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(slow)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each led by as many underscores as it takes to be no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     """Equality of the named columns, where null equals null."""
     condition = F.lit(True)
@@ -163,11 +175,12 @@ def keep_rows(docs: DataFrame, decided: DataFrame, id_col: str = "doc_id",
     Rows are told by their id and 128 bits of their text. Where rows are alike in both, one
     stays, as an operator that keeps one row of a class decides.
     """
-    keys = [id_col, "_t0", "_t1"]
-    by_key = decided.select(id_col, F.col("t0").alias("_t0"), F.col("t1").alias("_t1"), "kept")
-    by_key = store(by_key.groupBy(*keys).agg(F.max("kept").alias("_kept"), F.count("*").alias("_n")), "kept")
+    t0, t1, kept, n = free_names(docs, "_t0", "_t1", "_kept", "_n")
+    keys = [id_col, t0, t1]
+    by_key = decided.select(id_col, F.col("t0").alias(t0), F.col("t1").alias(t1), "kept")
+    by_key = store(by_key.groupBy(*keys).agg(F.max("kept").alias(kept), F.count("*").alias(n)), "kept")
     hashes = text_hash(F.coalesce(F.col(text_col), F.lit("")))
-    rows = docs.withColumns({"_t0": hashes[0], "_t1": hashes[1]})
-    rows = without(rows, by_key.filter(~F.col("_kept")).select(*keys))
-    twins = by_key.filter(F.col("_kept") & (F.col("_n") > 1)).select(*keys)
+    rows = docs.withColumns({t0: hashes[0], t1: hashes[1]})
+    rows = without(rows, by_key.filter(~F.col(kept)).select(*keys))
+    twins = by_key.filter(F.col(kept) & (F.col(n) > 1)).select(*keys)
     return one_each(rows, keys, twins).select(*docs.columns)

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from statloom.llm.common import query, read, text_hash
+from statloom.llm.common import free_names, query, read, text_hash
 
 UNKNOWN = "und"
 # The bounded labelled sample: of each language at most SAMPLE_DOCS distinct texts, SAMPLE_CHARS
@@ -265,8 +265,9 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     into its text, wins, the first in code point order among equals. A null text, one
     without letters, and any text of a model without languages is ``und`` with score 0.
     """
-    found = docs.withColumn("_found", predictor(model)(F.col(text_col)))
-    return found.withColumns({"lang_pred": F.col("_found.lang"), "score": F.col("_found.score")}).drop("_found")
+    name, = free_names(docs, "_found")
+    found = docs.withColumn(name, predictor(model)(F.col(text_col)))
+    return found.withColumns({"lang_pred": F.col(name)["lang"], "score": F.col(name)["score"]}).drop(name)
 
 
 @query("op4_language_id")

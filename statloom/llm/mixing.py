@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from statloom.llm.common import (
-    SPACE, WORD, one_each, query, read, running, same, store, text_hash,
+    SPACE, WORD, free_names, one_each, query, read, running, same, store, text_hash,
 )
 
 # Weights of the sources in code point order, repeating.
@@ -171,27 +171,28 @@ def take(docs: DataFrame, mix: Mix, id_col: str = "doc_id", text_col: str = "tex
     The one document of a source that its target cuts ends after the words taken, and its
     ``count_col``, if there is one, is set anew. Rows are told by id, source and text.
     """
-    keys = [id_col, "_t0", "_t1"]
+    t0, t1, turns, n, kept_words = free_names(docs, "_t0", "_t1", "_turns", "_n", "_words")
+    keys = [id_col, t0, t1]
     hashes = text_hash(F.coalesce(F.col(text_col), F.lit("")))
-    rows = docs.withColumns({"_t0": hashes[0], "_t1": hashes[1]})
+    rows = docs.withColumns({t0: hashes[0], t1: hashes[1]})
     whole = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(0)
     taken = mix.rows.filter("taken > 0").select(
-        F.col(id_col), F.col("t0").alias("_t0"), F.col("t1").alias("_t1"),
+        F.col(id_col), F.col("t0").alias(t0), F.col("t1").alias(t1),
         whole.alias("whole"), (F.col("taken") - whole * F.col("size")).alias("cut"))
     # Rows alike in id and text are taken together.
     cuts = F.filter(F.collect_list("cut"), lambda c: c > 0)
     taken = store(taken.groupBy(*keys).agg(
-        F.concat(F.array_repeat(F.lit(0).cast("long"), F.sum("whole").cast("int")), cuts).alias("_turns"),
-        F.count("*").alias("_n")), "taken")
-    rows = one_each(rows, keys, taken.filter("_n > 1").select(*keys))
+        F.concat(F.array_repeat(F.lit(0).cast("long"), F.sum("whole").cast("int")), cuts).alias(turns),
+        F.count("*").alias(n)), "taken")
+    rows = one_each(rows, keys, taken.filter(F.col(n) > 1).select(*keys))
     mixed = rows.join(taken, same(rows, taken, keys)).select(
-        *(rows[c] for c in docs.columns), F.explode("_turns").alias("_words"))
+        *(rows[c] for c in docs.columns), F.explode(turns).alias(kept_words))
     words = F.regexp_extract_all(F.col(text_col), F.lit(f"{SPACE}*{WORD}"), F.lit(0))
-    cut = F.when(F.col("_words") > 0, F.array_join(F.slice(words, F.lit(1), F.col("_words").cast("int")), ""))
+    cut = F.when(F.col(kept_words) > 0, F.array_join(F.slice(words, F.lit(1), F.col(kept_words).cast("int")), ""))
     mixed = mixed.withColumn(text_col, F.coalesce(cut, F.col(text_col)))
     if count_col in docs.columns:
         kind = docs.schema[count_col].dataType
-        counted = F.when(F.col("_words") > 0, F.length(text_col).cast(kind)).otherwise(F.col(count_col))
+        counted = F.when(F.col(kept_words) > 0, F.length(text_col).cast(kind)).otherwise(F.col(count_col))
         mixed = mixed.withColumn(count_col, counted)
     return mixed.select(*docs.columns)
 

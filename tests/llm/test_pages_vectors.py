@@ -5,6 +5,7 @@ import gzip
 import hashlib
 import os
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -12,7 +13,9 @@ import pytest
 
 import corpus_pipeline
 from statloom.llm import ann, html_text, language, warc
-from tests_llm_rows import odd_documents, words
+from test_dedup import SPACE, plain_classes, plain_fingerprint
+from test_mix_shard_pack import plain_targets
+from tests_llm_rows import CLASH, odd_documents, words
 
 FOLDER = "/root/testdata/sf0.001"
 given = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test data not present")
@@ -36,6 +39,64 @@ def test_page_text():
     assert html_text.main_text(long, tree).count("\n") == 49_999
 
 
+TEXT = ("<p>The first paragraph has quite a few words in it so that it counts as text.</p>"
+        "<p>The second paragraph too goes on and on about the river.</p>")
+PLAIN = ("The first paragraph has quite a few words in it so that it counts as text.\n"
+         "The second paragraph too goes on and on about the river.")
+
+
+@pytest.mark.parametrize("page", [
+    f'<form id="aspnetForm"><nav>Menu here</nav><article>{TEXT}</article><footer>f</footer></form>',
+    f'<div class="page has-sidebar sidebar-right"><article>{TEXT}</article>'
+    '<div class="sidebar"><article><p>teaser</p></article></div></div>',
+    f'<div id="page" class="site social"><main>{TEXT}</main></div>',
+    f'<div class="modal-open no-overlay cookie"><article>{TEXT}</article></div>',
+    f'<article><svg class="i"/>{TEXT}</article>',
+    f'<article><svg><text>drawn</text></svg>{TEXT}</article>',
+    f'<article><iframe src=v />{TEXT}</article>',
+    f'<article><iframe src=v>{TEXT}</article>',
+    f"<article><svg-icon></svg-icon><title-card></title-card>{TEXT}</article>",
+    f'<article><section class="related-work" id="search-engines">{TEXT}</section>'
+    '<div class="related-posts"><p>Other posts</p></div></article>',
+    f'<article>{TEXT}</article><div class="comments"><article class="comment"><p>I like this text so very much'
+    " that I read it again</p></article></div>",
+    f'<main>{TEXT}<div id="comments"><article><p>I like it so very much indeed and more</p></article></div></main>',
+    f"<main><form><h2 hidden>x</h2>{TEXT.replace('</p>', '</p><p></p>')}</form></main>",
+])
+def test_page_layouts(page):
+    assert html_text.main_text(page, html_text.grow(*html_text.labelled_blocks())) == PLAIN
+
+
+def test_long_broken_pages():
+    tree = html_text.grow(*html_text.labelled_blocks())
+    start = time.process_time()
+    for page in ("<div>" * 70_000 + "</section>" * 70_000, "<svg>" * 200_000, "<title>" * 150_000, "<form><article>" * 60_000):
+        assert html_text.main_text(page + "<p>x", tree) is not None
+    assert time.process_time() - start < 20
+
+
+def test_what_markup_tells_is_kept():
+    tree = html_text.grow(*html_text.labelled_blocks())
+    rng = np.random.default_rng(0)
+    x = np.column_stack([rng.choice(v, 5_000) for v in ([1, 2, 3, 5, 9, 20, 80, 300], [0, 0, 0.06, 0.1, 0.5, 1]) * 5]
+                        + [np.ones(5_000), rng.integers(0, 2, 5_000)])
+    assert html_text.is_main(tree, x).all()
+    x[:, -2] = -1
+    assert not html_text.is_main(tree, x).any()
+
+
+@pytest.mark.parametrize("with_place,least", [(True, 0.95), (False, 0.8)])
+def test_tree_on_held_out_pages(with_place, least):
+    pages, right, total = html_text.labelled_pages(), 0, 0
+    for fold in range(5):
+        x, y = (np.concatenate(c) for c in zip(*(p for i, p in enumerate(pages) if i % 5 != fold)))
+        z, w = (np.concatenate(c) for c in zip(*pages[fold::5]))
+        if not with_place:
+            x[:, -2] = z[:, -2] = 0
+        right, total = right + (html_text.is_main(html_text.grow(x, y), z) == w).sum(), total + len(w)
+    assert right / total > least
+
+
 def test_page_rows(spark):
     rows = [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (None, None, None, None), (2, "v", "", "y")]
     table = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
@@ -238,6 +299,52 @@ def test_pipeline_on_odd_rows(spark, odd, none):
     assert docs.columns[0] == "doc_id"
 
 
+def test_pipeline_stage_by_stage(spark, odd):
+    """Every stage against a plain version of it, on rows whose other columns have generated names."""
+    def written(df):
+        return spark.createDataFrame(df.collect(), df.schema)
+
+    def pairs(df):
+        return Counter((r.doc_id, r.text) for r in df.collect())
+
+    stage = dict(corpus_pipeline.STAGES)
+    docs = written(stage["language_id"](spark, odd, FOLDER))
+    rows = [(i, t) for i, t, _, _ in odd_documents() if any(c.isalpha() for c in t or "")]
+    assert pairs(docs) == Counter(rows)
+
+    docs = written(stage["exact_dedup"](spark, docs, FOLDER))
+    first = {}
+    for i, t in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
+        first.setdefault(SPACE.sub(" ", t), (i, SPACE.sub(" ", t)))
+    assert Counter((i, SPACE.sub(" ", t)) for i, t in pairs(docs).elements()) == Counter(first.values())
+
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    docs = written(stage["simhash_near_dedup"](spark, docs, FOLDER))
+    classes = {}
+    for (i, t), c in zip(rows, plain_classes([plain_fingerprint(t) for _, t in rows]), strict=True):
+        classes.setdefault(c, []).append((i is None, i or 0, i, t))
+    assert pairs(docs) == Counter(min(members)[2:] for members in classes.values())
+
+    size = Counter()
+    for r in docs.collect():
+        size[r.source] += len(r.text.split())
+    whole = {r.doc_id: len(r.text.split()) for r in docs.collect()}
+    docs = written(stage["source_mixing"](spark, docs, FOLDER))
+    taken, per_doc = Counter(), Counter()
+    for r in docs.collect():
+        taken[r.source] += len(r.text.split())
+        per_doc[r.doc_id] += len(r.text.split())
+    target = plain_targets(size)
+    assert {s: int(target[s] + 1e-6) for s in size} == taken
+    assert all(n <= 2 * whole[i] for i, n in per_doc.items())
+    assert all(r[c] == "x" for r in docs.collect() for c in CLASH)
+
+    packed = Counter()
+    for r in stage["best_fit_packing"](spark, docs, FOLDER).collect():
+        packed[r.doc_id] += r.n_words
+    assert packed == per_doc
+
+
 @given
 def test_pipeline_runs(spark):
     got = corpus_pipeline.run(spark, FOLDER)

@@ -3,7 +3,8 @@
 import random
 
 CLASH = ("id", "hash", "kept", "size", "shard", "slot", "t0", "t1", "rid", "n", "lines", "cuts", "target",
-         "taken", "group", "cluster", "part", "fp", "score", "lang_pred", "pos", "start", "first")
+         "taken", "group", "cluster", "part", "fp", "score", "lang_pred", "pos", "start", "first", "_t0", "_t1",
+         "_found", "_words", "_turns", "_n", "_kept", "_g", "_hot", "_salt")
 SCHEMA = ", ".join(["doc_id long", "text string", "lang string", "source string", "n_chars long",
                     *(f"{c} string" for c in CLASH)])
 
