@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statloom.llm import exact_dedup, language, mixing, packing, simhash
-from statloom.llm.common import keep_rows, read, store
+from statloom.llm.common import free_names, keep_rows, read, store
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,8 +15,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     The model learns from the labelled documents handed in, by the rule of the operator.
     """
     model = language.fit(docs.filter(~language.held_out()))
-    found = docs.withColumn("_found", language.predictor(model)(F.col("text")))
-    return found.filter(F.col("_found.lang") != language.UNKNOWN).select(*docs.columns)
+    name, = free_names(docs, "_found")
+    found = docs.withColumn(name, language.predictor(model)(F.col("text")))
+    return found.filter(F.col(name)["lang"] != language.UNKNOWN).select(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
