@@ -18,6 +18,7 @@ from statloom.llm.common import query, read
 RAW = ("script", "style", "noscript", "template", "textarea", "title", "svg", "iframe", "noframes", "xmp")
 # Raw elements that may close themselves, as in <svg/>.
 SELF_CLOSING = frozenset(("svg", "iframe"))
+RAW_ENDS = {name: re.compile(rf"</{name}(?:[\s/][^>]*)?(?:>|\Z)", re.I) for name in RAW}
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)(?:>|\Z)", re.S)
@@ -155,7 +156,6 @@ def blocks(page: str) -> list[Block]:
     own = [0]
     stack = [0]
     opened: dict[str, int] = {}  # open elements of each name
-    lower = None  # the page in small letters, for ends of raw elements
     endless: set[str] = set()  # raw elements that the rest of the page does not close
     main = 0
     links = heading = False
@@ -185,11 +185,9 @@ def blocks(page: str) -> list[Block]:
         ends, closed = m[1] == "/", m[3].endswith("/")
         if name in RAW:
             if not (ends or closed and name in SELF_CLOSING or name in endless):
-                lower = page.translate(SMALL) if lower is None else lower
-                end = lower.find(f"</{name}", at)
-                if end >= 0:
-                    stop = page.find(">", end)
-                    at = stop + 1 if stop >= 0 else len(page)
+                end = RAW_ENDS[name].search(page, at)
+                if end:
+                    at = end.end()
                 elif name in ("script", "style"):
                     at = len(page)
                 else:
@@ -239,9 +237,6 @@ def blocks(page: str) -> list[Block]:
     return [Block(text, len(text.split()), linked, where[e], head) for text, linked, e, head in found]
 
 
-# Only A to Z, so that places in the page stay the same.
-SMALL = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
-
 FEATURES = (
     "words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after",
     "words_two_before", "link_density_two_before", "words_two_after", "link_density_two_after", "place", "heading")
