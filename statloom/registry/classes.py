@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from statloom.operators.classify import class_metrics, logit_fit, logit_table
 from statloom.operators.monthly import add_monthly_lags
 from statloom.plans.risk import study_risk
-from statloom.registry.base import query, table
+from statloom.registry.base import query, rounded, table
 from statloom.registry.sqltools import significant, significant_sql
 
 LAG_NAMES = ["lag1", "lag12", "mean3", "active3", "mean12", "active12", "gap", "seasonal"]
@@ -34,14 +34,15 @@ LAG_NAMES = ["lag1", "lag12", "mean3", "active3", "mean12", "active12", "gap", "
             CASE WHEN known > 0 THEN coalesce(s12, 0) / least(known, 12) END AS c_mean12,
             coalesce(same, 0) / before AS c_seasonal FROM w)
         SELECT o_orderkey, {", ".join(
-            f'c_{c} AS customer_{c}' if c.startswith(("active", "gap")) else f'{significant_sql(f"c_{c}")} AS customer_{c}'
+            f'c_{c} AS customer_{c}' if c.startswith(("active", "gap")) else f"round(c_{c}, 6) AS customer_{c}"
             for c in LAG_NAMES)}
         FROM orders o LEFT JOIN f ON o.o_custkey = f.o_custkey AND year(o_orderdate) * 12 + month(o_orderdate) - 1 = f.month""",
 )
 def monthly_lags_query(spark, sf):
     """Every order with what its customer did in the months before."""
     made = add_monthly_lags(table(spark, sf, "orders"), "o_orderdate", "o_custkey", "o_totalprice", "customer")
-    return significant(made.select("o_orderkey", *(f"customer_{c}" for c in LAG_NAMES)))
+    # Cents over at most 12 months have fewer than six decimals or no last one, so none is halfway.
+    return rounded(made.select("o_orderkey", *(f"customer_{c}" for c in LAG_NAMES)), 6)
 
 
 # One binary predictor, so that the fit has a closed form: a b / c d are the rows by predictor and class.
