@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statloom.llm.common import store
+from statloom.llm.common import attach_groups, store
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -14,7 +14,8 @@ def components(edges: DataFrame) -> DataFrame:
     ``edges`` has two columns of one type; direction, repeats and loops don't matter. Each
     round replaces a node's larger neighbours' links by links to its smallest neighbour,
     then the same for smaller ones; the number of rounds grows with the logarithm of the
-    longest path. Rounds are stored, so a lost executor costs one round at most.
+    longest path. Rounds are stored, so a lost executor costs one round at most. Links of a
+    hub meet its smallest neighbour where they lie, in no common task.
     """
     a, b = edges.columns
     now = edges.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
@@ -22,11 +23,14 @@ def components(edges: DataFrame) -> DataFrame:
     mark = _checksum(now)
     while True:
         both = now.union(now.select(F.col("b"), F.col("a")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        now = store(small.union(low).distinct(), "links")
+        low = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"), F.count("*").alias("n"))
+        total = 2 * mark[0]
+        met = attach_groups(both, low, ["a"], "n", total)
+        large = met.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        low = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+        met = attach_groups(large, low, ["a"], "n", total)
+        small = met.filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        now = store(small.union(low.select("a", "m")).distinct(), "links")
         before, mark = mark, _checksum(now)
         if mark == before:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
