@@ -21,6 +21,9 @@ UNKNOWN = "und"
 # and less each with over 16 languages.
 SAMPLE_DOCS = 400
 SAMPLE_CHARS = 400
+# Rows whose id has a small md5 are drawn, about DRAWN for each text wanted; a language that
+# they leave short draws WIDER times as many. The sample is the same for any numbers.
+DRAWN, WIDER = 4, 8
 REFERENCE = 24_000
 ALL_REFERENCES = 16 * REFERENCE
 # Long texts are parsed in pieces of this many characters; a phrase ends with its piece.
@@ -53,6 +56,11 @@ def code_points(text: str) -> np.ndarray:
     return points[keep]
 
 
+def _cut(share: float) -> str:
+    """The text below which a share of all md5 sums lie, in hexadecimal digits."""
+    return f"{int(share * 16**12):012x}" if share < 1.0 else "g"
+
+
 def fit(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text",
         id_col: str = "doc_id") -> Model:
     """Collect the bounded sample of each language: the distinct texts with the smallest md5 of the id."""
@@ -60,16 +68,26 @@ def fit(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text",
     h0, h1 = text_hash(F.col(text_col))
     # Equal texts have equal excerpts.
     start = F.pmod(h0, F.greatest(F.lit(1), F.length(text_col) - SAMPLE_CHARS + 1)).cast("int") + 1
-    rows = rows.select(F.col(lang_col).alias("lang"), h0.alias("h0"), h1.alias("h1"),
-                       F.substring(F.col(text_col), start, F.lit(SAMPLE_CHARS)).alias("text"),
-                       F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")).alias("o"))
-    rows = rows.groupBy("lang", "h0", "h1").agg(F.min(F.struct("o", "text")).alias("r"))
-    rows = rows.select("lang", "r.o", "r.text")
+    order = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
+    counts = labelled.filter(F.col(lang_col).isNotNull()).groupBy(F.col(lang_col).alias("lang")).count()
+    shares = {r["lang"]: min(1.0, DRAWN * SAMPLE_DOCS / r["count"]) for r in counts.collect()}
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("o", "text"))
-    sample = rows.withColumn("rank", rank).filter(F.col("rank") <= SAMPLE_DOCS)
     texts: dict[str, list[str]] = {}
-    for r in sorted(sample.collect(), key=lambda r: (r["lang"], r["rank"])):
-        texts.setdefault(r["lang"], []).append(r["text"])
+    while shares:
+        # Of a text, the copy with the smallest md5 decides, so a cut by md5 changes no ranks below it.
+        cuts = F.create_map(*(F.lit(v) for lang, s in shares.items() for v in (lang, _cut(s))))
+        drawn = rows.filter(order < cuts[F.col(lang_col)])
+        drawn = drawn.select(F.col(lang_col).alias("lang"), h0.alias("h0"), h1.alias("h1"), order.alias("o"),
+                             F.substring(F.col(text_col), start, F.lit(SAMPLE_CHARS)).alias("text"))
+        drawn = drawn.groupBy("lang", "h0", "h1").agg(F.min(F.struct("o", "text")).alias("r"))
+        drawn = drawn.select("lang", "r.o", "r.text")
+        sample = drawn.withColumn("rank", rank).filter(F.col("rank") <= SAMPLE_DOCS)
+        found: dict[str, list[str]] = {}
+        for r in sorted(sample.collect(), key=lambda r: (r["lang"], r["rank"])):
+            found.setdefault(r["lang"], []).append(r["text"])
+        full = {lang for lang, s in shares.items() if s == 1.0 or len(found.get(lang, ())) == SAMPLE_DOCS}
+        texts.update((lang, found[lang]) for lang in full if lang in found)
+        shares = {lang: min(1.0, s * WIDER) for lang, s in shares.items() if lang not in full}
     size = min(REFERENCE, ALL_REFERENCES // max(1, len(texts)))
     clean = {lang: "".join(map(chr, code_points(" ".join(t)).tolist()))[:size] for lang, t in texts.items()}
     clean = {lang: t for lang, t in sorted(clean.items()) if t.strip()}
