@@ -21,16 +21,19 @@ LIST_ROWS = 128
 LIST_SAMPLE = 4
 # Lists a vector is put in, and how much farther than the nearest centroid they may be.
 REPLICAS, BUILD_RATIO = 8, 1.2
-# Lists a query looks into at least: by distance ratio, within this number.
-PROBES, PROBE_RATIO = 80, 1.5
-# It looks into as many more as it takes for this share of the true neighbours of a sample of
-# so many queries.
+# A query looks into all lists up to this many times as far as its nearest one at least, and
+# farther where a sample of so many queries needs it for this share of their true neighbours.
+PROBE_RATIO = 1.1
 RECALL, CALIBRATION = 0.95, 512
+# Lists that a walk over the graph keeps at first; it keeps twice as many until the ratio ends it.
+WALK = 64
 # Neighbours in the graph, and candidates a search for a vector's own lists keeps.
 DEGREE, BEAM = 24, 16
 # Vectors of a list that one task compares; distances or scores held at a time, about.
 CHUNK_ROWS = 4_096
 CELLS = 4_000_000
+# Distances below this count as it where a ratio is taken.
+TINY = 1e-9
 
 
 class Index(NamedTuple):
@@ -174,12 +177,6 @@ def _post(index: Index):
     return run
 
 
-def all_distances(index: Index, vectors: np.ndarray) -> np.ndarray:
-    """Squared distance of each vector to every centroid."""
-    norms, own = (index.centroids**2).sum(axis=1), (vectors**2).sum(axis=1)[:, None]
-    return np.maximum(0, norms - 2 * vectors @ index.centroids.T + own)
-
-
 def _lift_queries(vectors: np.ndarray) -> np.ndarray:
     return np.hstack([vectors, np.zeros((len(vectors), 1))])
 
@@ -210,15 +207,15 @@ def _exact(vectors: np.ndarray, own: np.ndarray, top: int):
     return run
 
 
-def calibrate(index: Index, distinct: DataFrame, posted: DataFrame, asked: DataFrame, top: int) -> int:
-    """How many of the nearest lists hold RECALL of the true neighbours of a sample of the queries.
+def calibrate(index: Index, distinct: DataFrame, posted: DataFrame, asked: DataFrame, top: int) -> float:
+    """How many times as far as its nearest list a query must look for RECALL of its true neighbours.
 
     The sample are the CALIBRATION distinct queries of the smallest hash; their neighbours
     come from one pass that compares them with every vector.
     """
     rows = asked.orderBy("h1", "h0").select("h0", "h1", "vec").limit(CALIBRATION).collect()
     if not rows:
-        return 0
+        return 1.0
     vectors = np.array([r["vec"] for r in rows], np.float64)
     own = np.array([(r["h0"], r["h1"]) for r in rows], np.int64)
     best = Window.partitionBy("place").orderBy(F.desc("score"), "h0", "h1")
@@ -232,40 +229,47 @@ def calibrate(index: Index, distinct: DataFrame, posted: DataFrame, asked: DataF
         held.setdefault(r["place"], {}).setdefault((r["h0"], r["h1"]), []).append(r["list"])
     needed = []
     for place, lists in held.items():
-        d = all_distances(index, _lift_queries(vectors[place:place + 1]))[0]
-        rank = np.empty(len(d), np.int64)
-        rank[np.argsort(d, kind="stable")] = np.arange(1, len(d) + 1)
-        needed += [int(rank[of].min()) for of in lists.values()]
-    return sorted(needed)[int(np.ceil(RECALL * len(needed))) - 1] if needed else 0
+        d = np.sqrt(((index.centroids - _lift_queries(vectors[place:place + 1])) ** 2).sum(axis=1))
+        needed += [float(d[of].min() / max(d.min(), TINY)) for of in lists.values()]
+    return sorted(needed)[int(np.ceil(RECALL * len(needed))) - 1] if needed else 1.0
 
 
-def _probe(index: Index, top: int, probes: int):
-    """Each query with the lists it looks into: the ``probes`` nearest, others near enough by
-    ratio, and never too few vectors."""
-    enough = REPLICAS * (top + 1)
-    keep = max(PROBES, probes)
-    step = max(1, min(CHUNK_ROWS, CELLS // len(index.centroids), 32 * CHUNK_ROWS // keep))
+def lists_within(index: Index, vectors: np.ndarray, ratio: float, enough: int
+                 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows of ``vectors``, lists): all that the graph finds up to ``ratio`` times as far as the
+    nearest one, and lists beyond until ``enough`` vectors are held.
 
-    def nearest_lists(lifted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if keep == PROBES:
-            return search_graph(index, lifted, keep)
-        # A walk opens one list at a time; for more lists all distances are cheaper.
-        d = all_distances(index, lifted)
-        ids = np.argsort(d, axis=1, kind="stable")[:, :keep]
-        return ids, np.take_along_axis(d, ids, 1)
+    A walk whose last list still passes is repeated with twice as many.
+    """
+    rows, keep, count = np.arange(len(vectors)), min(WALK, len(index.centroids)), len(index.centroids)
+    while len(rows):
+        again = []
+        step = max(1, CELLS // (keep * vectors.shape[1]))
+        for at in range(0, len(rows), step):
+            part = rows[at:at + step]
+            ids, dist = search_graph(index, vectors[part], keep)
+            held = np.where(ids >= 0, index.sizes[ids], 0)
+            before = np.cumsum(held, axis=1) - held
+            use = (dist <= ratio**2 * np.maximum(dist[:, :1], TINY**2)) | (before < enough)
+            use &= ids >= 0
+            ended = ~use[:, -1] if keep < count else np.ones(len(part), bool)
+            again.append(part[~ended])
+            places, columns = np.nonzero(use & ended[:, None])
+            yield part[places], ids[places, columns]
+        rows, keep = np.concatenate(again), min(2 * keep, count)
+
+
+def _probe(index: Index, top: int, ratio: float):
+    """Each query with the lists it looks into."""
+    enough = REPLICAS * (top + 1)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at in range(0, len(batch), step):
-                part = batch.iloc[at:at + step]
-                ids, dist = nearest_lists(_lift_queries(_stack(part["vec"])))
-                held = np.where(ids >= 0, index.sizes[ids], 0)
-                before = np.cumsum(held, axis=1) - held
-                place = np.arange(ids.shape[1])
-                near = (dist <= PROBE_RATIO**2 * dist[:, :1]) & (place < PROBES)
-                use = (ids >= 0) & (near | (place < probes) | (before < enough))
-                rows, columns = np.nonzero(use)
-                yield part.iloc[rows].assign(list=ids[rows, columns])
+            for at in range(0, len(batch), CHUNK_ROWS):
+                part = batch.iloc[at:at + CHUNK_ROWS]
+                lifted = _lift_queries(_stack(part["vec"]))
+                for rows, lists in lists_within(index, lifted, ratio, enough):
+                    yield part.iloc[rows].assign(list=lists)
 
     return run
 
@@ -307,8 +311,8 @@ def nearest(table: DataFrame, is_query: Column, top: int = TOP, id_col: str = "v
 
     Equal vectors are indexed once, with their top + 1 smallest ids: no more can be among
     the nearest. Every distinct vector goes to its nearest list and to lists about as near;
-    a query looks into the lists that pass the distance ratio, and into as many of the nearest
-    as a sample of the queries needs for RECALL of its true neighbours. Scores are inner
+    a query looks into all lists that pass a distance ratio, which is as wide as a sample of
+    the queries needs for RECALL of its true neighbours. Scores are inner
     products of the original vectors in double precision; ties go to the smaller id. Returns
     query_id, rank (from 1), vec_id and score.
 
@@ -347,9 +351,11 @@ def nearest(table: DataFrame, is_query: Column, top: int = TOP, id_col: str = "v
         index.sizes[r["list"]] = r["count"]
     asked = rows.filter("asks").groupBy(*keys).agg(F.first("vec").alias("vec"), F.count("*").alias("n"))
     asked = store(asked, "distinct-queries")
-    probes = calibrate(index, distinct, posted, asked, top)
-    probes = asked.select(*keys, "vec").mapInPandas(
-        _probe(index, top, probes), f"h0 long, h1 long, vec array<{kept}>, list int")
+    ratio = max(PROBE_RATIO, calibrate(index, distinct, posted, asked, top))
+    # Few rows, each with much work: dealt over all tasks.
+    tasks = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    probes = asked.select(*keys, "vec").repartition(tasks, *keys).mapInPandas(
+        _probe(index, top, ratio), f"h0 long, h1 long, vec array<{kept}>, list int")
 
     # A list is cut into parts of CHUNK_ROWS; a query goes to all parts.
     parts = F.element_at(F.lit(np.maximum(1, -(-index.sizes // CHUNK_ROWS)).tolist()), F.col("list") + 1)

@@ -271,11 +271,12 @@ def test_recall_of_lists(spark, monkeypatch):
 
 
 def test_lists_grow_until_recall(spark, monkeypatch):
-    """Where the least number of lists is too small, a sample of the queries raises it."""
+    """Where the least ratio is too small, a sample of the queries raises it; walks go on as far."""
     x = np.random.default_rng(6).normal(size=(4000, 24))
     table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
     monkeypatch.setattr(ann, "LIST_ROWS", 20)
-    monkeypatch.setattr(ann, "PROBES", 4)
+    monkeypatch.setattr(ann, "PROBE_RATIO", 1.0)
+    monkeypatch.setattr(ann, "WALK", 4)
     monkeypatch.setattr(ann, "REPLICAS", 2)
     got = answers(ann.nearest(table, ann.F.col("vec_id") % 20 == 0))
     want = brute(list(range(4000)), x, list(range(0, 4000, 20)), 20)
