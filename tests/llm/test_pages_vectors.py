@@ -200,6 +200,18 @@ def test_shared_openings_and_copies_do_not_fill_the_sample(spark):
     assert text.count("copy") * 5 <= language.SAMPLE_CHARS
 
 
+def test_the_sample_does_not_depend_on_how_many_rows_are_drawn(spark, monkeypatch):
+    rows = [(i, "xy"[i % 2], f"text {'abcdefghij'[i % 10]} {'klmnopqrst'[i // 10 % 10] * 9}") for i in range(600)]
+    docs = spark.createDataFrame([*rows, (None, "x", "no id"), (1, None, "none"), (2, "z", None)],
+                                 "doc_id long, lang string, text string")
+    monkeypatch.setattr(language, "SAMPLE_DOCS", 30)
+    models = []
+    for drawn in (0.5, 1000):
+        monkeypatch.setattr(language, "DRAWN", drawn)
+        models.append(language.fit(docs))
+    assert models[0] == models[1] and models[0].languages == ("x", "y")
+
+
 def test_language_of_odd_rows(odd, none):
     model = language.fit(odd)
     got = language.identify(odd, model)
