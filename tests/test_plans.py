@@ -132,6 +132,15 @@ def test_sliced_features_agree(spark, folder, features):
     assert features.agg(*digits).first() == again.agg(*digits).first()
 
 
+@pytest.mark.parametrize("limit", [10**6, 20])
+def test_ranks_alone_need_the_commitments_only(spark, folder, features, limit):
+    sources = payroll.read_sources(spark, folder)
+    got = payroll.payment_ranks(sources["commitments"], ["cnpjCpfCredor", payroll.TARGET], limit)
+    assert got.columns == ["cnpjCpfCredor", payroll.TARGET, "rank_pago_orgao_ano"]
+    rows = lambda df: sorted(map(tuple, df.select(*got.columns).collect()), key=repr)
+    assert rows(got) == rows(features)
+
+
 def test_selection(features, tmp_path):
     names = payroll.candidates(features)
     result = select_features(features, names, threshold=0.3, collinear_above=0.85)
