@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from statloom.operators.keyed import attach, hot_hashes, key_hash, left_join
 from statloom.operators.ordering import (
+    counted_median,
     counted_quantiles,
     grouped_stats,
     percent_rank_average,
@@ -155,3 +156,10 @@ def test_quantiles_skip_nan_both_ways(spark):
     small, big = (grouped_stats(table, "v", [F.count("v").alias("n")], {"m": 0.5}, ["g"], n).first()
                   for n in (100, 1))
     assert small == big == (1, 3, 2.0)
+
+
+def test_counted_median_weighs_ties(frame):
+    rows = [("a", 1.0, 1), ("a", 2.0, 1), ("a", 9.0, 2), ("b", 5.0, 3), ("b", 7.0, 1), ("c", 4.0, 1)]
+    got = counted_median(frame(rows, "k string, v double, n long"), "v", "n", ["k"]).collect()
+    want = {"a": np.median([1, 2, 9, 9]), "b": np.median([5, 5, 5, 7]), "c": 4.0}
+    assert dict(map(tuple, got)) == want

@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from statloom.operators import encode
 from statloom.operators.associate import (
     collinear_pairs,
     corr_all_numeric,
@@ -33,6 +34,32 @@ def values(frame, xs):
 # --- encodings and windows ---
 
 
+@pytest.mark.parametrize("limit, one_pass", [(10**6, 0), (10, 0), (10**6, 10**6)])
+def test_encodings_are_the_same_every_way(spark, tmp_path, monkeypatch, limit, one_pass):
+    """Medians by group, by counted values and over all tasks; tables broadcast and shuffled."""
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame({"i": range(600), "a": rng.choice(["x", "y", None], 600), "b": rng.integers(0, 300, 600).astype(float),
+                        "t": rng.choice([1.5, 2.0, 7.25, np.nan, *range(40)], 600), "unused": "u"})
+    spark.createDataFrame(pdf).write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    df = df.withColumn("salt", (F.col("i") % 256).cast("int"))
+    df.write.parquet(str(tmp_path / "salted"))
+    df = spark.read.parquet(str(tmp_path / "salted"))
+    monkeypatch.setattr(encode, "ONE_PASS_ROWS", one_pass)
+    monkeypatch.setattr(encode, "BROADCAST_BYTES", 2_000)
+    sets = {"wide": ["a"], "fine": ["b"], "both": ["a", "b"]}
+    got = encode.stat_encode(df, sets, "t", limit, salt=F.col("salt"))
+    narrow = got.select("i", "fine_median")
+    # A join that shuffles reads the columns that are asked for, not all of the rows.
+    assert "unused" not in narrow._jdf.queryExecution().executedPlan().toString()
+    got = got.orderBy("i").toPandas()
+    for prefix, keys in sets.items():
+        want = pdf.groupby(keys)["t"].agg(["mean", "median", "std", "max", "count"]).reset_index()
+        want = pdf.merge(want, on=keys, how="left")
+        for s in ("mean", "median", "std", "max", "count"):
+            np.testing.assert_allclose(got[f"{prefix}_{s}"].astype(float), want[s], rtol=1e-12, err_msg=f"{prefix}_{s}")
+
+
 @pytest.mark.parametrize("limit", [10**6, 4])
 def test_stat_encode(frame, limit):
     rows = [("a", "x", 1.0), ("a", "x", 3.0), ("a", "y", 8.0), ("b", "x", 5.0), (None, "x", 9.0),
