@@ -92,8 +92,9 @@ def _to_bins(cuts: Sequence[Sequence[float]]):
             for i, e in enumerate(edges):
                 v = batch.column(2 + i).to_numpy(zero_copy_only=False).astype(float)
                 x[:, i] = np.where(np.isnan(v), 0, np.searchsorted(e, v, side="left") + 1)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([r.tobytes() for r in x], pa.binary())], names=["seed", "y", "bins"])
+            ends = np.arange(batch.num_rows + 1, dtype=np.int32) * len(edges)
+            packed = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(x.tobytes())])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), packed], names=["seed", "y", "bins"])
 
     return run
 
@@ -111,16 +112,23 @@ def binned(df: DataFrame, target: str, features: Sequence[str], key: Sequence[st
 # --- what a task does --------------------------------------------------------------
 
 
+def _routed(tree: Tree, x: np.ndarray, ends: Sequence, node: int = 0):
+    """What ``ends`` holds for the leaf of every row; whole columns are compared, no row is looked up."""
+    f = tree.feature[node]
+    if f < 0:
+        return ends[node]
+    left, right = (_routed(tree, x, ends, n) for n in (tree.left[node], tree.right[node]))
+    return np.where(x[:, f] <= tree.bin[node], left, right)
+
+
 def walk(tree: Tree, x: np.ndarray) -> np.ndarray:
     """The leaf of every row."""
-    feature, bins, left, right = (np.array(c) for c in (tree.feature, tree.bin, tree.left, tree.right))
-    node = np.zeros(len(x), np.int64)
-    while True:
-        at = np.flatnonzero(feature[node] >= 0)
-        if not len(at):
-            return node
-        here = node[at]
-        node[at] = np.where(x[at, feature[here]] <= bins[here], left[here], right[here])
+    return np.broadcast_to(_routed(tree, x, np.arange(len(tree.feature), dtype=np.int32)), len(x))
+
+
+def walked_values(tree: Tree, x: np.ndarray) -> np.ndarray:
+    """The value of every row's leaf."""
+    return np.broadcast_to(_routed(tree, x, np.array(tree.value)), len(x))
 
 
 def bootstrap(seed: np.ndarray, tree: int, salt: int) -> np.ndarray:
@@ -136,42 +144,53 @@ def bootstrap(seed: np.ndarray, tree: int, salt: int) -> np.ndarray:
 
 def _columns(batch: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     seed, y = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("seed", "y"))
-    x = np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(batch.num_rows, width)
-    return seed, y, x
+    bins = batch.column("bins")  # all of one length, so they lie in one buffer without gaps
+    _, ends, data = bins.buffers()
+    start = np.frombuffer(ends, np.int32)[bins.offset] if len(bins) else 0
+    x = np.frombuffer(data, np.uint8, batch.num_rows * width, start) if width and len(bins) else np.zeros(0, np.uint8)
+    return seed, y, np.asfortranarray(x.reshape(batch.num_rows, width))
 
 
 def _histograms(ready: Sequence[Tree], growing: dict[int, Tree], open_: dict[tuple[int, int], list[int]],
                 base: float, rate: float, unit: float, width: int, salt: int | None):
     """Rows and targets per open node, wanted feature and bin; of boosting the targets are residuals."""
 
+    # Per tree and feature the nodes that want it, which are summed together.
+    nodes: dict[tuple[int, int], list[int]] = {}
+    for (owner, node), features in open_.items():
+        for f in features:
+            nodes.setdefault((owner, f), []).append(node)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[tuple[int, int, int], np.ndarray] = {}
+        sums = {key: np.zeros((2, 256 * len(at)), np.int64) for key, at in nodes.items()}
         for batch in batches:
             seed, y, x = _columns(batch, width)
             rest = y - base
             for t in ready:
-                rest = rest - rate * np.array(t.value)[walk(t, x)]
+                rest = rest - rate * walked_values(t, x)
             g = np.rint(rest / unit)
             for number, tree in growing.items():
-                leaf = walk(tree, x)
                 times = None if salt is None else bootstrap(seed, number, salt)
-                for (owner, node), features in open_.items():
+                drawn = slice(None) if times is None else np.flatnonzero(times)
+                leaf, w = walk(tree, x)[drawn], None if times is None else times[drawn].astype(float)
+                wg = g if w is None else w * g[drawn]
+                for (owner, f), wanted in nodes.items():
                     if owner != number:
                         continue
-                    at = np.flatnonzero((leaf == node) if times is None else (leaf == node) & (times > 0))
-                    w = np.ones(len(at)) if times is None else times[at].astype(float)
-                    for f in features:
-                        counts = np.stack([np.bincount(x[at, f], w, 256), np.bincount(x[at, f], w * g[at], 256)]).astype(np.int64)
-                        key = (number, node, f)
-                        sums[key] = sums[key] + counts if key in sums else counts
-        if sums:
-            keys = np.repeat(np.array(list(sums)), 256, axis=0)
-            table = np.concatenate([c.T for c in sums.values()])
-            bins = np.tile(np.arange(256), len(sums))
-            seen = table[:, 0] > 0
+                    # Nodes that do not want the feature share a last place, which is left out.
+                    place = np.full(len(tree.feature), len(wanted))
+                    place[wanted] = np.arange(len(wanted))
+                    cell, cells = place[leaf] * 256 + x[drawn, f], 256 * len(wanted)
+                    counts = [np.bincount(cell, v, cells)[:cells].astype(np.int64) for v in (w, wg)]
+                    sums[owner, f] += np.stack(counts)
+        keys = np.array([(owner, node, f) for (owner, f), wanted in nodes.items() for node in wanted]).reshape(-1, 3)
+        table = np.hstack(list(sums.values())) if sums else np.zeros((2, 0), np.int64)
+        seen = table[0] > 0
+        if seen.any():
+            keys, bins = np.repeat(keys, 256, axis=0)[seen], np.tile(np.arange(256), len(keys))[seen]
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array(keys[seen, i].astype(np.int32)) for i in range(3)), pa.array(bins[seen].astype(np.int32)),
-                 *(pa.array(table[seen, i]) for i in range(2))], names=["tree", "node", "feature", "bin", "n", "g"])
+                [*(pa.array(keys[:, i].astype(np.int32)) for i in range(3)), pa.array(bins.astype(np.int32)),
+                 *(pa.array(c[seen]) for c in table)], names=["tree", "node", "feature", "bin", "n", "g"])
 
     return run
 
@@ -340,7 +359,7 @@ def _out_of_bag(trees: Sequence[Tree], base: float, width: int, salt: int):
             total, votes = np.zeros(len(y)), np.zeros(len(y))
             for number, tree in enumerate(trees):
                 out = bootstrap(seed, number, salt) == 0
-                total[out] += np.array(tree.value)[walk(tree, x[out])]
+                total[out] += walked_values(tree, x[out])
                 votes += out
             told = votes > 0
             p = base + total[told] / votes[told]

@@ -4,11 +4,12 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from statloom.operators.trees import (
-    UNIT_BITS, boost, bootstrap, forest, importance, out_of_bag, predict_trees, quantile_cuts,
+    Tree, _columns, UNIT_BITS, walk, walked_values, boost, bootstrap, forest, importance, out_of_bag, predict_trees, quantile_cuts,
 )
 
 FEATURES = ["a", "b", "c d", "still"]
@@ -147,3 +148,27 @@ def test_trees_of_awkward_tables(spark):
     assert {r["predicted"] for r in predict_trees(same, model).collect()} == {7.0}
     with pytest.raises(ValueError, match="one byte"):
         quantile_cuts(same, FEATURES, 300)
+
+
+def test_whole_columns_find_the_leaves_that_single_rows_find():
+    x = np.random.default_rng(5).integers(0, 6, (200, 3)).astype(np.uint8)
+    tree = Tree()
+    left, right = tree.split(0, 1, 2, 1.0, [(1.0, 1), (2.0, 1)])
+    tree.split(right, 0, 0, 1.0, [(3.0, 1), (4.0, 1)])
+    tree.split(left, 2, 4, 1.0, [(5.0, 1), (6.0, 1)])
+
+    def leaf(row, node=0):
+        if tree.feature[node] < 0:
+            return node
+        return leaf(row, (tree.left if row[tree.feature[node]] <= tree.bin[node] else tree.right)[node])
+
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(200)), pa.array([0.0] * 200), pa.array([r.tobytes() for r in x], pa.binary())], names=["seed", "y", "bins"])
+    cut = batch.slice(50, 100)  # a part of a buffer
+    read = _columns(cut, 3)[2]
+    assert (read == x[50:150]).all()
+    want = [leaf(r) for r in x[50:150]]
+    assert walk(tree, read).tolist() == want
+    assert walked_values(tree, read).tolist() == [tree.value[n] for n in want]
+    assert walk(Tree(), read).tolist() == [0] * 100
+    assert len(_columns(batch.slice(0, 0), 3)[2]) == 0
