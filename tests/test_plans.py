@@ -1,6 +1,7 @@
 """The composite studies on small hand-made inputs."""
 
 import json
+import os
 
 import numpy as np
 import pandas as pd
@@ -141,6 +142,30 @@ def test_ranks_alone_need_the_commitments_only(spark, folder, features, limit):
     assert rows(got) == rows(features)
 
 
+@pytest.mark.parametrize("limit", [10**6, 20])
+def test_some_encodings_need_the_commitments_only(spark, folder, features, limit):
+    commitments = payroll.read_sources(spark, folder)["commitments"]
+    wanted = ["te_orgEle_mean", "te_orgEle_median", "te_despesaDot_mean", "te_uniEle_median"]
+    got = payroll.payment_encodings(commitments, ["cnpjCpfCredor", payroll.TARGET], wanted, limit)
+    assert got.columns == ["cnpjCpfCredor", payroll.TARGET, payroll.LOG_TARGET, *wanted]
+    near = [F.round(c, 9).alias(c) if c.endswith("mean") else c for c in got.columns]
+    rows = lambda df: sorted(map(tuple, df.select(*near).collect()), key=repr)
+    assert rows(got) == rows(features)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="test data not present")
+def test_the_regression_reads_only_what_it_uses(spark, monkeypatch):
+    from statloom.registry import studies
+
+    def unused(*_, **__):
+        raise AssertionError("no predictor comes from this table")
+
+    for name in ("programs", "positions", "advances", "features"):
+        monkeypatch.setattr(studies, name, unused)
+    folder = "/root/testdata/sf0.001"
+    assert studies.payroll_ols_coefficients(spark, folder).count() == 19
+
+
 def test_selection(features, tmp_path):
     names = payroll.candidates(features)
     result = select_features(features, names, threshold=0.3, collinear_above=0.85)
