@@ -29,6 +29,8 @@ RECALL, CALIBRATION = 0.95, 512
 WALK = 64
 # Neighbours in the graph, and candidates a search for a vector's own lists keeps.
 DEGREE, BEAM = 24, 16
+# Queries that a task holds at a time, at most about.
+QUERY_ROWS = 50_000
 # Vectors of a list that one task compares; distances or scores held at a time, about.
 CHUNK_ROWS = 4_096
 CELLS = 4_000_000
@@ -259,9 +261,19 @@ def lists_within(index: Index, vectors: np.ndarray, ratio: float, enough: int
         rows, keep = np.concatenate(again), min(2 * keep, count)
 
 
-def _probe(index: Index, top: int, ratio: float):
-    """Each query with the lists it looks into."""
+def _deal(index: Index) -> tuple[np.ndarray, np.ndarray]:
+    """Parts that each list is cut into, and the number of its first part among all parts.
+
+    A part has about CHUNK_ROWS vectors; parts are dealt over the tasks in turn.
+    """
+    parts = np.maximum(1, -(-index.sizes // CHUNK_ROWS))
+    return parts, np.cumsum(parts) - parts
+
+
+def _probe(index: Index, top: int, ratio: float, tasks: int):
+    """Each query once per task, with the lists there that it looks into."""
     enough = REPLICAS * (top + 1)
+    parts, first = _deal(index)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -269,42 +281,158 @@ def _probe(index: Index, top: int, ratio: float):
                 part = batch.iloc[at:at + CHUNK_ROWS]
                 lifted = _lift_queries(_stack(part["vec"]))
                 for rows, lists in lists_within(index, lifted, ratio, enough):
-                    yield part.iloc[rows].assign(list=lists)
+                    if not len(rows):
+                        continue
+                    n = np.minimum(parts[lists], tasks)  # the tasks that hold a part of a list
+                    turn = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                    row, held = np.repeat(rows, n), np.repeat(lists, n)
+                    task = (first[held] + turn) % tasks
+                    order = np.lexsort((held, task, row))
+                    row, held, task = row[order], held[order], task[order]
+                    starts = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (task[1:] != task[:-1])])
+                    yield part.iloc[row[starts]].assign(
+                        task=task[starts], lists=pd.Series(np.split(held, starts[1:])).to_numpy())
 
     return run
 
 
+class _Best:
+    """The best vectors of each query among those of one task, which pass by list by list.
+
+    A task holds its queries, ``top`` vectors for each of them and a few more, but never
+    all of its vectors.
+    """
+
+    def __init__(self, top: int):
+        self.top, self.asked, self.found, self.waiting, self.pending = top, [], None, [], 0
+
+    def ask(self, queries: pd.DataFrame) -> None:
+        self.asked.append(queries)
+
+    def _start(self) -> None:
+        queries = pd.concat(self.asked) if self.asked else None
+        n = 0 if queries is None else len(queries)
+        if n:
+            self.keys, self.vectors = queries[["h0", "h1"]].to_numpy(np.int64), _stack(queries["vec"])
+            sizes = queries["lists"].map(len).to_numpy()
+            lists, rows = np.concatenate(queries["lists"].to_numpy()), np.repeat(np.arange(n), sizes)
+            order = np.argsort(lists, kind="stable")
+            self.lists, self.rows = lists[order], rows[order]
+        else:
+            self.lists = self.rows = np.empty(0, np.int64)
+        self.least = np.full(n, -np.inf)
+        none = np.empty(0, np.int64)
+        # Query, score, smallest id, both hashes and all ids of a candidate.
+        self.found = [none, np.empty(0), none, none, none, np.empty(0, object)]
+
+    def look(self, number: int, posted: pd.DataFrame) -> None:
+        """Compare vectors of one list with the queries that look into it."""
+        if self.found is None:
+            self._start()
+        rows = self.rows[np.searchsorted(self.lists, number):np.searchsorted(self.lists, number, "right")]
+        if not len(rows):
+            return
+        low = np.array([ids[0] for ids in posted["ids"]], np.int64)
+        h0, h1 = posted["h0"].to_numpy(np.int64), posted["h1"].to_numpy(np.int64)
+        # In the order of ties.
+        order = np.lexsort((h1, h0, low))
+        low, h0, h1, ids = low[order], h0[order], h1[order], posted["ids"].to_numpy()[order]
+        vectors = _stack(posted["vec"])[order].T
+        step = max(1, CELLS // len(order))
+        for at in range(0, len(rows), step):
+            some = rows[at:at + step]
+            scores = self.vectors[some] @ vectors
+            edge = self.least[some]
+            if len(order) > self.top:
+                edge = np.maximum(edge, np.partition(scores, -self.top, axis=1)[:, -self.top])
+            use = scores >= edge[:, None]
+            many = np.flatnonzero(use.sum(axis=1) > self.top)
+            if len(many):  # of equal ones at the edge the first
+                above = scores[many] > edge[many, None]
+                equal = use[many] & ~above
+                room = self.top - above.sum(axis=1)
+                use[many] = above | (equal & (np.cumsum(equal, axis=1) <= room[:, None]))
+            q, p = np.nonzero(use)
+            self.waiting.append([some[q], scores[q, p], low[p], h0[p], h1[p], ids[p]])
+            self.pending += len(q)
+            if self.pending > max(CELLS // 16, len(self.found[0])):
+                self._settle()
+
+    def _settle(self) -> None:
+        """Keep the ``top`` best of what was found so far."""
+        q, score, low, h0, h1, ids = (np.concatenate(c) for c in zip(self.found, *self.waiting))
+        self.waiting, self.pending = [], 0
+        # A vector in several lists is found several times, with scores that may differ in the last bit.
+        order = np.lexsort((-score, h1, h0, q))
+        again = np.zeros(len(order), bool)
+        again[1:] = np.all([c[order][1:] == c[order][:-1] for c in (q, h0, h1)], axis=0)
+        order = order[~again]
+        order = order[np.lexsort((h1[order], h0[order], low[order], -score[order], q[order]))]
+        rank = np.arange(len(order)) - np.searchsorted(q[order], q[order])
+        last = order[rank == self.top - 1]
+        self.least[q[last]] = score[last]
+        order = order[rank < self.top]
+        self.found = [c[order] for c in (q, score, low, h0, h1, ids)]
+
+    def result(self) -> Iterator[pd.DataFrame]:
+        if self.found is None:
+            return
+        if self.waiting:
+            self._settle()
+        q, score, _, h0, h1, ids = self.found
+        for at in range(0, len(q), CELLS // 16):
+            part = slice(at, at + CELLS // 16)
+            yield pd.DataFrame({"q0": self.keys[q[part], 0], "q1": self.keys[q[part], 1], "h0": h0[part],
+                                "h1": h1[part], "score": score[part], "ids": ids[part]})
+
+
 def _score(top: int):
-    """Of one part of a list the best vectors for each query that looks into it."""
-
-    def run(posted: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        if not len(posted) or not len(queries):
-            return pd.DataFrame({c: pd.Series([], dtype=object) for c in ("q0", "q1", "h0", "h1", "score", "ids")})
-        # Identical rows in one order, whatever order the shuffle brought.
-        posted = posted.sort_values(["h0", "h1"], kind="stable")
-        vectors, asked = _stack(posted["vec"]).T, _stack(queries["vec"])
-        low = np.array([ids[0] for ids in posted["ids"]])
-        rows, columns, found = [], [], []
-        step = max(1, CELLS // len(posted))
-        for at in range(0, len(asked), step):
-            for i, row in enumerate(asked[at:at + step] @ vectors, at):
-                place = np.arange(len(row))
-                if len(row) > top:
-                    edge = np.partition(row, len(row) - top)[len(row) - top]
-                    place = np.flatnonzero(row >= edge)
-                    if len(place) > top:
-                        place = place[np.lexsort((low[place], -row[place]))[:top]]
-                rows += [i] * len(place)
-                columns += place.tolist()
-                found += row[place].tolist()
-        q, p = queries.iloc[rows], posted.iloc[columns]
-        return pd.DataFrame({"q0": q["h0"].to_numpy(), "q1": q["h1"].to_numpy(), "h0": p["h0"].to_numpy(),
-                             "h1": p["h1"].to_numpy(), "score": found,
-                             "ids": p["ids"].tolist()})
+    """The best vectors for each query of a block and task, whose rows come in one piece: its
+    queries first, then its vectors by list."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, best = None, None
+        for batch in batches:
+            for key, part in batch.groupby(["block", "task", "list"], sort=True):
+                if key[:2] != current:
+                    if best is not None:
+                        yield from best.result()
+                    current, best = key[:2], _Best(top)
+                if key[2] < 0:
+                    best.ask(part)
+                else:
+                    best.look(key[2], part)
+        if best is not None:
+            yield from best.result()
 
     return run
 
 
+def compare(index: Index, posted: DataFrame, asked: DataFrame, n_asked: int, ratio: float, top: int) -> DataFrame:
+    """The ``top`` best vectors per query and task (q0, q1, h0, h1, score, ids) among the lists it looks into.
+
+    There are as many tasks as shuffle partitions, whatever the number of lists, so the rows
+    made grow with the queries alone. Queries beyond QUERY_ROWS come in blocks, each of
+    which meets a copy of the lists.
+    """
+    spark = posted.sparkSession
+    tasks, blocks = int(spark.conf.get("spark.sql.shuffle.partitions")), max(1, -(-n_asked // QUERY_ROWS))
+    keys = ["h0", "h1"]
+    vec, ids = (posted.schema[c].dataType.simpleString() for c in ("vec", "ids"))
+    # Few rows, each with much work: dealt over all tasks.
+    probes = asked.select(*keys, "vec").repartition(tasks, *keys).mapInPandas(
+        _probe(index, top, ratio, tasks), f"h0 long, h1 long, vec {vec}, task int, lists array<int>")
+    probes = probes.select(F.pmod("h1", F.lit(blocks)).cast("int").alias("block"), "task", F.lit(-1).alias("list"),
+                           *keys, "vec", F.lit(None).cast(ids).alias("ids"), "lists")
+    parts, first = (F.element_at(F.lit(a.tolist()), F.col("list") + 1) for a in _deal(index))
+    held = posted.withColumn("task", F.pmod(first + F.pmod(F.col("h0"), parts), F.lit(tasks)).cast("int"))
+    held = held.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    both = probes.unionByName(held.withColumn("lists", F.lit(None).cast("array<int>")))
+    place = F.pmod(F.col("task") + F.col("block"), F.lit(tasks))
+    together = both.repartitionById(tasks, place).sortWithinPartitions("block", "task", "list")
+    return together.mapInPandas(_score(top), f"q0 long, q1 long, h0 long, h1 long, score double, ids {ids}")
+
+
 def nearest(table: DataFrame, is_query: Column, top: int = TOP, id_col: str = "vec_id",
             vec_col: str = "embedding") -> DataFrame:
     """The ``top`` rows of largest inner product for each query row, itself left out.
@@ -352,20 +480,10 @@ def nearest(table: DataFrame, is_query: Column, top: int = TOP, id_col: str = "v
     asked = rows.filter("asks").groupBy(*keys).agg(F.first("vec").alias("vec"), F.count("*").alias("n"))
     asked = store(asked, "distinct-queries")
     ratio = max(PROBE_RATIO, calibrate(index, distinct, posted, asked, top))
-    # Few rows, each with much work: dealt over all tasks.
-    tasks = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    probes = asked.select(*keys, "vec").repartition(tasks, *keys).mapInPandas(
-        _probe(index, top, ratio), f"h0 long, h1 long, vec array<{kept}>, list int")
-
-    # A list is cut into parts of CHUNK_ROWS; a query goes to all parts.
-    parts = F.element_at(F.lit(np.maximum(1, -(-index.sizes // CHUNK_ROWS)).tolist()), F.col("list") + 1)
-    posted = posted.withColumn("part", F.pmod(F.col("h0"), parts).cast("int"))
-    probes = probes.withColumn("part", F.explode(F.sequence(F.lit(0), parts.cast("int") - 1)))
-    found = posted.groupBy("list", "part").cogroup(probes.groupBy("list", "part")).applyInPandas(
-        _score(top + 1), "q0 long, q1 long, h0 long, h1 long, score double, ids array<long>")
+    found = compare(index, posted, asked, asked.count(), ratio, top + 1)
 
     best = Window.partitionBy("q0", "q1").orderBy(F.desc("score"), F.col("ids")[0], "h0", "h1")
-    # A vector in several lists is found several times, with scores that may differ in the last bit.
+    # A vector in several lists is found by several tasks, with scores that may differ in the last bit.
     once = found.groupBy("q0", "q1", "h0", "h1").agg(F.max("score").alias("score"), F.first("ids").alias("ids"))
     once = once.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top + 1)
     flat = once.select("q0", "q1", "score", F.explode("ids").alias("vec_id"))

@@ -295,6 +295,43 @@ def test_lists_grow_until_recall(spark, monkeypatch):
     assert np.mean([len({r.vec_id for r in got[q]} & set(want[q])) / 20 for q in want]) >= 0.94
 
 
+def test_rows_made_grow_with_the_queries_not_with_the_lists(spark, monkeypatch):
+    """Many more lists than tasks, which are cut into parts, as are the queries and the batches."""
+    x = np.random.default_rng(8).normal(size=(3000, 12))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    for name, value in {"LIST_ROWS": 10, "PROBE_RATIO": 3.0, "CHUNK_ROWS": 24, "QUERY_ROWS": 70, "CELLS": 20_000}.items():
+        monkeypatch.setattr(ann, name, value)
+    made, plain = [], ann.compare
+
+    def counted(*args):
+        found = ann.store(plain(*args), "found")
+        made.append(found.count())
+        return found
+
+    monkeypatch.setattr(ann, "compare", counted)
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch)
+    spark.conf.set(batch, "33")
+    try:
+        got = answers(ann.nearest(table, ann.F.col("vec_id") % 20 == 0))
+    finally:
+        spark.conf.set(batch, before)
+    # All lists, well over a hundred, are looked into.
+    assert {q: [r.vec_id for r in v] for q, v in got.items()} == brute(list(range(3000)), x, list(range(0, 3000, 20)), 20)
+    assert made == [150 * 21 * int(spark.conf.get("spark.sql.shuffle.partitions"))]
+
+
+def test_ties_at_the_edge_go_to_the_smaller_id(spark, monkeypatch):
+    x = np.random.default_rng(9).integers(-2, 3, (900, 4)).astype(float)
+    x[(x == 0).all(axis=1)] = 1.0
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    monkeypatch.setattr(ann, "LIST_ROWS", 20)
+    monkeypatch.setattr(ann, "PROBE_RATIO", 50.0)
+    monkeypatch.setattr(ann, "CELLS", 500)
+    got = answers(ann.nearest(table, ann.F.col("vec_id") % 20 == 0))
+    assert {q: [r.vec_id for r in v] for q, v in got.items()} == brute(list(range(900)), x, list(range(0, 900, 20)), 20)
+
+
 def test_pipeline_on_odd_rows(spark, odd, none):
     docs, counts = odd, []
     for name, stage in corpus_pipeline.STAGES:
