@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statloom.functions.coerce import as_double, quoted
 from statloom.functions.columns import unique_sorted
-from statloom.operators.encode import STATISTICS
-from statloom.operators.keyed import any_null, left_join
-from statloom.operators.ordering import ROW_LIMIT, sorted_once
+from statloom.operators.encode import COUNTED_ROWS, ONE_PASS_ROWS, STATISTICS, hot_groups
+from statloom.operators.keyed import BROADCAST_BYTES, any_null, left_join, measured_bytes, text_bytes
+from statloom.operators.ordering import POSITION_BITS, ROW_LIMIT, sorted_once
 from statloom.session import dealt, store
 
 FOLDS = 5
@@ -73,67 +74,93 @@ def _named(table: DataFrame, inner: Mapping[str, str], keys: Sequence[str], pref
 # --- out of fold -------------------------------------------------------------------
 
 
-def _medians_without(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Per group and fold the median of the rows of all other folds: (keys, _fold, median).
+def _picked(placed: DataFrame, keys: Sequence[str], folds: Sequence[int]) -> DataFrame:
+    """Per group an array of the medians without each fold: (keys, medians).
 
-    ``counts`` holds a row per group, value and fold with its rows ``c``. All values are sorted
-    once by group and value over all tasks. Every value carries the rows before it of the
-    group and of each fold; the rows of the other folds before it are their difference. A
-    median needs one or two values of its group: those whose places it covers.
+    For the i-th fold a row of ``placed`` stands for ``_c{i}`` rows of the other folds, has ``_l{i}``
+    of them before it in its group, and the group has ``_z{i}``. A median needs the one or two
+    values that cover its places; only those rows are shuffled.
     """
-    # One row per group and value; the folds it occurs in as a map.
-    by_value = counts.groupBy(*keys, "_v").agg(
-        F.sum("c").alias("c"), F.map_from_entries(F.collect_list(F.struct("_fold", "c"))).alias("own"))
-    # The folds that occur; their number is a parameter.
-    named = sorted(r["_fold"] for r in counts.select("_fold").distinct().collect())
-    if not named:
-        return counts.select(*keys, "_fold", F.lit(0.0).alias("median"))
-    wide = by_value.select(*keys, "_v", "c", *(
-        F.coalesce(F.element_at("own", F.lit(f)), F.lit(0)).alias(f"_c{i}") for i, f in enumerate(named)))
-    marked = sorted_once(wide, [*keys, "_v"])
-    part = F.shiftright("_at", 33)
-    sums = marked.groupBy(part.alias("_part")).agg(
-        F.sum("c").alias("c"), *(F.sum(f"_c{i}").alias(f"_c{i}") for i in range(len(named))))
+    weights = []
+    for i in range(len(folds)):
+        low, ties, size = (F.col(f"_{x}{i}") for x in "lcz")
+        covers = [(p >= low) & (p < low + ties) for p in (F.floor((size - 1) / 2), F.floor(size / 2))]
+        weights.append((covers[0].cast("double") + covers[1].cast("double")) / 2)
+    hit = placed.select(*keys, "_y", *(w.alias(f"_w{i}") for i, w in enumerate(weights)))
+    used = [F.col(f"_w{i}") > 0 for i in range(len(folds))]
+    return hit.filter(reduce(lambda x, y: x | y, used)).groupBy(*keys).agg(
+        F.array(*(F.sum(F.when(u, F.col(f"_w{i}") * F.col("_y"))) for i, u in enumerate(used))).alias("medians"))
+
+
+def _medians_inside(rows: DataFrame, keys: Sequence[str], folds: Sequence[int]) -> DataFrame:
+    """(keys, medians) of groups that each fit one task: their values are sorted there, once for all folds."""
+    held = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_y", "_fold"))).alias("all"))
+    others = F.transform(F.array(*(F.lit(f) for f in folds)), lambda f: F.filter("all", lambda t: t["_fold"] != f))
+
+    def middle(values: Column) -> Column:
+        low, high = (F.get(values, F.floor(n / 2).cast("int"))["_y"] for n in (F.size(values) - 1, F.size(values)))
+        return F.when(F.size(values) > 0, low / 2 + high / 2)
+
+    return held.select(*keys, F.transform(others, middle).alias("medians"))
+
+
+def _medians_across(counts: DataFrame, keys: Sequence[str], folds: Sequence[int]) -> DataFrame:
+    """(keys, medians) of groups of any size.
+
+    ``counts`` holds a row per group and value with the rows ``_c{i}`` of all folds but the
+    i-th. It is sorted once by group and value over all tasks; every value carries the rows before it.
+    """
+    marked = sorted_once(counts, [*keys, "_y"])
+    part = F.shiftright("_at", POSITION_BITS)
+    cells = [f"_c{i}" for i in range(len(folds))]
+    sums = marked.groupBy(part.alias("_part")).agg(*(F.sum(c).alias(c) for c in cells))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row per sorted partition
-    cells = ["c", *(f"_c{i}" for i in range(len(named)))]
     starts = sums.select("_part", *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_s{c}") for c in cells))
     inside = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
     placed = marked.withColumn("_part", part)
     placed = placed.select("*", *(F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(f"_o{c}") for c in cells))
     placed = placed.join(F.broadcast(starts), "_part")
-    before = {c: F.col(f"_s{c}") + F.col(f"_o{c}") for c in cells}
-    # Rows of the other folds up to this value, counted over all groups so far, per fold.
-    each = F.array(*(F.struct(F.lit(f).alias("fold"), (before["c"] - before[f"_c{i}"]).alias("low"),
-                              (F.col("c") - F.col(f"_c{i}")).alias("ties")) for i, f in enumerate(named)))
-    placed = store(placed.select(*keys, "_v", F.explode(each).alias("e")).select(
-        *keys, "_v", F.col("e.fold").alias("_fold"), "e.low", "e.ties").filter("ties > 0"), "fold-places")
-    begin = placed.groupBy(*keys, "_fold").agg(F.min("low").alias("first"), F.sum("ties").alias("size"))
-    middle = begin.select(*keys, "_fold", (F.col("first") + F.floor((F.col("size") - 1) / 2)).alias("p0"),
-                          (F.col("first") + F.floor(F.col("size") / 2)).alias("p1"))
-    met = left_join(placed, middle, [*keys, "_fold"])
-    covers = lambda p: (F.col(p) >= F.col("low")) & (F.col(p) < F.col("low") + F.col("ties"))
-    hit = met.filter(covers("p0") | covers("p1"))
-    weight = (covers("p0").cast("double") + covers("p1").cast("double")) / 2
-    return hit.groupBy(*keys, "_fold").agg(F.sum(weight * F.col("_v")).alias("median"))
-
-
-def _small_medians(kept: DataFrame, long: DataFrame, inner: Mapping[str, str], key_sets: Mapping[str, Sequence[str]],
-                   ids: Mapping[str, int], folds: Sequence[int], row_limit: int) -> tuple[DataFrame | None, list[int]]:
-    """Medians without each fold of the key sets whose groups all fit one task, and their tags."""
-    groups = long.groupBy("_set", *inner.values()).agg(F.sum("n").alias("n")).groupBy("_set").agg(F.max("n").alias("n"))
-    largest = {r["_set"]: r["n"] for r in groups.collect()} if folds and row_limit >= 0 else {}
-    small = [i for i in set(ids.values()) if largest.get(i, row_limit + 1) <= row_limit]
-    if not small:
-        return None, small
-    chosen = {p: ks for p, ks in key_sets.items() if ids[p] in small}
-    sets = {ids[p]: [F.col(inner[k]) for k in ks] for p, ks in chosen.items()}
-    each = F.array(*(F.struct(F.lit(f).alias("fold"), F.percentile(
-        F.when(F.col("_fold") != f, F.col("_y")), 0.5).alias("median")) for f in folds))
-    # The fold stays a grouping column that no set holds, so the tags are those of the states.
-    found = kept.withColumn("_fold_key", F.col("_fold")).groupingSets(
-        list(sets.values()), *(F.col(c) for c in inner.values()), F.col("_fold_key"))
-    table = found.agg(F.shiftleft(F.shiftright(F.grouping_id(), 1), 1).alias("_set"), each.alias("each"))
-    return store(table, "fold-medians", partition_by=["_set"]), small
+    # Counted over all groups so far; a group's own count starts at its least.
+    placed = store(placed.select(*keys, "_y", *cells, *(
+        (F.col(f"_s{c}") + F.col(f"_o{c}")).alias(f"_b{i}") for i, c in enumerate(cells))), "fold-places")
+    begin = placed.groupBy(*keys).agg(*(F.min(f"_b{i}").alias(f"_f{i}") for i in range(len(folds))),
+                                      *(F.sum(c).alias(f"_z{i}") for i, c in enumerate(cells)))
+    met = left_join(placed, begin, keys)
+    return _picked(met.withColumns({f"_l{i}": F.col(f"_b{i}") - F.col(f"_f{i}") for i in range(len(folds))}), keys, folds)
+
+
+def _medians_without(kept: DataFrame, long: DataFrame, inner: Mapping[str, str], key_sets: Mapping[str, Sequence[str]],
+                     ids: Mapping[str, int], folds: Sequence[int], row_limit: int) -> DataFrame:
+    """Medians without each fold, in the order of ``folds``, of the groups of all key sets:
+    (_set, keys, medians), stored by set.
+
+    Sets of small groups are sorted group by group. Of other sets equal values are counted
+    first and sorted over all tasks, those of all sets in one go.
+    """
+    columns = list(inner.values())
+    sets = {ids[p]: [inner[k] for k in sorted(ks)] for p, ks in key_sets.items()}
+    groups = long.groupBy("_set", *columns).agg(F.sum("rows").alias("n")).groupBy("_set").agg(
+        F.count(F.lit(1)).alias("groups"), F.max("n").alias("largest"), F.sum("n").alias("n"))
+    small = {r["_set"] for r in groups.collect()
+             if r["largest"] <= row_limit and r["n"] <= max(ONE_PASS_ROWS, COUNTED_ROWS * r["groups"])}
+    kinds = {f.name: f.dataType for f in kept.schema.fields}
+
+    def tagged(table: DataFrame, i: int, *names: str) -> DataFrame:
+        keys = (F.col(c) if c in sets[i] else F.lit(None).cast(kinds[c]).alias(c) for c in columns)
+        return table.select(F.lit(i).cast("long").alias("_set"), *keys, *names)
+
+    present = lambda i: kept.dropna(subset=[*sets[i], "_y"])
+    found = [tagged(_medians_inside(present(i), sets[i], folds), i, "medians") for i in sets if i in small]
+    coarse = [i for i in sets if i not in small]
+    if coarse:
+        cells = [F.count(F.when(F.col("_fold") != f, 1)).alias(f"_c{k}") for k, f in enumerate(folds)]
+        counted = (tagged(present(i).groupBy(*sets[i], "_y").agg(*cells), i, "_y", *(f"_c{k}" for k in range(len(folds))))
+                   for i in coarse)
+        # A struct compares as a whole, with the columns that a set has not.
+        together = reduce(DataFrame.unionByName, counted).withColumn("_group", F.struct("_set", *columns))
+        across = _medians_across(together.drop("_set", *columns), ["_group"], folds)
+        found.append(across.select("_group.*", "medians"))
+    return store(reduce(DataFrame.unionByName, found), "fold-medians", partition_by=["_set"])
 
 
 def stat_encode_oof(
@@ -148,8 +175,8 @@ def stat_encode_oof(
 
     ``fold`` gives a row's fold (see ``fold_of``). One grouping-sets pass keeps a state per
     group and fold: rows, mean, squares about it, maximum. A row's statistics merge the states
-    of all folds but its own. Medians are aggregated where every group of a key set fits one
-    task (``row_limit``), else taken from counted values. So no row sees its own target or that
+    of all folds but its own. Medians come from values sorted group by group, or over all tasks
+    where groups are big (``row_limit``). So no row sees its own target or that
     of its fold.
 
     A row with a missing key or fold gets nulls, as does one whose group has no row outside its
@@ -158,19 +185,26 @@ def stat_encode_oof(
     fold_name = "_fold"
     narrow, inner = _narrow(df, key_sets, target, {fold_name: fold.cast("int")})
     kept = narrow.filter(F.col(fold_name).isNotNull())
-    long, ids = _grouped(kept, inner, key_sets, [fold_name], *_state("_y"))
+    long, ids = _grouped(kept, inner, key_sets, [fold_name], F.count(F.lit(1)).alias("rows"), *_state("_y"))
     long = store(long, "fold-groups", partition_by=["_set"])
     # The folds that occur; their number is a parameter.
     folds = sorted(r[fold_name] for r in long.select(fold_name).distinct().collect())
-    medians, small = _small_medians(kept, long, inner, key_sets, ids, folds, row_limit if "median" in statistics else -1)
+    medians = None
+    if folds and "median" in statistics:
+        medians = _medians_without(kept, long, inner, key_sets, ids, folds, row_limit)
     rows = df.withColumn(fold_name, fold.cast("int"))
     for prefix, keys in key_sets.items():
         cols = [inner[k] for k in keys]
         parts = long.filter((F.col("_set") == ids[prefix]) & ~any_null(cols))
         # A group has at most as many states as there are folds; it meets every fold.
         group = parts.groupBy(*cols).agg(F.array_sort(F.collect_list(F.struct(fold_name, "n", "m", "v", "most"))).alias("all"))
-        every = F.explode(F.array(*(F.lit(f) for f in folds)) if folds else F.array().cast("array<int>"))
-        table = group.withColumn(fold_name, every)
+        if medians is None:
+            group = group.withColumn("medians", F.lit(None).cast("array<double>"))
+        else:
+            # One row per group on both sides, so no key can be hot.
+            group = group.join(medians.filter(F.col("_set") == ids[prefix]).select(*cols, "medians"), cols, "left")
+        every = F.posexplode(F.array(*(F.lit(f) for f in folds)) if folds else F.array().cast("array<int>"))
+        table = group.select("*", every.alias("_place", fold_name))
         table = table.withColumn("others", F.filter("all", lambda t: (t[fold_name] != F.col(fold_name)) & (t["n"] > 0)))
         zero = F.lit(0.0)
         table = table.withColumn("count", F.aggregate("others", F.lit(0).cast("long"), lambda a, t: a + t["n"]))
@@ -178,17 +212,16 @@ def stat_encode_oof(
             "others", zero, lambda a, t: a + t["m"] * (t["n"] / F.col("count")))))
         squares = F.aggregate("others", zero, lambda a, t: a + t["v"] + t["n"] * (t["m"] - F.col("mean")) * (t["m"] - F.col("mean")))
         table = table.select(*cols, fold_name, "mean", "count", _std(F.col("count"), squares).alias("std"),
-                             F.array_max(F.transform("others", lambda t: t["most"])).alias("max"))
-        if ids[prefix] in small:
-            each = medians.filter(F.col("_set") == ids[prefix]).select(*cols, F.explode("each").alias("e"))
-            table = table.join(each.select(*cols, F.col("e.fold").alias(fold_name), "e.median"), [*cols, fold_name], "left")
-        elif "median" in statistics:
-            counted = kept.filter(F.col("_y").isNotNull() & ~any_null(cols)).groupBy(
-                *cols, F.col("_y").alias("_v"), fold_name).agg(F.count(F.lit(1)).alias("c"))
-            medians = _medians_without(store(counted, "fold-values"), cols)
-            table = table.join(medians, [*cols, fold_name], "left")
-        side = _named(table, inner, keys, prefix, {x: F.col(x) for x in statistics}, F.col(fold_name))
-        rows = left_join(rows, side, [*keys, fold_name])
+                             F.array_max(F.transform("others", lambda t: t["most"])).alias("max"),
+                             F.get("medians", F.col("_place")).alias("median"))
+        side = store(_named(table, inner, keys, prefix, {x: F.col(x) for x in statistics}, F.col(fold_name)), "fold-side")
+        side_rows, texts = side.agg(F.count(F.lit(1)), F.sum(text_bytes(side))).first()
+        size, both = measured_bytes(side, side_rows, texts or 0), [*keys, fold_name]
+        hot = None
+        if size > BROADCAST_BYTES:
+            sizes = parts.select(*(F.col(inner[k]).alias(k) for k in keys), fold_name, F.col("rows").alias("_rows"))
+            hot = hot_groups(sizes, both, "_rows")
+        rows = left_join(rows, side, both, side_rows, hot=hot, side_bytes=size, stored=True)
     return rows.drop(fold_name)
 
 

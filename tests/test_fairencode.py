@@ -77,6 +77,24 @@ def test_out_of_fold_statistics_equal_plain_ones(table, row_limit):
                 assert close(encoded[row[0]][f"{prefix}_{s}"], v), (row, prefix, s)
 
 
+def test_out_of_fold_medians_copy_no_row_per_fold(spark, monkeypatch):
+    from statloom.operators import fairencode
+
+    written, plain = {}, fairencode.store
+
+    def counted(df, label="table", **options):
+        stored = plain(df, label, **options)
+        written[label] = stored.count()
+        return stored
+
+    monkeypatch.setattr(fairencode, "store", counted)
+    rows = [(i, "ab"[i % 2], float(i * i % 997)) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, k string, y double")
+    got = {r["id"]: r["te_median"] for r in stat_encode_oof(df, {"te": ["k"]}, "y", F.col("id") % 7, row_limit=0).collect()}
+    assert got == {i: statistics.median(y for j, g, y in rows if g == k and j % 7 != i % 7) for i, k, _ in rows}
+    assert max(written.values()) == 400 and "fold-places" in written
+
+
 def test_out_of_fold_hides_the_own_target(spark):
     rows = [(i, "k", 0.0) for i in range(50)]
     spike = [*rows[:7], (7, "k", 1e9), *rows[8:]]
