@@ -75,6 +75,46 @@ def test_stat_encode(frame, limit):
             np.testing.assert_allclose(got[f"{prefix}_{s}"].astype(float), want[s], rtol=1e-12)
 
 
+@pytest.mark.parametrize("limit, ties", [(20, False), (20, True), (10**6, False)])
+def test_medians_of_big_groups_sort_few_rows(spark, frame, monkeypatch, limit, ties):
+    """Rows far from a group's middle values are only counted, whatever the limit; ties are counted."""
+    import statloom.operators.encode as encode
+    from statloom.operators import ordering
+
+    rng = np.random.default_rng(8)
+    values = rng.normal(size=4000)
+    values[:4] = [np.inf, -np.inf, -0.0, 0.0]
+    if ties:
+        values[rng.random(4000) < 0.6] = 0.0
+    pdf = pd.DataFrame({"a": rng.choice(["x", "y", None], 4000), "b": rng.integers(0, 2, 4000).astype(float), "t": values})
+    sets = {"one": ["a"], "other": ["b"], "both": ["a", "b"]}
+    sorted_rows, once = [], ordering.sorted_once
+    monkeypatch.setattr(ordering, "sorted_once", lambda df, order: (sorted_rows.append(df.count()), once(df, order))[1])
+    monkeypatch.setattr(encode, "ONE_PASS_ROWS", 0)
+    monkeypatch.setattr(encode, "PARTS", 16)
+    held, windows = [], encode.counted_median
+    monkeypatch.setattr(encode, "counted_median", lambda df, *rest: (held.append(df.count()), windows(df, *rest))[1])
+    rows = [(None if a is None else str(a), float(b), float(t)) for a, b, t in pdf.itertuples(index=False)]
+    tables = encode.group_statistics(frame(rows, "a string, b double, t double"), sets, "t", limit)
+    assert sum(sorted_rows) + sum(held) <= 200
+    for prefix, keys in sets.items():
+        got = tables[prefix][0].toPandas().set_index(keys)[f"{prefix}_median"].sort_index()
+        want = pdf.groupby(keys)["t"].median().sort_index()
+        assert len(got) == len(want)
+        np.testing.assert_allclose(got.to_numpy(), want.to_numpy(), rtol=1e-12, atol=0)
+
+
+def test_parts_of_a_range(frame):
+    from statloom.operators.encode import _bounds, _part
+
+    values = [float(v) for v in np.random.default_rng(2).normal(size=300)] + [0.0, -0.0, math.inf, -math.inf]
+    df = frame([(v,) for v in values], "_target double")
+    for bounds in ([0.0], [-1.0, 0.0, 0.5], _bounds(df, 50)):
+        got = df.select("_target", _part(bounds).alias("p")).collect()
+        assert [r.p for r in got] == [int(np.searchsorted(bounds, r._target, side="right")) for r in got]
+    assert _bounds(df.filter("_target IS NULL"), 50) == []
+
+
 def test_stat_encode_with_big_side_tables(frame, monkeypatch):
     import statloom.operators.encode as encode
 
