@@ -133,6 +133,26 @@ def test_sliced_features_agree(spark, folder, features):
     assert features.agg(*digits).first() == again.agg(*digits).first()
 
 
+def test_stored_rows_carry_no_side_tables(spark, folder, features, monkeypatch):
+    """The side tables' columns come back at the end; columns nobody wants are not stored at all."""
+    stored = {}
+    keep = lambda df, label="table", **more: stored.setdefault(label, df) and payroll_store(df, label, **more)
+    payroll_store = payroll.store
+    monkeypatch.setattr(payroll, "store", keep)
+    sources = payroll.read_sources(spark, folder)
+    got = payroll.build_features(**sources, columns=[payroll.LOG_TARGET, *payroll.OTHER_FEATURES])
+    assert not {*payroll.SIDE_FEATURES, "saldoAPagar", "credor.nome"} & set(stored["payroll"].columns)
+    assert "rank_pago_orgao_ano" not in got.columns and "saldoAPagar" in features.columns
+    digits = [F.round(F.sum(c), 6).alias(c) for c in payroll.candidates(features)]
+    assert features.agg(*digits).first() == got.agg(*digits).first()
+
+
+def test_distinct_values_are_shuffled_without_sums(spark, folder):
+    totals = payroll.program_totals(payroll.read_sources(spark, folder)["programs"])
+    plan = totals._jdf.queryExecution().sparkPlan().toString()
+    assert "Expand" in plan
+
+
 @pytest.mark.parametrize("limit", [10**6, 20])
 def test_ranks_alone_need_the_commitments_only(spark, folder, features, limit):
     sources = payroll.read_sources(spark, folder)
