@@ -207,6 +207,13 @@ def test_selection(features, tmp_path):
     assert next((tmp_path / "correlacoes").glob("part*")).read_text().startswith("variavel,correlacao,selecionada")
 
 
+def test_selection_stores_the_selected_columns_only(features, monkeypatch):
+    stored, write = [], selection_plan.store
+    monkeypatch.setattr(selection_plan, "store", lambda df, *label: (stored.append(df.columns), write(df, *label))[1])
+    result = select_features(features, payroll.candidates(features), threshold=0.3)
+    assert stored == [["valorPagoEmpenho", "log_target", *result.selected]] and len(result.selected) < 135
+
+
 def test_normality_study(frame):
     rng = np.random.default_rng(4)
     skewed = frame([(i, float(v)) for i, v in enumerate(np.exp(rng.normal(size=200)))], "id long, v double")
